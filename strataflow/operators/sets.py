@@ -52,11 +52,6 @@ def unpivot_pairs(df: DataFrame, legs: Sequence[Sequence[str]], names: Sequence[
     return df.select(F.inline(F.array(*structs)))
 
 
-def means_by(df: DataFrame, keys: Sequence[str], coords: Sequence[str], digits: int = 6) -> DataFrame:
-    """Average coordinates by key, rounded."""
-    return df.groupBy(*keys).agg(*[F.round(F.avg(c), digits).alias(c) for c in coords])
-
-
 def measure_by(df: DataFrame, dims: Sequence[str], **aggregates) -> DataFrame:
     """Named aggregates by dimension columns."""
     return df.groupBy(*dims).agg(*[agg.alias(name) for name, agg in aggregates.items()])

@@ -22,13 +22,13 @@ def _text_schema(schema: T.StructType, *extra: str) -> T.StructType:
     )
 
 
-def read_archives(
-    spark: SparkSession, path: str, schema: T.StructType, chunk_rows: int = 50_000
+def unpack_archives(
+    archives: DataFrame, schema: T.StructType, chunk_rows: int = 50_000
 ) -> DataFrame:
     """Rows of the first CSV member of each zip archive, as text columns.
 
-    One archive is one task's work, read in chunks, so that a task holds the
-    compressed bytes and one chunk.  Columns are matched by name; those a file
+    ``archives`` has ``path`` and ``content``.  An archive is read in chunks, so
+    that a task holds the compressed bytes and one chunk.  Columns are matched by name; those a file
     lacks are NULL.  ``_source_file`` is the member's base name, ``_archive``
     the archive's.  An archive without CSV, or one that cannot be read, yields
     a row with only ``_archive`` and ``_error``; ``typed`` turns such rows into
@@ -77,8 +77,13 @@ def read_archives(
                 except Exception as problem:  # one bad archive must not stop the others
                     yield failure(archive, f"{type(problem).__name__}: {problem}")
 
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    return archives.mapInPandas(unpack, _text_schema(schema, "_source_file", ARCHIVE, ERROR))
+    out = _text_schema(schema, "_source_file", ARCHIVE, ERROR)
+    return archives.select("path", "content").mapInPandas(unpack, out)
+
+
+def read_archives(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """Rows of the zip archives at a path; see ``unpack_archives``."""
+    return unpack_archives(spark.read.format("binaryFile").load(path), schema)
 
 
 def read_csv_raw(

@@ -16,6 +16,7 @@ from strataflow.operators.incremental import merge_upsert, new_keys, touched_par
 from strataflow.session import stage
 
 MARKER = "_SUCCESS"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _files(spark: SparkSession, path: str):
@@ -145,24 +146,24 @@ class TableStore:
             row[0] for row in touched_partitions(target, updates, keys, partition_by).collect()
         ]
         scope = F.col(partition_by).isin(touched) | F.col(partition_by).isNull()
-        merged = stage(merge_upsert(target.where(scope), updates, keys), f"{name}-merged")
-        emptied = (
-            target.where(scope)
-            .select(partition_by)
-            .distinct()
-            .join(merged.select(partition_by).distinct(), partition_by, "left_anti")
-        )
+        old = target.where(scope)
+        merged = stage(merge_upsert(old, updates, keys), f"{name}-merged")
+
+        def partitions(df: DataFrame) -> set:
+            return {row[0] for row in df.select(partition_by).distinct().collect()}
+
+        emptied = partitions(old) - partitions(merged)
         path = self.path(name)
-        left_over = [row[0] for row in emptied.collect()]
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_by)
             .parquet(path)
         )
-        for value in left_over:
-            fs, folder = _files(self.spark, f"{path}/{partition_by}={value}")
-            fs.delete(folder, True)
+        for value in emptied:
+            folder = NULL_PARTITION if value is None else value
+            fs, target_path = _files(self.spark, f"{path}/{partition_by}={folder}")
+            fs.delete(target_path, True)
         return self.spark.read.parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -17,11 +18,13 @@ FIRST_DAY = "2021-02-01"
 LAG_DAYS = 5
 
 
-def unpack_hourly(payloads: DataFrame, json: str = "json") -> DataFrame:
+def unpack_hourly(
+    payloads: DataFrame, json: str = "json", keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per hour from payloads that hold parallel arrays.
 
     A payload without ``hourly`` gives no rows; a measure without an array is
-    NULL.
+    NULL.  Columns named in ``keep`` are carried along.
     """
     hourly = F.from_json(json, PAYLOAD)["hourly"]
 
@@ -37,8 +40,8 @@ def unpack_hourly(payloads: DataFrame, json: str = "json") -> DataFrame:
         series("is_day", "int"),
     )
     return (
-        payloads.select(hours.alias("hours"))
-        .select(F.inline("hours").alias("time", "temp", "rain", "wind", "code", "day"))
+        payloads.select(*keep, hours.alias("hours"))
+        .select(*keep, F.inline("hours").alias("time", "temp", "rain", "wind", "code", "day"))
         .select(
             F.try_to_timestamp("time").alias("observation_time"),
             F.col("temp").alias("temperature_c"),
@@ -46,6 +49,7 @@ def unpack_hourly(payloads: DataFrame, json: str = "json") -> DataFrame:
             F.col("wind").alias("wind_speed_kmh"),
             F.col("code").alias("weather_code"),
             F.col("day").cast("boolean").alias("is_daylight"),
+            *keep,
         )
     )
 
