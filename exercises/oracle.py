@@ -199,8 +199,8 @@ LEFT JOIN weather w ON date_trunc('hour', c.started_at) = w.observation_time""",
 
 def haversine(lng1: str, lat1: str, lng2: str, lat2: str) -> str:
     return (
-        f"2 * 6371.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
-        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lng2} - {lng1}) / 2), 2))))"
+        f"2 * 6371.0::DOUBLE * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lng2} - {lng1}) / 2), 2)))"
     )
 
 

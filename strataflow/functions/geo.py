@@ -28,7 +28,9 @@ def haversine_km(lng1: Column, lat1: Column, lng2: Column, lat2: Column) -> Colu
     h = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
         F.sin(half_lng), 2
     )
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    # Rounding can pass 1 at opposite points; NULL must stay NULL.
+    h = F.when(h > 1, 1.0).otherwise(h)
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(h))
 
 
 def ellipsoid_km(lng1: Column, lat1: Column, lng2: Column, lat2: Column) -> Column:

@@ -9,14 +9,24 @@ from pyspark.sql import types as T
 from strataflow.functions.logic import require
 
 
+TYPES = {
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "date": T.DateType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "boolean": T.BooleanType(),
+    "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def _schema(text: str) -> T.StructType:
     """``name type`` pairs, one per line; a trailing ``!`` means not nullable."""
     fields = []
     for line in text.strip().splitlines():
         name, kind = line.split()
-        required = kind.endswith("!")
-        dtype = T.DataType.fromDDL(kind.rstrip("!"))
-        fields.append(T.StructField(name, dtype, not required))
+        fields.append(T.StructField(name, TYPES[kind.rstrip("!")], not kind.endswith("!")))
     return T.StructType(fields)
 
 
