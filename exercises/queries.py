@@ -161,7 +161,7 @@ def scd2_history(spark, sf_dir):
         ["o_custkey", "year"],
         ["o_orderdate", "o_orderkey"],
     )
-    state = stage(latest, "yearly-state")
+    state = stage(latest, "yearly-state", ["year"])
     history = None
     span = state.agg(F.min("year"), F.max("year")).first()
     for year in range(span[0], span[1] + 1):
@@ -314,16 +314,16 @@ def star_query(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     covered = analyst.coverage(orders.select(F.to_date("o_orderdate").alias("day")), "day")
     latest = analyst.in_default_year(orders, "o_orderdate", covered)
-    joined = star(
-        latest,
-        [
-            (table(spark, sf_dir, "customer"), "o_custkey", "c_custkey"),
-            (table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey"),
-            (table(spark, sf_dir, "region"), "n_regionkey", "r_regionkey"),
-        ],
-    ).where(ieq("r_name", "asia"))
+    # The customers are cut down to the region before they meet the orders.
+    nations = star(
+        table(spark, sf_dir, "nation"),
+        [(table(spark, sf_dir, "region").where(ieq("r_name", "asia")), "n_regionkey", "r_regionkey")],
+    )
+    buyers = star(
+        table(spark, sf_dir, "customer"), [(nations, "c_nationkey", "n_nationkey")]
+    ).select("c_custkey", "c_mktsegment", "n_name")
     return measure_by(
-        joined,
+        star(latest, [(buyers, "o_custkey", "c_custkey")]),
         ["n_name", "c_mktsegment"],
         orders=F.count(F.lit(1)),
         mean_price=F.round(F.avg("o_totalprice"), 2),
@@ -491,7 +491,7 @@ def archive_scan(spark, sf_dir):
     text = trips_raw(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in names])
     archives = text.mapInPandas(pack, "path string, content binary")
     rows = files.typed(files.unpack_archives(archives, schemas.TRIP_FILE), schemas.TRIP_FILE)
-    good = files.readable_rows(rows, files.refused_files(rows))
+    good, _ = files.split_refused(rows)
     return good.select(*names)
 
 
@@ -524,8 +524,8 @@ def csv_raw(spark, sf_dir):
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
     schema = _customer_schema()
-    rows = files.typed(files.read_csv_raw(spark, path, schema), schema)
-    return files.readable_rows(rows, files.refused_files(rows)).select(*schema.fieldNames())
+    good, _ = files.split_refused(files.typed(files.read_csv_raw(spark, path, schema), schema))
+    return good.select(*schema.fieldNames())
 
 
 @query
@@ -555,8 +555,8 @@ def refused_sources(spark, sf_dir):
     ).withColumn("_archive", F.col("_source_file"))
     broken = F.when(F.col("start_lat").isNull(), "not a time").otherwise(F.col("started_at"))
     rows = files.typed(text.withColumn("started_at", broken), schemas.TRIP_FILE)
-    refused = stage(files.refused_files(rows), "refused")
-    kept = files.readable_rows(rows, refused).groupBy(F.col("_archive").alias("source")).agg(
+    good, refused = files.split_refused(rows)
+    kept = good.groupBy(F.col("_archive").alias("source")).agg(
         F.count(F.lit(1)).alias("row_count"), F.lit(0).cast("bigint").alias("bad_rows")
     )
     return kept.unionByName(
@@ -771,13 +771,13 @@ def reconciliation(spark, sf_dir):
 
 @query
 def enum_values(spark, sf_dir):
+    wanted = {
+        "customer": ["c_mktsegment"],
+        "part": ["p_brand", "p_type"],
+        "orders": ["o_orderpriority"],
+    }
     return analyst.enum_values(
-        [
-            ("customer", table(spark, sf_dir, "customer"), "c_mktsegment"),
-            ("part", table(spark, sf_dir, "part"), "p_brand"),
-            ("part", table(spark, sf_dir, "part"), "p_type"),
-            ("orders", table(spark, sf_dir, "orders"), "o_orderpriority"),
-        ]
+        {name: (table(spark, sf_dir, name), cols) for name, cols in wanted.items()}
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -19,8 +20,17 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
 
+def norm(a: Column) -> Column:
+    return F.sqrt(dot(a, a))
+
+
 def cosine_distance(a: Column | str, b: Column | str) -> Column:
     """1 minus the cosine of the angle; NULL for a zero vector or unequal lengths."""
     a, b = as_col(a), as_col(b)
-    norms = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return 1 - F.try_divide(dot(a, b), norms)
+    return 1 - F.try_divide(dot(a, b), norm(a) * norm(b))
+
+
+def cosine_distance_to(a: Column | str, query: Sequence[float]) -> Column:
+    """``cosine_distance`` to one given vector, whose length is worked out once."""
+    a, length = as_col(a), math.sqrt(sum(float(v) ** 2 for v in query))
+    return 1 - F.try_divide(dot(a, vector_literal(query)), norm(a) * F.lit(length))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -22,7 +24,7 @@ def rejected(df: DataFrame, reason: str = REASON) -> DataFrame:
 
 def both_present(df: DataFrame, *cols: str) -> DataFrame:
     """Rows in which none of the columns is NULL."""
-    return df.na.drop(how="any", subset=list(cols))
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in cols]))
 
 
 def after_watermark(df: DataFrame, col: str, mark: Any) -> DataFrame:

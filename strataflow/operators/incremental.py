@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.operators.filters import after_watermark
+from strataflow.session import stage
 
 
 def scalar_max(df: DataFrame, col: str):
@@ -41,7 +42,9 @@ def incremental_scan(
     if mode == "watermark":
         return after_watermark(source, stamp_col, scalar_max(target, stamp_col))
     if mode == "source":
-        done = target.select(source_col).distinct()
+        # One row per source file: written, so that the planner sees how small it
+        # is and does not shuffle the source by file.
+        done = stage(target.select(source_col).distinct(), "sources-done")
         return source.join(done, source_col, "left_anti").select(source.columns)
     raise ValueError(f"unknown incremental mode: {mode}")
 

@@ -123,14 +123,7 @@ def asof_left(
     payload = [*values.values(), *extra.values()]
 
     if strategy == "auto":
-        size = (
-            versions.groupBy("_k")
-            .count()
-            .agg(F.sum("count").alias("total"), F.max("count").alias("deepest"))
-            .first()
-        )
-        small = (size.total or 0) <= max_broadcast_rows and (size.deepest or 0) <= max_versions
-        strategy = "range" if small else "window"
+        strategy = asof_strategy(versions, "_k", max_broadcast_rows, max_versions)
     if strategy == "range":
         out = _asof_range(left, versions, left_key, left_ts)
     elif strategy == "window":
@@ -145,6 +138,20 @@ def asof_left(
     return out.select(*left.columns, *values.values())
 
 
+def asof_strategy(
+    versions: DataFrame, key: str, max_broadcast_rows: int = 200_000, max_versions: int = 64
+) -> str:
+    """``range`` if all versions, and those of any one key, are few, else ``window``."""
+    size = (
+        versions.groupBy(key)
+        .count()
+        .agg(F.sum("count").alias("total"), F.max("count").alias("deepest"))
+        .first()
+    )
+    small = (size.total or 0) <= max_broadcast_rows and (size.deepest or 0) <= max_versions
+    return "range" if small else "window"
+
+
 def _asof_range(left: DataFrame, versions: DataFrame, key: str, ts: str) -> DataFrame:
     """Interval join; the caller has checked that the versions are few."""
     until = F.lead("_from").over(Window.partitionBy("_k").orderBy("_from"))
@@ -212,7 +219,7 @@ def _asof_window(
     # At most 1000 groups can each hold more than a thousandth of the rows.
     limit = max(hot_rows, total // 1000)
     hot = groups.where(F.col("_n") > limit).select(
-        "_k", "_b", F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_parts")
+        "_k", "_b", F.ceil(F.col("_n") / F.lit(limit)).cast("bigint").alias("_parts")
     )
     if hot.isEmpty():
         probes = probes.withColumn("_s", F.when(unmatched, F.pmod(spread, F.lit(1024))).otherwise(0))
@@ -226,10 +233,10 @@ def _asof_window(
             )
             .drop("_parts")
         )
-        copies = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+        copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
         events = (
             events.join(F.broadcast(hot), ["_k", "_b"], "left")
-            .withColumn("_s", F.explode(copies).cast("bigint"))
+            .withColumn("_s", F.explode(copies))
             .drop("_parts")
         )
 

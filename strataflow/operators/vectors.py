@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strataflow.functions.vector import cosine_distance, vector_literal
+from strataflow.functions.vector import cosine_distance_to
 
 
 def nearest(
@@ -27,7 +27,7 @@ def nearest(
 
     Each task keeps its own ``k`` best rows, so the driver sees ``k`` per task.
     """
-    distance = cosine_distance(vector, vector_literal(query))
+    distance = cosine_distance_to(vector, query)
     if digits is not None:
         distance = F.round(distance, digits)
     return (

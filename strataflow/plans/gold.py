@@ -20,6 +20,7 @@ from strataflow.functions import (
 )
 from strataflow.operators.filters import both_present, capped_by
 from strataflow.operators.joins import asof_left, lookup_left, lookup_on, star
+from strataflow.operators.joins import asof_strategy as choose_asof
 from strataflow.operators.sets import date_spine, distinct_values
 
 # First day of the calendar, codes and their display names.
@@ -92,13 +93,15 @@ def fact_trips(
     bikes: DataFrame,
     weather: DataFrame,
     *,
-    asof_strategy: str = "auto",
+    asof_strategy: str | None = None,
 ) -> DataFrame:
     """One row per ride with both stations known, resolved against the dimensions.
 
     Both stations are taken as of the start of the ride.  While the dimensions
     are small enough to broadcast, the rides are read once and never shuffled.
     """
+    if asof_strategy is None:
+        asof_strategy = choose_asof(stations, "station_id")
     out = both_present(silver, "start_station_id", "end_station_id")
     for leg in ("start", "end"):
         out = asof_left(

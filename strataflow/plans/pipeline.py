@@ -19,7 +19,7 @@ from strataflow.operators.incremental import incremental_scan
 from strataflow.operators.quality import gate, reconcile, run_checks
 from strataflow.operators.scd2 import scd2_apply
 from strataflow.plans import checks, gold, silver
-from strataflow.session import stage, use_utc
+from strataflow.session import use_utc
 from strataflow.sources import files, schemas, weather
 from strataflow.sources.manifest import new_sources
 from strataflow.sources.tables import (
@@ -83,9 +83,7 @@ def ingest(spark: SparkSession, cfg: Config, ingested_at: str) -> DataFrame | No
     if not new:
         return None
     raw = files.read_archives(spark, new, schemas.TRIP_FILE)
-    rows = stage(files.typed(raw, schemas.TRIP_FILE), "unpacked")
-    refused = stage(files.refused_files(rows), "refused")
-    good = files.readable_rows(rows, refused)
+    good, refused = files.split_refused(files.typed(raw, schemas.TRIP_FILE))
     land_parquet(files.stamp_lineage(good, ingested_at), cfg.landing, files.ARCHIVE)
     return refused
 

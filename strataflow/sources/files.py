@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.functions.time import TIMESTAMP_LAYOUTS, parse_mixed_ts
+from strataflow.operators.filters import both_present
+from strataflow.session import stage
 
 ARCHIVE = "_archive"
 ERROR = "_error"
@@ -63,17 +65,16 @@ def unpack_archives(
                         with z.open(members[0]) as member:
                             for chunk in pd.read_csv(
                                 member,
-                                dtype=str,
+                                dtype="object",
                                 keep_default_na=False,
                                 na_values=[""],
                                 chunksize=chunk_rows,
                             ):
-                                out = chunk.reindex(columns=names).astype("object")
-                                out = out.where(out.notna(), None)
+                                out = chunk.reindex(columns=names)
                                 out["_source_file"] = posixpath.basename(members[0])
                                 out["_archive"] = archive
                                 out["_error"] = None
-                                yield out[columns]
+                                yield out[columns].astype("object")
                 except Exception as problem:  # one bad archive must not stop the others
                     yield failure(archive, f"{type(problem).__name__}: {problem}")
 
@@ -150,9 +151,16 @@ def refused_files(rows: DataFrame) -> DataFrame:
     )
 
 
-def readable_rows(rows: DataFrame, refused: DataFrame) -> DataFrame:
-    """Rows of the files that were read without any error."""
-    return rows.join(refused.select(ARCHIVE), ARCHIVE, "left_anti").drop(ERROR)
+def split_refused(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files read without any error, and the list of the other files.
+
+    The rows are written once, since both results need them.  So is the list,
+    one row per refused file: the planner then sees its size, and the rows are
+    not shuffled by file.
+    """
+    rows = stage(rows, "file-rows")
+    refused = stage(refused_files(rows), "refused")
+    return rows.join(refused.select(ARCHIVE), ARCHIVE, "left_anti").drop(ERROR), refused
 
 
 def stamp_lineage(
@@ -168,7 +176,7 @@ def stamp_lineage(
 
 def drop_null_keys(df: DataFrame, *cols: str) -> DataFrame:
     """Rows whose key columns are all present."""
-    return df.na.drop(how="any", subset=list(cols))
+    return both_present(df, *cols)
 
 
 def read_parquet(

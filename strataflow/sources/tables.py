@@ -49,10 +49,16 @@ def sorted_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Range partitions on the keys, sorted inside, so that files and row groups
     cover narrow key ranges and filters on the keys skip the others.
 
-    A range holds as many rows of one key as there are; with several keys a hot
-    first key is split along the next ones.
+    A last range column, hashed from the row and where it came from, lets the
+    ranges split a key that holds very many rows.
     """
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    spread = F.xxhash64(F.spark_partition_id(), *df.columns)
+    return (
+        df.withColumn("_spread", spread)
+        .repartitionByRange(*keys, "_spread")
+        .sortWithinPartitions(*keys)
+        .drop("_spread")
+    )
 
 
 class TableStore:
