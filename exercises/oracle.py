@@ -7,6 +7,11 @@ from exercises.adapters import BASE_STAMP, BIKE_OF_EVENT
 ORACLE: dict[str, str] = {}
 
 
+def mean(c: str) -> str:
+    """Average of values with two decimals, from a sum of whole hundredths."""
+    return f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / (count({c}) * 100.0::DOUBLE)"
+
+
 def with_(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + select.strip()
 
@@ -181,8 +186,9 @@ ORACLE["rejection_summary"] = with_(
     select="""
 SELECT coalesce(rejection_reason, 'accepted') AS reason, count(*) AS rides,
   count(*) FILTER (WHERE member_casual = 'member') AS members,
-  round(avg(ride_duration_minutes), 4) AS mean_minutes
-FROM flagged GROUP BY 1""",
+  """
+    + mean("ride_duration_minutes")
+    + """ AS mean_minutes FROM flagged GROUP BY 1""",
 )
 ORACLE["weather_hourly"] = with_(WEATHER_RAW, WEATHER, select="SELECT * FROM weather")
 ORACLE["hourly_join"] = with_(
@@ -427,17 +433,17 @@ fact_trips AS (
 ORACLE["fact_build"] = with_(*FACT, select="SELECT * FROM fact_trips")
 ORACLE["trip_report"] = with_(
     *FACT,
-    select="""
+    select=f"""
 SELECT dr.rider_type_desc, db.bike_type_desc, dd.is_weekend, count(*) AS rides,
-  round(avg(t.ride_duration_minutes), 4) AS mean_minutes, round(avg(t.ride_distance_km), 4) AS mean_km,
-  round(avg(t.temperature_c), 4) AS mean_temperature
+  {mean("t.ride_duration_minutes")} AS mean_minutes, {mean("t.ride_distance_km")} AS mean_km,
+  {mean("t.temperature_c")} AS mean_temperature
 FROM fact_trips t JOIN dim_date dd ON t.date_key = dd.date_key
 JOIN dim_rider_type dr ON t.rider_type_key = dr.rider_type_key
 JOIN dim_bike_type db ON t.bike_type_key = db.bike_type_key
 JOIN dim_station ds ON t.start_station_key = ds.station_key GROUP BY 1, 2, 3""",
 )
-ORACLE["star_query"] = """
-SELECT n_name, c_mktsegment, count(*) AS orders, round(avg(o_totalprice), 2) AS mean_price
+ORACLE["star_query"] = f"""
+SELECT n_name, c_mktsegment, count(*) AS orders, {mean("o_totalprice")} AS mean_price
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
 WHERE lower(r_name) = 'asia' AND year(o_orderdate) = (SELECT year(max(o_orderdate)) FROM orders)

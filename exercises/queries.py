@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from exercises.adapters import BASE_STAMP, plain, station_batches, table, trips_raw, weather_raw
 from strataflow.functions import (
+    exact_mean,
     geo_km,
     hour_bucket,
     ieq,
@@ -97,7 +98,7 @@ def rejection_summary(spark, sf_dir):
         ["reason"],
         rides=F.count(F.lit(1)),
         members=F.count_if(F.col("member_casual") == "member"),
-        mean_minutes=F.round(F.avg("ride_duration_minutes"), 4),
+        mean_minutes=exact_mean("ride_duration_minutes"),
     )
 
 
@@ -302,9 +303,9 @@ def trip_report(spark, sf_dir):
         joined,
         ["rider_type_desc", "bike_type_desc", "is_weekend"],
         rides=F.count(F.lit(1)),
-        mean_minutes=F.round(F.avg("ride_duration_minutes"), 4),
-        mean_km=F.round(F.avg("ride_distance_km"), 4),
-        mean_temperature=F.round(F.avg("temperature_c"), 4),
+        mean_minutes=exact_mean("ride_duration_minutes"),
+        mean_km=exact_mean("ride_distance_km"),
+        mean_temperature=exact_mean("temperature_c"),
     )
 
 
@@ -326,7 +327,7 @@ def star_query(spark, sf_dir):
         star(latest, [(buyers, "o_custkey", "c_custkey")]),
         ["n_name", "c_mktsegment"],
         orders=F.count(F.lit(1)),
-        mean_price=F.round(F.avg("o_totalprice"), 2),
+        mean_price=exact_mean("o_totalprice"),
     )
 
 

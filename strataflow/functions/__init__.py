@@ -6,6 +6,7 @@ from strataflow.functions.logic import (
     backdate_first,
     count_where,
     default_to,
+    exact_mean,
     first_match,
     is_current,
     label,
@@ -39,6 +40,7 @@ __all__ = [
     "day_name",
     "default_to",
     "duration_minutes",
+    "exact_mean",
     "first_match",
     "geo_km",
     "hour_bucket",

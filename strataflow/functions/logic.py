@@ -63,6 +63,17 @@ def mean_coord(c: Column | str, digits: int = 6) -> Column:
     return F.round(F.avg(as_col(c)), digits)
 
 
+def exact_mean(c: Column | str, scale: int = 2) -> Column:
+    """Average of values that have at most ``scale`` decimals.
+
+    Whole units are added up, so the result does not depend on the order in
+    which tasks finish, as a sum of doubles would.
+    """
+    c, unit = as_col(c), 10**scale
+    units = F.sum(F.round(c * unit).cast("bigint"))
+    return units / (F.count(c) * F.lit(float(unit)))
+
+
 def count_where(condition: Column) -> Column:
     """Aggregate: number of rows for which the condition is true."""
     return F.count_if(condition)
