@@ -223,9 +223,11 @@ def _shipments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _asof(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     lines, orders = _shipments(spark, sf_dir)
+    if options:  # the plan that reads both sides more than once
+        lines = stage(lines, "lines")
     return asof_left(
         lines,
-        keep_latest(orders, ["o_custkey", "o_orderdate"], ["o_orderkey"]),
+        stage(keep_latest(orders, ["o_custkey", "o_orderdate"], ["o_orderkey"]), "versions"),
         {"o_custkey": "o_custkey"},
         "l_shipdate",
         "o_orderdate",
@@ -256,7 +258,7 @@ def asof_join_bounded(spark, sf_dir):
     )
     return asof_left(
         lines,
-        versions,
+        stage(versions, "versions"),
         {"o_custkey": "o_custkey"},
         "l_shipdate",
         "o_orderdate",

@@ -107,7 +107,8 @@ def asof_left(
       time, and each left row takes the last version before it.  Work is split
       by key and stretch of ``bucket_days``; a stretch starts with the version
       carried over from earlier ones.  Stretches holding more than
-      ``hot_rows`` left rows are split further.
+      ``hot_rows`` left rows are split further.  Both sides are read more than
+      once, so they should be tables rather than costly results.
     """
     if len(key) != 1:
         raise ValueError("an as-of join takes exactly one key column")

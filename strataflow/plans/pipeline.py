@@ -19,9 +19,9 @@ from strataflow.operators.incremental import incremental_scan
 from strataflow.operators.quality import gate, reconcile, run_checks
 from strataflow.operators.scd2 import scd2_apply
 from strataflow.plans import checks, gold, silver
-from strataflow.session import use_utc
+from strataflow.session import staging_scope, use_utc
 from strataflow.sources import files, schemas, weather
-from strataflow.sources.manifest import new_sources
+from strataflow.sources.manifest import discover_sources, new_sources
 from strataflow.sources.tables import (
     TableStore,
     bronze_append,
@@ -41,6 +41,12 @@ class Config:
     """Folder of the weather payloads, one JSON document per file."""
     root: str
     """Folder of all tables."""
+    listing: str | None = None
+    """XML listing of the archives that count; without it, all in the folder do."""
+    prefix: str = ""
+    suffix: str = ".zip"
+    start_from: str = ""
+    """First key of the listing to take."""
     zone: str = LOCAL_ZONE
     calendar_start: str = gold.CALENDAR_START
 
@@ -65,21 +71,40 @@ class Report:
     layers: DataFrame | None = None
 
 
-def _new_files(spark: SparkSession, folder: str, landed: str, key: str) -> list[str]:
-    """Paths of a folder's files whose names have no folder in the landing."""
+def _new_files(
+    spark: SparkSession, folder: str, landed: str, key: str, listed: DataFrame | None = None
+) -> list[str]:
+    """Paths of a folder's files whose names have no folder in the landing.
+
+    With ``listed`` keys, only files named there count.
+    """
     listing = (
         spark.read.format("binaryFile")
         .load(folder)
         .select("path", F.element_at(F.split("path", "/"), -1).alias(key))
     )
+    if listed is not None:
+        listing = listing.join(listed.select(F.col("key").alias(key)), key, "left_semi")
     known = landed_sources(spark, landed, key) if path_exists(spark, landed) else None
     wanted = new_sources(listing, known, key)
     return [row.path for row in listing.join(wanted, key, "left_semi").collect()]
 
 
+def listed_archives(spark: SparkSession, cfg: Config) -> DataFrame | None:
+    """Keys of the listing from ``start_from`` on; None without a listing."""
+    if cfg.listing is None:
+        return None
+    pages = spark.read.text(cfg.listing, wholetext=True).select(
+        F.col("value").alias("xml"), F.col("_metadata.file_name").alias("page")
+    )
+    return discover_sources(pages, cfg.prefix, cfg.suffix, cfg.start_from)
+
+
 def ingest(spark: SparkSession, cfg: Config, ingested_at: str) -> DataFrame | None:
     """Land the archives that are new; return the refused ones with a message."""
-    new = _new_files(spark, cfg.archives, cfg.landing, files.ARCHIVE)
+    new = _new_files(
+        spark, cfg.archives, cfg.landing, files.ARCHIVE, listed_archives(spark, cfg)
+    )
     if not new:
         return None
     raw = files.read_archives(spark, new, schemas.TRIP_FILE)
@@ -109,19 +134,27 @@ def bronze_tables(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     }
 
 
-def build_silver(store: TableStore, cfg: Config, bronze: dict[str, DataFrame]) -> None:
-    """Merge the source files not taken in yet.
+def build_silver(
+    store: TableStore, cfg: Config, bronze: dict[str, DataFrame], refresh: bool = False
+) -> None:
+    """Merge the source files not taken in yet, or with ``refresh`` rebuild from all.
 
     The files done are kept in a table of their own: a file all of whose rides
-    were replaced by a later one leaves no trace in the result.
+    were replaced by a later one leaves no trace in the result.  A merge fills
+    missing station ids of the new rides only; a rebuild revisits every ride,
+    and so may fill, or leave empty, others.
     """
+    if refresh:
+        trips = silver.silver_trips(bronze["bronze_trips"], None, cfg.zone)
+        store.write("int_trips_cleaned", _by_month(trips), partition_by=["start_month"])
+        store.write("silver_sources", bronze["bronze_trips"].select("_source_file").distinct())
+        store.write("silver_weather", silver.silver_weather(bronze["bronze_weather"], cfg.zone))
+        return
     done = store.read_or_none("silver_sources")
     batch = incremental_scan(bronze["bronze_trips"], done)
     if not batch.isEmpty():
         history = store.read_or_none("int_trips_cleaned")
-        updates = silver.silver_trips(batch, history, cfg.zone).withColumn(
-            "start_month", F.year("start_date") * 100 + F.month("start_date")
-        )
+        updates = _by_month(silver.silver_trips(batch, history, cfg.zone))
         store.merge("int_trips_cleaned", updates, ["ride_id"], partition_by="start_month")
         taken = batch.select("_source_file").distinct()
         store.write("silver_sources", taken if done is None else done.unionByName(taken))
@@ -134,6 +167,12 @@ def build_silver(store: TableStore, cfg: Config, bronze: dict[str, DataFrame]) -
         )
 
 
+def _by_month(trips: DataFrame) -> DataFrame:
+    return trips.withColumn(
+        "start_month", F.year("start_date") * 100 + F.month("start_date")
+    )
+
+
 def silver_tables(store: TableStore) -> dict[str, DataFrame]:
     flagged = store.read("int_trips_cleaned").drop("start_month")
     hours = store.read("silver_weather")
@@ -173,19 +212,35 @@ def build_gold(
     return out
 
 
-def run(spark: SparkSession, cfg: Config, as_of: datetime | str, local_as_of: datetime | str) -> Report:
+def run(
+    spark: SparkSession,
+    cfg: Config,
+    as_of: datetime | str,
+    local_as_of: datetime | str,
+    refresh: bool = False,
+) -> Report:
     """All layers, with the checks between them.
 
     ``as_of`` is the instant of the run in UTC, ``local_as_of`` the same on the
     local clock, on which the station versions are compared with the rides.  A
     failed check of severity ``error`` stops the run before the next layer.
+    ``refresh`` rebuilds silver from all of bronze.  What the run staged is
+    deleted at its end.
     """
     use_utc(spark)
-    as_of, local_as_of = str(as_of), str(local_as_of)
+    with staging_scope(spark):
+        return _run(spark, cfg, str(as_of), str(local_as_of), refresh)
+
+
+def _run(
+    spark: SparkSession, cfg: Config, as_of: str, local_as_of: str, refresh: bool
+) -> Report:
     store = TableStore(spark, f"{cfg.root}/tables")
     report = Report()
 
-    report.refused = ingest(spark, cfg, as_of)
+    refused = ingest(spark, cfg, as_of)
+    if refused is not None:
+        report.refused = store.write("refused_archives", refused)
     report.loaded = bronze_append(spark, cfg.landing, cfg.bronze, files.ARCHIVE)
     ingest_weather(spark, cfg, as_of)
     bronze = bronze_tables(spark, cfg)
@@ -195,7 +250,7 @@ def run(spark: SparkSession, cfg: Config, as_of: datetime | str, local_as_of: da
     if not report.loaded.where("NOT loaded").isEmpty():
         raise RuntimeError("some landing files could not be loaded; silver is not built")
 
-    build_silver(store, cfg, bronze)
+    build_silver(store, cfg, bronze, refresh)
     layers = silver_tables(store)
     report.results += gate(
         run_checks({**bronze, **layers}, checks.BRONZE_CHECKS + checks.SILVER_CHECKS, as_of)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scope: ContextVar[str | None] = ContextVar("staging_scope", default=None)
+
 
 def build_session(app: str = "strataflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every layer relies on.
@@ -56,9 +60,26 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/strataflow/{_scope.get() or spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the staging folder that no other run uses."""
-    return f"{staging_root(spark)}/strataflow/{name}-{uuid.uuid4().hex}"
+    """A path under the staging folder that nothing else uses."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is staged inside; frames read from it are void then."""
+    token = _scope.set(f"scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+        _scope.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -113,6 +113,13 @@ class TableStore:
         df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.parquet(path)
 
+    def append(self, name: str, df: DataFrame) -> DataFrame:
+        """Add rows to the current version; the first rows make the table."""
+        if not self.exists(name):
+            return self.write(name, df)
+        df.write.mode("append").parquet(self.path(name))
+        return self.read(name)
+
     def drop_old(self, name: str, keep: int = 2) -> None:
         """Delete all but the newest versions."""
         for number in self._versions(name)[:-keep]:

@@ -8,7 +8,7 @@ import pytest
 from strataflow.operators import analyst as a
 from strataflow.operators.vectors import nearest, nearest_batch, remember
 from strataflow.session import new_path
-from strataflow.sources.tables import with_docs
+from strataflow.sources.tables import TableStore, with_docs
 
 TEXTS = [
     ("SELECT 1; SELECT 2", a.NOT_SINGLE),
@@ -138,4 +138,8 @@ def test_nearest_batch_equals_nearest(spark):
 def test_remember(spark):
     pairs = spark.createDataFrame([("how many?", "SELECT 1", [0.5, 1.0])], "question string, query string, embedding array<double>")
     row = remember(pairs, "2024-01-01 00:00:00").first()
+    store = TableStore(spark, new_path(spark, "memory"))
+    for day in ("2024-01-01", "2024-01-02"):
+        store.append("memory", remember(pairs, day))
+    assert nearest(store.read("memory"), [1.0, 2.0], 3).count() == 2
     assert row.embedding == [0.5, 1.0] and row.created_at == dt.datetime(2024, 1, 1) and len(row.id) == 32
