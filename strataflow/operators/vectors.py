@@ -52,8 +52,9 @@ def nearest_batch(
     """The ``k`` closest rows for each of a bounded set of query vectors.
 
     The query vectors go to every task as one matrix; each Arrow batch of the
-    table is multiplied by it and reduced to ``k`` rows per query.  What is
-    shuffled is ``k`` rows per query and batch, never the pairs.
+    table is multiplied by it, and a task keeps its ``k`` best rows per query.
+    What is shuffled is ``k`` rows per query and task, never the pairs.  Ids
+    are whole numbers.
     """
     wanted = queries.select(query_id, vector).limit(max_queries + 1).toPandas()
     if len(wanted) > max_queries:
@@ -61,23 +62,38 @@ def nearest_batch(
     ids = wanted[query_id].tolist()
     matrix = wanted[vector].tolist()
 
-    def best_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def best_of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
+        if not ids:
+            return
         q = np.array([np.asarray(v, dtype="float64") for v in matrix])
-        q_norm = np.linalg.norm(q, axis=1) if len(q) else q
+        q_norm = np.linalg.norm(q, axis=1)
+        best = [(np.empty(0), np.empty(0, dtype="int64"))] * len(ids)
         for batch in batches:
-            if not len(batch) or not len(q):
+            if not len(batch):
                 continue
-            v = np.array([np.asarray(x, dtype="float64") for x in batch["_v"]])
-            norms = np.outer(q_norm, np.linalg.norm(v, axis=1))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                dist = np.round(1.0 - (q @ v.T) / norms, digits) + 0.0
             names = batch["_id"].to_numpy()
-            for row, name in enumerate(ids):
-                order = np.lexsort((names, dist[row]))[:k]
-                order = order[~np.isnan(dist[row][order])]
-                yield pd.DataFrame({"_q": name, "_id": names[order], "distance": dist[row][order]})
+            v = np.array([np.asarray(x, dtype="float64") for x in batch["_v"]])
+            v_norm = np.linalg.norm(v, axis=1)
+            # Blocks of queries, so that a block of distances stays near 32 MB.
+            step = max(1, 4_000_000 // len(v))
+            for start in range(0, len(ids), step):
+                rows = slice(start, start + step)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    cosine = (q[rows] @ v.T) / np.outer(q_norm[rows], v_norm)
+                dist = np.round(1.0 - cosine, digits) + 0.0
+                dist[np.isnan(dist)] = np.inf
+                kth = min(k, len(v)) - 1
+                limits = np.partition(dist, kth, axis=1)[:, kth]
+                for i, (row, limit) in enumerate(zip(dist, limits), start):
+                    near = np.flatnonzero((row <= limit) & np.isfinite(row))
+                    d = np.concatenate([best[i][0], row[near]])
+                    n = np.concatenate([best[i][1], names[near]])
+                    order = np.lexsort((n, d))[:k]
+                    best[i] = d[order], n[order]
+        for name, (d, n) in zip(ids, best):
+            yield pd.DataFrame({"_q": name, "_id": n, "distance": d})
 
     schema = T.StructType(
         [
@@ -88,7 +104,7 @@ def nearest_batch(
     )
     candidates = vectors.select(
         F.col(vector_id).alias("_id"), F.col(vector).alias("_v")
-    ).where(F.col("_v").isNotNull()).mapInPandas(best_of_batch, schema)
+    ).where(F.col("_v").isNotNull()).mapInPandas(best_of_partition, schema)
     rank = F.row_number().over(Window.partitionBy("_q").orderBy("distance", "_id"))
     return (
         candidates.withColumn("neighbour_rank", rank)

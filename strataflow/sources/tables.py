@@ -123,8 +123,7 @@ class TableStore:
     def drop_old(self, name: str, keep: int = 2) -> None:
         """Delete all but the newest versions."""
         for number in self._versions(name)[:-keep]:
-            fs, target = _files(self.spark, f"{self.root}/{name}/v{number}")
-            fs.delete(target, True)
+            self._delete(f"{self.root}/{name}/v{number}")
 
     def register(self, name: str, view: str | None = None) -> DataFrame:
         """The table as a temporary view."""
@@ -144,10 +143,12 @@ class TableStore:
 
         Without ``partition_by`` a new version of the whole table is written.
         With it, only the partitions that hold a matching key or receive a row
-        are rewritten in place, so a month's batch does not rewrite years; the
-        updates are staged first, because the old rows of a partition are read
-        while its new files are written aside.
+        are rewritten, in place, so a month's batch does not rewrite years.
+        Their new rows are written beside the table first; should the run die
+        while it replaces the partitions, the next merge, or ``recover``, does
+        the rest.
         """
+        self.recover(name)
         target = self.read_or_none(name)
         if target is None:
             return self.write(name, updates, partition_by=[partition_by] if partition_by else [])
@@ -155,29 +156,44 @@ class TableStore:
         if partition_by is None:
             return self.write(name, merge_upsert(target, updates, keys))
         updates = stage(updates, f"{name}-updates")
-        touched = [
-            row[0] for row in touched_partitions(target, updates, keys, partition_by).collect()
-        ]
-        scope = F.col(partition_by).isin(touched) | F.col(partition_by).isNull()
-        old = target.where(scope)
-        merged = stage(merge_upsert(old, updates, keys), f"{name}-merged")
-
-        def partitions(df: DataFrame) -> set:
-            return {row[0] for row in df.select(partition_by).distinct().collect()}
-
-        emptied = partitions(old) - partitions(merged)
-        path = self.path(name)
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by)
-            .parquet(path)
-        )
-        for value in emptied:
-            folder = NULL_PARTITION if value is None else value
-            fs, target_path = _files(self.spark, f"{path}/{partition_by}={folder}")
-            fs.delete(target_path, True)
-        return self.spark.read.parquet(path)
+        touched = touched_partitions(target, updates, keys, partition_by)
+        touched.write.mode("overwrite").parquet(f"{self._pending(name)}/touched")
+        values = [r[0] for r in self.spark.read.parquet(f"{self._pending(name)}/touched").collect()]
+        scope = F.col(partition_by).isin(values) | F.col(partition_by).isNull()
+        merged = merge_upsert(target.where(scope), updates, keys)
+        merged.write.mode("overwrite").parquet(f"{self._pending(name)}/rows")
+        self.recover(name)
+        return self.read(name)
+
+    def _pending(self, name: str) -> str:
+        return f"{self.root}/_pending/{name}"
+
+    def recover(self, name: str) -> None:
+        """Finish a partition merge whose new rows are complete; safe to repeat."""
+        pending = self._pending(name)
+        if path_exists(self.spark, f"{pending}/rows/{MARKER}"):
+            touched = self.spark.read.parquet(f"{pending}/touched")
+            rows = self.spark.read.parquet(f"{pending}/rows")
+            (partition_by,) = touched.columns
+            path = self.path(name)
+            (
+                rows.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(partition_by)
+                .parquet(path)
+            )
+            filled = {r[0] for r in rows.select(partition_by).distinct().collect()}
+            for (value,) in touched.collect():
+                if value not in filled:
+                    folder = NULL_PARTITION if value is None else value
+                    self._delete(f"{path}/{partition_by}={folder}")
+        # The marker goes first: without it the rest counts for nothing.
+        self._delete(f"{pending}/rows/{MARKER}")
+        self._delete(pending)
+
+    def _delete(self, path: str) -> None:
+        fs, target = _files(self.spark, path)
+        fs.delete(target, True)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

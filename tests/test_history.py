@@ -11,7 +11,7 @@ from strataflow.operators.incremental import incremental_scan, merge_upsert, new
 from strataflow.operators.scd2 import scd2_apply
 from strataflow.plans import gold
 from strataflow.session import new_path, stage
-from strataflow.sources.tables import TableStore, sorted_by, with_docs
+from strataflow.sources.tables import TableStore, path_exists, sorted_by, with_docs
 
 T1, T2, T3, T4 = (dt.datetime(2024, m, 1) for m in (1, 2, 3, 4))
 
@@ -123,6 +123,26 @@ def test_merge_rewrites_only_touched_partitions(spark):
     assert {(r.k, r.v, r.month) for r in store.read("t").collect()} == got
 
 
+def test_merge_that_died_is_finished_later(spark, monkeypatch):
+    store = TableStore(spark, new_path(spark, "died"))
+    store.merge("t", parts(spark, ("a", 1, 1), ("b", 1, 2)), ["k"], partition_by="month")
+    finish = TableStore.recover
+
+    def die(self, name):
+        if path_exists(spark, f"{self._pending(name)}/rows/_SUCCESS"):
+            raise KeyboardInterrupt
+
+    monkeypatch.setattr(TableStore, "recover", die)
+    with pytest.raises(KeyboardInterrupt):
+        store.merge("t", parts(spark, ("b", 2, 3)), ["k"], partition_by="month")
+    monkeypatch.setattr(TableStore, "recover", finish)
+    # Worst moment: the old partition is gone, the new one not yet there.
+    store._delete(f"{store.path('t')}/month=2")
+    store.merge("t", parts(spark, ("c", 1, 1)), ["k"], partition_by="month")
+    assert {(r.k, r.v, r.month) for r in store.read("t").collect()} == {("a", 1, 1), ("b", 2, 3), ("c", 1, 1)}
+    assert not path_exists(spark, store._pending("t"))
+
+
 def test_versions_switch_when_complete(spark):
     store = TableStore(spark, new_path(spark, "versions"))
     assert store.read_or_none("t") is None
