@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strataflow.functions.time import LOCAL_ZONE
 from strataflow.operators.filters import accepted, rejected
@@ -78,6 +79,8 @@ def _new_files(
 
     With ``listed`` keys, only files named there count.
     """
+    if not path_exists(spark, folder):
+        return []
     listing = (
         spark.read.format("binaryFile")
         .load(folder)
@@ -126,11 +129,16 @@ def ingest_weather(spark: SparkSession, cfg: Config, ingested_at: str) -> None:
 
 
 def bronze_tables(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
-    trips = files.read_parquet(spark, cfg.bronze)
-    hours = files.read_parquet(spark, cfg.bronze_weather)
+    """The bronze tables; one that nothing was loaded into yet is empty."""
+
+    def read(path: str, key: str, contract: StructType) -> DataFrame:
+        if landed_sources(spark, path, key).isEmpty():
+            return spark.createDataFrame([], contract)
+        return schemas.read_contract(files.read_parquet(spark, path), contract)
+
     return {
-        "bronze_trips": schemas.read_contract(trips, schemas.BRONZE_TRIPS),
-        "bronze_weather": schemas.read_contract(hours, schemas.BRONZE_WEATHER),
+        "bronze_trips": read(cfg.bronze, files.ARCHIVE, schemas.BRONZE_TRIPS),
+        "bronze_weather": read(cfg.bronze_weather, PAYLOAD, schemas.BRONZE_WEATHER),
     }
 
 
@@ -161,7 +169,7 @@ def build_silver(
 
     seen = store.read_or_none("silver_weather")
     hours = incremental_scan(bronze["bronze_weather"], seen, mode="watermark")
-    if not hours.isEmpty():
+    if seen is None or not hours.isEmpty():
         store.merge(
             "silver_weather", silver.silver_weather(hours, cfg.zone), ["observation_time"]
         )

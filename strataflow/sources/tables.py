@@ -121,9 +121,11 @@ class TableStore:
         return self.read(name)
 
     def drop_old(self, name: str, keep: int = 2) -> None:
-        """Delete all but the newest versions."""
-        for number in self._versions(name)[:-keep]:
-            self._delete(f"{self.root}/{name}/v{number}")
+        """Delete all but the newest complete versions, and what failed before them."""
+        kept = self._versions(name)[-keep:]
+        for child in _children(self.spark, f"{self.root}/{name}"):
+            if child[1:].isdigit() and kept and int(child[1:]) < kept[0]:
+                self._delete(f"{self.root}/{name}/{child}")
 
     def register(self, name: str, view: str | None = None) -> DataFrame:
         """The table as a temporary view."""

@@ -11,7 +11,7 @@ from strataflow.operators.incremental import incremental_scan, merge_upsert, new
 from strataflow.operators.scd2 import scd2_apply
 from strataflow.plans import gold
 from strataflow.session import new_path, stage
-from strataflow.sources.tables import TableStore, path_exists, sorted_by, with_docs
+from strataflow.sources.tables import TableStore, _children, path_exists, sorted_by, with_docs
 
 T1, T2, T3, T4 = (dt.datetime(2024, m, 1) for m in (1, 2, 3, 4))
 
@@ -161,6 +161,7 @@ def test_versions_switch_when_complete(spark):
     assert sorted(r.n for r in store.read("t").collect()) == [10, 11, 12]
     store.write("t", spark.range(1).toDF("n"))
     store.drop_old("t", keep=1)
+    assert [f for f in _children(spark, f"{store.root}/t") if f.startswith("v")] == ["v4"]
     assert store.read("t").count() == 1 and store.register("t", "t_view").count() == 1
 
 

@@ -167,6 +167,16 @@ def test_gate_stops_the_run_before_silver(spark, tmp_path):
     assert not TableStore(spark, f"{cfg.root}/tables").exists("int_trips_cleaned")
 
 
+def test_run_without_weather_or_with_nothing(spark, tmp_path):
+    cfg = pipeline.Config(str(tmp_path / "zips"), str(tmp_path / "weather"), str(tmp_path / "lake"))
+    with pytest.raises(QualityError, match="row_count"):
+        pipeline.run(spark, cfg, "2024-02-02 00:00:00", "2024-02-01 19:00:00")
+    archive(tmp_path / "zips", "2024-01", JANUARY)
+    pipeline.run(spark, cfg, "2024-02-02 00:00:00", "2024-02-01 19:00:00")
+    fact = TableStore(spark, f"{cfg.root}/tables").read("fact_trips")
+    assert fact.count() == 2 and fact.where("temperature_c IS NOT NULL").isEmpty()
+
+
 def weather_row(hour, stamp, temperature, minute_utc="2024-11-03"):
     return (dt.datetime.fromisoformat(f"{minute_utc} {hour}"), temperature, None, None, None, None, dt.datetime.fromisoformat(stamp))
 
