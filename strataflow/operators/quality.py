@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strataflow.functions.logic import count_where
 from strataflow.operators.joins import missing_in
 from strataflow.operators.sets import null_profile
 
@@ -133,7 +134,7 @@ def _fused(df: DataFrame, checks: Sequence[Check], as_of: datetime | str) -> Dat
             broken = column.isNull()
         else:
             broken = ~column.isin(*check.values)
-        aggregates.append(F.count_if(broken).alias(name))
+        aggregates.append(count_where(broken).alias(name))
         rows.append(_row(check, F.col(name), F.col(name), F.col(name) == 0))
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
@@ -190,7 +191,7 @@ def anomaly_scores(
 
 def _anomalies(df: DataFrame, check: Check) -> DataFrame:
     scored = anomaly_scores(null_profile(df, check.column, check.timestamp), check.metric)
-    return _counted(check, scored.agg(F.count_if("anomalous").alias("failing")))
+    return _counted(check, scored.agg(count_where(F.col("anomalous")).alias("failing")))
 
 
 def run_checks(
@@ -237,8 +238,8 @@ def reconcile(flagged: DataFrame, fact: DataFrame, reason: str = "rejection_reas
     """
     silver = flagged.agg(
         F.count(F.lit(1)).alias("cleaned"),
-        F.count_if(F.col(reason).isNull()).alias("accepted"),
-        F.count_if(F.col(reason).isNotNull()).alias("rejected"),
+        count_where(F.col(reason).isNull()).alias("accepted"),
+        count_where(F.col(reason).isNotNull()).alias("rejected"),
     )
     in_fact = fact.agg(F.count(F.lit(1)).alias("n"))
     return silver.withColumn("in_fact", in_fact.scalar()).select(

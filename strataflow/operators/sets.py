@@ -8,14 +8,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.functions.logic import count_where
+
 
 def date_spine(spark: SparkSession, start: date | str, end: date | str) -> DataFrame:
-    """One row per day, start included, end excluded."""
-    return spark.range(1).select(
-        F.explode(
-            F.sequence(F.lit(str(start)).cast("date"), F.date_sub(F.lit(str(end)).cast("date"), 1))
-        ).alias("date_day")
-    )
+    """One row per day, start included, end excluded; none if the end is not later."""
+    first, after = (F.lit(str(d)).cast("date") for d in (start, end))
+    days = F.sequence(first, F.date_sub(after, 1))
+    return spark.range(1).where(first < after).select(F.explode(days).alias("date_day"))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -63,7 +63,7 @@ def null_profile(df: DataFrame, col: str, ts: str) -> DataFrame:
         df.groupBy(F.to_date(ts).alias("day"))
         .agg(
             F.count(F.lit(1)).alias("row_count"),
-            F.count_if(F.col(col).isNull()).alias("null_count"),
+            count_where(F.col(col).isNull()).alias("null_count"),
         )
         .withColumn("null_percent", F.col("null_count") * 100.0 / F.col("row_count"))
     )

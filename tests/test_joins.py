@@ -142,6 +142,8 @@ def test_first_per_key_puts_null_last(spark):
 def test_date_spine_excludes_the_end(spark):
     days = [r[0].isoformat() for r in sets.date_spine(spark, "2023-12-30", "2024-01-02").collect()]
     assert days == ["2023-12-30", "2023-12-31", "2024-01-01"]
+    for end in ("2023-12-30", "2023-12-29", "2020-01-01"):
+        assert sets.date_spine(spark, "2023-12-30", end).isEmpty()
     bound = spark.createDataFrame([(dt.date(2023, 12, 30),)], "d date")
     assert capped_by(sets.date_spine(spark, "2023-12-30", "2024-01-02"), "date_day", bound).count() == 1
 
