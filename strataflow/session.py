@@ -52,14 +52,14 @@ def staging_root(spark: SparkSession) -> str:
     on a cluster a missing setting is an error, since executors could not see
     the driver's disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-    root = tempfile.mkdtemp(prefix="strataflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="strataflow-"))
+    return context.getCheckpointDir()
 
 
 def _folder(spark: SparkSession) -> str:
