@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import string
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +45,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_pandas(df: DataFrame, step: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package on the path of the Python workers.
+
+    On a cluster the package is shipped with the job; where the workers see the
+    driver's folders, they find it there even if it is not installed.
+    """
+    seen = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in seen.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        seen["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInPandas(step, schema)
+
+
 def numbered(df: DataFrame, order: list, name: str) -> tuple[DataFrame, DataFrame]:
     """``df`` range-sorted by ``order`` and staged, with ``_part`` and ``_at``.
 

@@ -5,11 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import mixing
+from strataflow.llm import mixing, token_store
 from strataflow.llm.sql import ORACLE  # noqa: F401
 from strataflow.llm.common import table
 
 
+def tokenizer_file() -> str:
+    """The file the token queries use; operators take its path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids, read back from the files."""
+    return token_store.write_and_read(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document, and when."""
     return mixing.plan(table(spark, sf_dir, "documents")).select(
@@ -20,6 +32,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
 }
 
