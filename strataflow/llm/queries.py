@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import mixing, token_store
+from strataflow.llm import mixing, simhash, token_store
 from strataflow.llm.sql import ORACLE  # noqa: F401
 from strataflow.llm.common import table
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of each document."""
+    return simhash.group(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def tokenizer_file() -> str:
     """The file the token queries use; operators take its path as a parameter."""
     import public_tokenizers
@@ -32,6 +39,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op3_simhash": op3_simhash,
     "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
 }
