@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import mixing, simhash, token_store
+from strataflow.llm import decontaminate, mixing, secret_spans, simhash, token_store
 from strataflow.llm.sql import ORACLE  # noqa: F401
 from strataflow.llm.common import table
 
@@ -29,6 +29,17 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.write_and_read(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in each document."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document, and when."""
     return mixing.plan(table(spark, sf_dir, "documents")).select(
@@ -38,7 +49,20 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in each document."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_spans.find(docs, secret_spans.train(docs))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "n_markov",
+        F.sha2(F.concat_ws(",", "base_spans"), 256).alias("base_sha256"),
+        F.concat_ws(",", "spans").alias("spans"),
+    )
+
+
 REGISTRY = {
+    "op7_decontamination": op7_decontamination,
+    "op10_secrets": op10_secrets,
     "op3_simhash": op3_simhash,
     "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,

@@ -52,7 +52,36 @@ mixed AS (
   FROM placed)"""
 
 
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def hit_rows(docs: str) -> str:
+    """CTEs that end in ``hit``: one row per row of ``docs``, with its benchmark hits."""
+    pattern = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    split = f"coalesce(regexp_extract_all({LOWER.format('text')}, {pattern}), [])"
+    return f"""
+dw AS MATERIALIZED (SELECT *, row_number() OVER () AS rid, {split} AS w FROM {docs}),
+iw AS (SELECT item_id, w, least(len(w), 10) AS k FROM (SELECT item_id, {split} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS s FROM iw)),
+grams AS (
+  SELECT rid, k, s, array_to_string(w[s:s + k - 1], ' ') AS g
+  FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM dw, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+occurs AS (SELECT rid, s, grams.k, item_id FROM grams JOIN win USING (k, g)),
+covered AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + k)) AS p FROM occurs) GROUP BY rid),
+listed AS (
+  SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM occurs GROUP BY rid),
+hit AS (
+  SELECT dw.*, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(ids, '') AS ids
+  FROM dw LEFT JOIN covered USING (rid) LEFT JOIN listed USING (rid))"""
+
+
 ORACLE: dict[str, str] = {
+    "op7_decontamination": f"""WITH {hit_rows('documents')}
+SELECT doc_id, len(w)::BIGINT AS n_words, n_hit, n_items, sha256(ids) AS items_sha256, n_hit > 0 AS contaminated FROM hit""",
     "op9_mixing": f"""WITH {mixing_rows('documents')}
 SELECT doc_id, size, source_size, target::DOUBLE AS target,
        (size * ((p1 IS NOT NULL)::INT + (p2 IS NOT NULL)::INT))::BIGINT AS taken,
