@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, mixing, secret_spans, simhash, token_store
+from strataflow.llm import decontaminate, mixing, quality, secret_spans, simhash, token_store
 from strataflow.llm.sql import ORACLE  # noqa: F401
-from strataflow.llm.common import table
+from strataflow.llm.common import id_fold, table
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document, learnt from four folds of five."""
+    docs, fold = table(spark, sf_dir, "documents"), id_fold(F.col("doc_id"), 5)
+    model = quality.train(docs, table(spark, sf_dir, "labels"), fold != 0)
+    folded = docs.withColumn("held_out", F.coalesce(fold == 0, F.lit(False)))
+    return quality.score(folded, model, ["doc_id", "held_out"])
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +69,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_quality": op1_quality,
     "op7_decontamination": op7_decontamination,
     "op10_secrets": op10_secrets,
     "op3_simhash": op3_simhash,
