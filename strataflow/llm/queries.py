@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, mixing, quality, secret_spans, simhash, token_store
+from strataflow.llm import ann, decontaminate, mixing, quality, secret_spans, simhash, token_store
 from strataflow.llm.sql import ORACLE  # noqa: F401
 from strataflow.llm.common import id_fold, table
 
@@ -48,6 +48,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document, and when."""
     return mixing.plan(table(spark, sf_dir, "documents")).select(
@@ -71,6 +76,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_quality": op1_quality,
     "op7_decontamination": op7_decontamination,
+    "op8_nearest": op8_nearest,
     "op10_secrets": op10_secrets,
     "op3_simhash": op3_simhash,
     "op6_token_store": op6_token_store,

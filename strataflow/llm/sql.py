@@ -87,4 +87,13 @@ SELECT doc_id, size, source_size, target::DOUBLE AS target,
        (size * ((p1 IS NOT NULL)::INT + (p2 IS NOT NULL)::INT))::BIGINT AS taken,
        p1::DOUBLE AS first_position, p2::DOUBLE AS second_position
 FROM mixed""",
+    "op8_nearest": """WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+near AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM near)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
 }
