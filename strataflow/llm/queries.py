@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import ann, decontaminate, mixing, quality, secret_spans, simhash, token_store
+from strataflow.llm import ann, decontaminate, host_paths, mixing, quality, secret_spans, simhash, token_store
 from strataflow.llm.sql import ORACLE  # noqa: F401
 from strataflow.llm.common import id_fold, table
 
@@ -25,6 +25,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return host_paths.extract(table(spark, sf_dir, "pages"))
+
+
 def tokenizer_file() -> str:
     """The file the token queries use; operators take its path as a parameter."""
     import public_tokenizers
@@ -79,6 +84,7 @@ REGISTRY = {
     "op8_nearest": op8_nearest,
     "op10_secrets": op10_secrets,
     "op3_simhash": op3_simhash,
+    "op4_host_paths": op4_host_paths,
     "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
 }
