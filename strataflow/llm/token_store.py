@@ -60,7 +60,7 @@ def encode_words(own, wanted: list[bytes], kind: str) -> Iterator[tuple[bytes, b
     import numpy as np
 
     def ids(text: str):
-        return np.array(own.encode(text, add_special_tokens=False).ids, dtype=kind)
+        return np.array(own.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=kind)
 
     mark = ids(MARK)
     plain = [w for w in wanted if b"\x01" not in w] if len(mark) == 1 else []
