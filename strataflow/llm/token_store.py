@@ -114,12 +114,13 @@ def _dictionary(tokens: DataFrame, max_samples: int, sample_bytes: int, dict_byt
     """A dictionary trained on the first bytes of ``max_samples`` documents, picked by hash."""
     import zstandard
 
-    picked = (
-        tokens.select(F.xxhash64("_hash", F.lit(7)).alias("h"), "_hash", F.substring("ids", 1, sample_bytes).alias("s"))
-        .orderBy("h", "_hash", "s")
-        .limit(max_samples)
+    keyed = tokens.withColumn("h", F.xxhash64("_hash", F.lit(7)))
+    last = keyed.select("h").orderBy("h").limit(max_samples).agg(F.max("h")).first()[0]
+    # Only the picked rows' ids are read and sent; equal texts are one sample.
+    picked = keyed.where(F.col("h") <= F.lit(last)).groupBy("h").agg(
+        F.min(F.substring("ids", 1, sample_bytes)).alias("s")
     )
-    samples = [bytes(r.s) for r in picked.collect() if r.s]
+    samples = [bytes(r.s) for r in picked.orderBy("h").collect() if r.s] if last is not None else []
     content = b""
     if sum(map(len, samples)) >= 16 * dict_bytes and len(samples) >= 100:
         try:
