@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import ann, decontaminate, host_paths, mixing, quality, secret_spans, simhash, token_store
+from strataflow.llm import ann, decontaminate, host_paths, mixing, ppm, quality, secret_spans, simhash, token_store
 from strataflow.llm.sql import ORACLE  # noqa: F401
 from strataflow.llm.common import id_fold, table
 
@@ -18,6 +18,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(folded, model, ["doc_id", "held_out"])
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document, learnt from nine folds of ten."""
+    return ppm.score(table(spark, sf_dir, "documents"), id_fold(F.col("doc_id"), 10) == 0)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
     return simhash.group(table(spark, sf_dir, "documents")).select(
@@ -83,6 +88,7 @@ REGISTRY = {
     "op7_decontamination": op7_decontamination,
     "op8_nearest": op8_nearest,
     "op10_secrets": op10_secrets,
+    "op2_ppm": op2_ppm,
     "op3_simhash": op3_simhash,
     "op4_host_paths": op4_host_paths,
     "op6_token_store": op6_token_store,
