@@ -7,7 +7,7 @@ import string
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataflow.session import stage
@@ -77,6 +77,22 @@ def numbered(df: DataFrame, order: list, name: str) -> tuple[DataFrame, DataFram
     return rows, rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
 
 
+def ranked_within(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
+    """``df`` with ``_nth``, the place of a row, from 1, among the rows of its keys.
+
+    Ranks come from a range sort of all rows, so a key that a third of them share
+    is spread over tasks.
+    """
+    rows, _ = numbered(df, [*(F.asc_nulls_first(k) for k in keys), *order], name)
+    # Rows of the keys in earlier ranges; a key is cut only where a range ends.
+    held = rows.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_held"), F.min("_at").alias("_from"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = held.withColumn("_before", F.coalesce(F.sum("_held").over(earlier), F.lit(0)))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ["_part", *keys]]
+    nth = F.col("_before") + F.col("_at") - F.col("_from") + 1
+    return rows.alias("r").join(before.alias("b"), same).select(*(f"r.{c}" for c in df.columns), nth.alias("_nth"))
+
+
 def one_each(df: DataFrame, keys: list[str], repeated: DataFrame) -> DataFrame:
     """``df`` with one row for each key of ``repeated``, and all other rows as they are.
 

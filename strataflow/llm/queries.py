@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import ann, decontaminate, host_paths, mixing, ppm, quality, secret_spans, simhash, token_store
+from strataflow.llm import (
+    ann,
+    decontaminate,
+    host_paths,
+    mixing,
+    ppm,
+    quality,
+    secret_spans,
+    simhash,
+    token_store,
+    tool_calls,
+)
 from strataflow.llm.sql import ORACLE  # noqa: F401
 from strataflow.llm.common import id_fold, table
 
@@ -35,6 +46,11 @@ def op4_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_paths.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each message in its place, as canonical JSON."""
+    return tool_calls.format_messages(table(spark, sf_dir, "conversations"))
+
+
 def tokenizer_file() -> str:
     """The file the token queries use; operators take its path as a parameter."""
     import public_tokenizers
@@ -91,6 +107,7 @@ REGISTRY = {
     "op2_ppm": op2_ppm,
     "op3_simhash": op3_simhash,
     "op4_host_paths": op4_host_paths,
+    "op5_tool_calls": op5_tool_calls,
     "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
 }
