@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import lower_ascii, words
+from strataflow.llm.common import lower_ascii, spare_name, words
 from strataflow.session import stage
 
 #: A word is a run of ASCII letters, digits and characters beyond ASCII.
@@ -142,9 +142,7 @@ def _same(a: str, b: str) -> Column:
 def drop_hit(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """``docs`` without the rows in which an item's window occurs; same columns."""
     hit = stage(scan(docs, items, **settings).where("n_hit > 0").select("doc_id", "text_hash").distinct(), "contaminated")
-    hashed = docs.withColumn("text_hash", F.xxhash64("text")) if "text_hash" not in docs.columns else None
-    if hashed is None:  # a clashing column: keep it under its name
-        return drop_hit(docs.withColumnRenamed("text_hash", "_kept_text_hash"), items, **settings).withColumnRenamed(
-            "_kept_text_hash", "text_hash"
-        )
-    return hashed.alias("d").join(hit.alias("h"), _same("d", "h"), "left_anti").select(docs.columns)
+    own = spare_name(docs, "text_hash")
+    hashed = docs.withColumn(own, F.xxhash64("text")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col(f"d.{own}") == F.col("h.text_hash"))
+    return hashed.join(hit.alias("h"), same, "left_anti").select(docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import WORD, numbered, one_each, row_key
+from strataflow.llm.common import WORD, numbered, one_each, row_key, spare_name
 from strataflow.session import stage
 
 Knots = Sequence[tuple[float, float]]
@@ -164,12 +164,10 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.flatten(F.collect_list("positions")).alias("_positions")
     )
     pooled = stage(pooled, "mixing_pool")
-    keyed = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
-    repeated = pooled.where("_n > 1").select(F.col("key").alias("_key"))
-    copies = (
-        one_each(keyed, ["_key"], repeated)
-        .join(pooled.where(F.size("_positions") > 0).select(F.col("key").alias("_key"), "_positions"), "_key")
-        .withColumn("_position", F.explode("_positions"))
-    )
-    order = ["_position", "_key"]
+    key, position = spare_name(docs, "_key"), spare_name(docs, "_position")
+    keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
+    repeated = pooled.where("_n > 1").select(F.col("key").alias(key))
+    asked = pooled.where(F.size("_positions") > 0).select(F.col("key").alias(key), F.col("_positions").alias(position))
+    copies = one_each(keyed, [key], repeated).join(asked, key).withColumn(position, F.explode(position))
+    order = [position, key]
     return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import map_pandas, one_each
+from strataflow.llm.common import map_pandas, one_each, spare_name
 from strataflow.llm.components import components
 from strataflow.session import stage
 
@@ -193,8 +193,9 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     many = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     kept = stage(kept, "kept")
     k = kept.alias("k")
-    d = docs.withColumn("_text_hash", F.xxhash64("text")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._text_hash") == F.col("k.text_hash"))
+    own = spare_name(docs, "_text_hash")
+    d = docs.withColumn(own, F.xxhash64("text")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{own}") == F.col("k.text_hash"))
     left = d.join(k, same, "left_semi")
-    repeated = stage(many.select("doc_id", F.col("text_hash").alias("_text_hash")), "repeated")
-    return one_each(left, ["doc_id", "_text_hash"], repeated).select(docs.columns)
+    repeated = stage(many.select("doc_id", F.col("text_hash").alias(own)), "repeated")
+    return one_each(left, ["doc_id", own], repeated).select(docs.columns)
