@@ -101,15 +101,16 @@ def _in_order(messages: DataFrame, edges: DataFrame) -> DataFrame:
 
     Messages keep the order of their turns, except that one that needs another
     comes after it: it takes the other's turn and stands one deeper.  Each round
-    moves the messages that still stand too early; one that is moved more often
-    than its conversation has edges needs itself, and keeps its own turn.
+    moves the messages that still stand too early.  If one is moved more often
+    than its conversation has edges, messages need each other in a circle; those
+    of that conversation keep their turns.
     """
     touched = edges.select(F.col("before").alias("mid")).union(edges.select("after")).distinct()
     most = edges.groupBy("conv_id").agg(F.count(F.lit(1)).alias("most"))
     places = messages.select("mid", "conv_id", "turn").join(touched, "mid")
     same = places["conv_id"].eqNullSafe(most["conv_id"])
     places = stage(
-        places.join(most, same).select("mid", F.col("turn").alias("at"), F.lit(0).cast("long").alias("depth"), "most"), "places"
+        places.join(most, same).select("mid", places["conv_id"], F.col("turn").alias("at"), F.lit(0).cast("long").alias("depth"), "most"), "places"
     )
     while True:
         u, v = places.alias("u"), places.alias("v")
@@ -126,11 +127,13 @@ def _in_order(messages: DataFrame, edges: DataFrame) -> DataFrame:
             break
         places = stage(
             places.join(early, "mid", "left").select(
-                "mid", F.coalesce("to.at", "at").alias("at"), F.coalesce("to.depth", "depth").alias("depth"), "most"
+                "mid", "conv_id", F.coalesce("to.at", "at").alias("at"), F.coalesce("to.depth", "depth").alias("depth"), "most"
             ),
             "places",
         )
-    return places.select("mid", "at", "depth", (F.col("depth") > F.col("most")).alias("cyclic"))
+    circles = places.groupBy("conv_id").agg(F.max(F.col("depth") > F.col("most")).alias("cyclic"))
+    same = F.col("p.conv_id").eqNullSafe(F.col("c.conv_id"))
+    return places.alias("p").join(circles.alias("c"), same).select("mid", "at", "depth", "cyclic")
 
 
 def format_messages(conversations: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:
@@ -140,8 +143,8 @@ def format_messages(conversations: DataFrame, schemas: dict[str, dict] | None =
     an identifier is used again, the n-th result belongs to the n-th call.
     ``seq`` counts the messages of a conversation in topological order: a result
     comes after its call, a call after the results it names in ``after``, and
-    otherwise turns decide.  Messages that need themselves keep their turns and
-    are marked.  Arguments are held against the schema that the conversation
+    otherwise turns decide.  Where they need each other in a circle, a
+    conversation's messages keep their turns and are marked.  Arguments are held against the schema that the conversation
     declares for the tool, or that ``schemas`` has; arguments that are no JSON,
     and tools without a schema, are invalid.  ``json`` has the role, content,
     calls and results in canonical form.
