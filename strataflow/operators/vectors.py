@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 from datetime import datetime
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strataflow.functions.vector import cosine_distance_to
+from strataflow.session import stage
 
 
 def nearest(
@@ -38,6 +41,46 @@ def nearest(
     )
 
 
+def _valid(vector: str) -> Column:
+    """Whether a vector can be compared: there, not empty, all components finite, not all zero."""
+    v = F.col(vector)
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(~bad & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def _best_in_tasks(vectors: DataFrame, block: list, k: int, digits: int, schema: T.StructType) -> DataFrame:
+    """The ``k`` closest rows of each task for each (id, vector) of a block."""
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
+        best: list = [[] for _ in block]
+        by_size: dict[int, list[int]] = {}
+        for n, (_, v) in enumerate(block):
+            by_size.setdefault(len(v), []).append(n)
+        for batch in batches:
+            sizes = batch["_v"].map(len).to_numpy()
+            for size, asked in by_size.items():
+                own = np.flatnonzero(sizes == size)
+                if not len(own):
+                    continue
+                names = batch["_id"].to_numpy()[own].tolist()
+                v = np.array([np.asarray(x, dtype="float64") for x in batch["_v"].to_numpy()[own]])
+                v /= np.linalg.norm(v, axis=1)[:, None]
+                for n in asked:
+                    q = np.asarray(block[n][1], dtype="float64")
+                    dist = np.round(1.0 - v @ (q / np.linalg.norm(q)), digits) + 0.0
+                    kth = min(k, len(dist)) - 1
+                    near = np.flatnonzero(dist <= np.partition(dist, kth)[kth])
+                    found = best[n] + [(float(dist[i]), names[i]) for i in near]
+                    best[n] = heapq.nsmallest(k, found)
+        for (name, _), rows in zip(block, best):
+            if rows:
+                yield pd.DataFrame({"_q": name, "_id": [i for _, i in rows], "distance": [d for d, _ in rows]})
+
+    return vectors.mapInPandas(step, schema)
+
+
 def nearest_batch(
     queries: DataFrame,
     vectors: DataFrame,
@@ -47,54 +90,17 @@ def nearest_batch(
     vector_id: str,
     vector: str = "embedding",
     digits: int = 6,
-    max_queries: int = 10_000,
+    block_bytes: int = 16 << 20,
 ) -> DataFrame:
-    """The ``k`` closest rows for each of a bounded set of query vectors.
+    """The ``k`` closest rows for each query vector.
 
-    The query vectors go to every task as one matrix; each Arrow batch of the
-    table is multiplied by it, and a task keeps its ``k`` best rows per query.
-    What is shuffled is ``k`` rows per query and task, never the pairs.  Ids
-    are whole numbers.
+    Queries go to the tasks in blocks of about ``block_bytes``, with a pass over
+    the table for each, so their number has no limit.  A task keeps its ``k``
+    best rows per query; what is shuffled is those, never the pairs.  Ids are of
+    any type with an order.  Vectors that are NULL, empty, zero or hold a NULL or
+    non-finite component take no part, and only vectors of equal length meet.
     """
-    wanted = queries.select(query_id, vector).limit(max_queries + 1).toPandas()
-    if len(wanted) > max_queries:
-        raise ValueError(f"more than {max_queries} query vectors; send them in batches")
-    ids = wanted[query_id].tolist()
-    matrix = wanted[vector].tolist()
-
-    def best_of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
-        if not ids:
-            return
-        q = np.array([np.asarray(v, dtype="float64") for v in matrix])
-        q_norm = np.linalg.norm(q, axis=1)
-        best = [(np.empty(0), np.empty(0, dtype="int64"))] * len(ids)
-        for batch in batches:
-            if not len(batch):
-                continue
-            names = batch["_id"].to_numpy()
-            v = np.array([np.asarray(x, dtype="float64") for x in batch["_v"]])
-            v_norm = np.linalg.norm(v, axis=1)
-            # Blocks of queries, so that a block of distances stays near 32 MB.
-            step = max(1, 4_000_000 // len(v))
-            for start in range(0, len(ids), step):
-                rows = slice(start, start + step)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    cosine = (q[rows] @ v.T) / np.outer(q_norm[rows], v_norm)
-                dist = np.round(1.0 - cosine, digits) + 0.0
-                dist[np.isnan(dist)] = np.inf
-                kth = min(k, len(v)) - 1
-                limits = np.partition(dist, kth, axis=1)[:, kth]
-                for i, (row, limit) in enumerate(zip(dist, limits), start):
-                    near = np.flatnonzero((row <= limit) & np.isfinite(row))
-                    d = np.concatenate([best[i][0], row[near]])
-                    n = np.concatenate([best[i][1], names[near]])
-                    order = np.lexsort((n, d))[:k]
-                    best[i] = d[order], n[order]
-        for name, (d, n) in zip(ids, best):
-            yield pd.DataFrame({"_q": name, "_id": n, "distance": d})
-
+    asked = stage(queries.where(_valid(vector)).select(F.col(query_id).alias("_q"), F.col(vector).alias("_v")), "queries")
     schema = T.StructType(
         [
             T.StructField("_q", queries.schema[query_id].dataType),
@@ -102,9 +108,16 @@ def nearest_batch(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    candidates = vectors.select(
+    own = vectors.where(_valid(vector) & F.col(vector_id).isNotNull()).select(
         F.col(vector_id).alias("_id"), F.col(vector).alias("_v")
-    ).where(F.col("_v").isNotNull()).mapInPandas(best_of_partition, schema)
+    )
+    size = asked.agg(F.sum(F.size("_v") * 8 + 64)).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    found = []
+    for n in range(blocks):
+        block = [tuple(r) for r in asked.where(F.pmod(F.xxhash64("_q"), F.lit(blocks)) == n).collect()]
+        found.append(_best_in_tasks(own, block, k, digits, schema))
+    candidates = reduce(DataFrame.unionByName, found)
     rank = F.row_number().over(Window.partitionBy("_q").orderBy("distance", "_id"))
     return (
         candidates.withColumn("neighbour_rank", rank)

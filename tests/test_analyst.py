@@ -23,7 +23,11 @@ TEXTS = [
     ("\n\t select 1", None),
     ("select * from t; drop table t", a.NOT_SINGLE),
     ("WITH d AS (DELETE FROM t RETURNING *) SELECT * FROM d", a.NOT_READ_ONLY),
-    ("SELECT inserted_at, updated_by, system_id, created_at FROM t", None),
+    ("SELECT dropped, resettled, killed_by, granted_on FROM t", None),
+    *[(f"SELECT 1;{c}", None) for c in "\x1c\x1d\x1e\x1f\x85\u2003"],
+    *[(c, a.NOT_SINGLE) for c in "\x1c\x1f\u2003"],
+    ("\x1cSELECT 1", None),
+    ("\x1f;\x1e select 2 ;", None),
     ("SELECT 'a;b'", a.NOT_SINGLE),
     ("SELECT 'on set'", a.NOT_READ_ONLY),
     ("SELECT éset, üdrop FROM t", None),
@@ -83,6 +87,37 @@ def test_gold_session_sees_only_its_tables(spark):
     assert a.safe_sql(gold, f"SELECT * FROM parquet.`{path}`").error
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT transform(id) USING 'id -un' AS (x) FROM dim",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.dir') AS x",
+        "SELECT java_method('java.util.UUID', 'randomUUID') AS x",
+        "SELECT try_reflect('java.util.UUID', 'randomUUID') AS x",
+        "SELECT * FROM dim WHERE id IN (SELECT length(reflect('java.lang.System', 'getProperty', 'user.dir')) FROM dim)",
+        "SELECT * FROM secret_table",
+        "SELECT (SELECT max(id) FROM secret_table) AS x",
+        "WITH s AS (SELECT * FROM secret_table) SELECT count(*) FROM s",
+        "SELECT * FROM dim WHERE EXISTS (SELECT 1 FROM global_temp.secret_view)",
+        "SELECT * FROM global_temp.secret_view",
+    ],
+)
+def test_plans_beyond_the_views_are_refused_before_any_job(spark, text):
+    path = new_path(spark, "gold")
+    spark.range(3).write.parquet(path)
+    spark.range(2).createOrReplaceGlobalTempView("secret_view")
+    if not spark.catalog.tableExists("secret_table"):
+        spark.sql("CREATE TABLE secret_table USING parquet AS SELECT 7L AS id")
+    try:
+        gold = a.gold_session(spark, {"dim": path})
+        answer = a.safe_sql(gold, text)
+        assert answer.error == a.NOT_ALLOWED and not answer.rows
+        fine = "WITH t AS (SELECT id FROM dim) SELECT x.id FROM t x JOIN dim USING (id) WHERE x.id IN (SELECT max(id) FROM t)"
+        assert a.safe_sql(gold, fine).rows == [(2,)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS secret_table")
+
+
 def gold_tables(spark):
     dates = spark.createDataFrame([(dt.date(2023, 5, 1),), (dt.date(2024, 2, 3),)], "full_date date")
     riders = spark.createDataFrame([("member", "Member"), ("casual", "Casual")], "rider_type string, d string")
@@ -98,14 +133,6 @@ def test_describe_is_ordered_and_commented(spark):
     ]
 
 
-def test_schema_text(spark):
-    text = a.schema_text(gold_tables(spark), {"dim_rider_type": ["rider_type"]}, ("dim_date", "full_date"))
-    assert "TABLE dim_date (\n  full_date date\n);" in text
-    assert "rider_type string COMMENT 'Code'" in text
-    assert "dim_rider_type.rider_type actual values: 'casual', 'member'" in text
-    assert text.endswith("Data coverage: from 2023-05-01 to 2024-02-03.")
-
-
 def test_default_year(spark):
     dates = gold_tables(spark)["dim_date"]
     covered = a.coverage(dates, "full_date")
@@ -131,8 +158,16 @@ def test_nearest_batch_equals_nearest(spark):
     for q in queries.collect():
         one = [r.id for r in nearest(v, q.embedding, 2, digits=6).collect()]
         assert [r.neighbour_id for r in sorted(batch, key=lambda r: r.neighbour_rank) if r.query_id == q.q] == one
-    with pytest.raises(ValueError):
-        nearest_batch(queries, v, 2, query_id="q", vector_id="id", max_queries=1)
+    blocks = nearest_batch(queries, v, 2, query_id="q", vector_id="id", block_bytes=1).collect()
+    assert sorted(map(tuple, blocks)) == sorted(map(tuple, batch))
+
+
+def test_nearest_batch_takes_any_id_and_skips_odd_vectors(spark):
+    rows = [("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("c", [1.0]), ("d", None), ("e", [1.0, None]), ("f", [0.0, 1.0]), (None, [1.0, 0.0])]
+    v = spark.createDataFrame(rows, "id string, embedding array<double>")
+    queries = spark.createDataFrame([("q", [1.0, 0.0]), ("none", None), ("one", [3.0])], "q string, embedding array<double>")
+    got = nearest_batch(queries, v, 2, query_id="q", vector_id="id").collect()
+    assert sorted((r.query_id, r.neighbour_rank, r.neighbour_id) for r in got) == [("one", 1, "c"), ("q", 1, "a"), ("q", 2, "b")]
 
 
 def test_remember(spark):
