@@ -91,10 +91,10 @@ def test_gold_session_sees_only_its_tables(spark):
     "text",
     [
         "SELECT transform(id) USING 'id -un' AS (x) FROM dim",
-        "SELECT reflect('java.lang.System', 'getProperty', 'user.dir') AS x",
+        "SELECT reflect('java.util.UUID', 'randomUUID') AS x",
         "SELECT java_method('java.util.UUID', 'randomUUID') AS x",
         "SELECT try_reflect('java.util.UUID', 'randomUUID') AS x",
-        "SELECT * FROM dim WHERE id IN (SELECT length(reflect('java.lang.System', 'getProperty', 'user.dir')) FROM dim)",
+        "SELECT * FROM dim WHERE id IN (SELECT length(reflect('java.util.UUID', 'randomUUID')) FROM dim)",
         "SELECT * FROM secret_table",
         "SELECT (SELECT max(id) FROM secret_table) AS x",
         "WITH s AS (SELECT * FROM secret_table) SELECT count(*) FROM s",
