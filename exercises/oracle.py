@@ -8,8 +8,8 @@ ORACLE: dict[str, str] = {}
 
 
 def mean(c: str) -> str:
-    """Average of values with two decimals, from a sum of whole hundredths."""
-    return f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / (count({c}) * 100.0::DOUBLE)"
+    """Plain average to six decimals."""
+    return f"round(avg({c}), 6)"
 
 
 def with_(*ctes: str, select: str) -> str:
@@ -540,10 +540,12 @@ ORACLE["archive_scan"] = with_(
 ORACLE["csv_raw"] = """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'NA' WHEN 'MACHINERY' THEN 'NULL' WHEN 'FURNITURE' THEN NULL
-    ELSE ' ' || c_mktsegment || ', "x"' END AS c_mktsegment FROM customer"""
+    ELSE ' ' || c_mktsegment || ',' || chr(10) || '"x"' END AS c_mktsegment,
+  CAST(0 AS BIGINT) AS bad_rows FROM customer
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, CAST(2 * count(*) AS BIGINT) FROM customer"""
 ORACLE["mixed_ts"] = """
 SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '5%' THEN NULL
-  WHEN o_orderpriority LIKE '4%' THEN t - INTERVAL 2 HOURS ELSE t END AS parsed
+  WHEN o_orderpriority LIKE '4%' AND o_orderkey % 2 = 0 THEN t - INTERVAL 2 HOURS ELSE t END AS parsed
 FROM (SELECT *, o_orderdate + to_minutes(CAST(o_orderkey % 600 AS INTEGER)) AS t FROM orders)"""
 ORACLE["refused_sources"] = with_(
     TRIPS_RAW,

@@ -512,14 +512,18 @@ def _customer_schema() -> T.StructType:
 
 @query
 def csv_raw(spark, sf_dir):
-    """Customers through CSV: a blank field is NULL, NA and NULL stay text."""
-    path = new_path(spark, "csv")
+    """Customers through CSV: a blank field is NULL, NA and NULL stay text, fields hold line feeds.
+
+    A second folder has the same rows with a field too many or too few; the last
+    row of the result counts them.
+    """
+    path, other = new_path(spark, "csv"), new_path(spark, "csv-odd")
     segment = F.col("c_mktsegment")
     odd = (
         F.when(segment == "BUILDING", "NA")
         .when(segment == "MACHINERY", "NULL")
         .when(segment == "FURNITURE", None)
-        .otherwise(F.concat(F.lit(" "), segment, F.lit(', "x"')))
+        .otherwise(F.concat(F.lit(" "), segment, F.lit(',\n"x"')))
     )
     table(spark, sf_dir, "customer").withColumn("c_mktsegment", odd).write.option(
         "header", True
@@ -528,19 +532,37 @@ def csv_raw(spark, sf_dir):
     ).csv(path)
     schema = _customer_schema()
     good, _ = files.split_refused(files.typed(files.read_csv_raw(spark, path, schema), schema))
-    return good.select(*schema.fieldNames())
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("k"))
+    lines = keys.select(F.explode(F.array(F.concat("k", F.lit(",a,1,2,b,c")), F.concat("k", F.lit(",a,1")))).alias("value"))
+    # The rows of a file go below its header; two texts in a file would hide one header in the rows.
+    lines.groupBy(F.xxhash64("value") % 4).agg(
+        F.concat_ws("\n", F.lit(",".join(schema.fieldNames())), F.concat_ws("\n", F.sort_array(F.collect_list("value")))).alias("value")
+    ).select("value").write.option("maxRecordsPerFile", 1).text(f"{other}/rows")
+    odd_rows = files.typed(files.read_csv_raw(spark, f"{other}/rows", schema), schema)
+    bad = odd_rows.agg(F.count_if(F.col("_error").startswith("wrong number of fields")).alias("bad_rows"))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return good.select(*schema.fieldNames(), F.lit(0).cast("bigint").alias("bad_rows")).unionByName(
+        bad.select(*nulls, "bad_rows")
+    )
 
 
 @query
 def mixed_ts(spark, sf_dir):
-    """Order dates written in five layouts and parsed back; junk gives NULL."""
+    """Order dates written in ten layouts and parsed back; junk and bare times give NULL."""
     day = F.col("o_orderdate") + F.make_dt_interval(mins=(F.col("o_orderkey") % 600).cast("int"))
-    kind = F.col("o_orderpriority")
+    kind, even = F.col("o_orderpriority"), F.col("o_orderkey") % 2 == 0
     text = (
-        F.when(kind == "1-URGENT", F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
-        .when(kind == "2-HIGH", F.date_format(day, "M/d/yyyy H:mm"))
-        .when(kind == "3-MEDIUM", F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .when(kind == "4-NOT SPECIFIED", F.concat(F.date_format(day, "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")))
+        F.when((kind == "1-URGENT") & even, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+        .when(kind == "1-URGENT", F.date_format(day, "MMM d, yyyy H:mm"))
+        .when((kind == "2-HIGH") & even, F.date_format(day, "M/d/yyyy H:mm"))
+        .when(kind == "2-HIGH", F.date_format(day, "d-MMM-yyyy H:mm"))
+        .when((kind == "3-MEDIUM") & even, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+        .when((kind == "3-MEDIUM") & (F.dayofmonth(day) > 12), F.date_format(day, "d/M/yyyy H:mm"))
+        .when(kind == "3-MEDIUM", F.date_format(day, "M/d/yyyy H:mm:ss.SSS"))
+        .when((kind == "4-NOT SPECIFIED") & even, F.concat(F.date_format(day, "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")))
+        .when(kind == "4-NOT SPECIFIED", F.date_format(day, "MMMM d, yyyy H:mm"))
+        .when(even, F.date_format(day, "HH:mm"))
+        .when(F.col("o_orderkey") % 3 == 0, F.date_format(day, "yyyyMM"))
         .otherwise(F.concat(F.lit("junk "), F.col("o_orderkey").cast("string")))
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", parse_mixed_ts(text).alias("parsed"))

@@ -63,15 +63,18 @@ def mean_coord(c: Column | str, digits: int = 6) -> Column:
     return F.round(F.avg(as_col(c)), digits)
 
 
-def exact_mean(c: Column | str, scale: int = 2) -> Column:
-    """Average of values that have at most ``scale`` decimals.
+def exact_mean(c: Column | str, digits: int = 6) -> Column:
+    """Average, rounded half up to ``digits`` decimals.
 
-    Whole units are added up, so the result does not depend on the order in
-    which tasks finish, as a sum of doubles would.
+    Values are added up as decimals with 15 places, so the result does not
+    depend on the order in which tasks finish, as a sum of doubles would; one too
+    large for that (10^22 and up) or not finite falls back to the plain average.
     """
-    c, unit = as_col(c), 10**scale
-    units = F.sum(F.round(c * unit).cast("bigint"))
-    return units / (F.count(c) * F.lit(float(unit)))
+    c = as_col(c)
+    exact = c.try_cast("decimal(37,15)")
+    mean = F.try_avg(exact).cast("double")
+    whole = F.count(c) == F.count(exact)
+    return F.round(F.when(whole & mean.isNotNull(), mean).otherwise(F.avg(c.cast("double"))), digits)
 
 
 def count_where(condition: Column) -> Column:

@@ -28,7 +28,26 @@ TIMESTAMP_LAYOUTS = (
     "yyyy/M/d",
     "yyyyMMdd HHmmss",
     "yyyyMMdd",
+    "M/d/yyyy H:mm:ss.SSS",
+    "MMM d, yyyy H:mm:ss",
+    "MMM d, yyyy H:mm",
+    "MMM d, yyyy",
+    "MMMM d, yyyy H:mm",
+    "MMMM d, yyyy",
+    "d-MMM-yyyy H:mm:ss",
+    "d-MMM-yyyy H:mm",
+    "d-MMM-yyyy",
+    "d MMM yyyy H:mm:ss",
+    "d MMM yyyy H:mm",
+    "d MMM yyyy",
+    # Day first, for days that cannot be months.
+    "d/M/yyyy H:mm:ss.SSS",
+    "d/M/yyyy H:mm:ss",
+    "d/M/yyyy H:mm",
+    "d/M/yyyy",
 )
+# A year, month and day at the start: what Spark's own parse needs to see.
+FULL_DATE = r"^[+-]?\d{4,6}-\d{1,2}-\d{1,2}([ T].*)?$"
 
 
 def to_local(c: Column | str, zone: str = LOCAL_ZONE) -> Column:
@@ -119,9 +138,9 @@ def parse_mixed_ts(c: Column | str, layouts: Sequence[str] = TIMESTAMP_LAYOUTS)
     """Instant from text in any mix of layouts; text without a zone is UTC.
 
     Text that fits no layout gives NULL; ``sources.files.typed`` counts such
-    values so that the whole source file can be refused.
+    values so that the whole source file can be refused.  So does text without a
+    full date: a time of day alone would take the date of the run.
     """
     c = F.trim(as_col(c))
-    return F.coalesce(
-        F.try_to_timestamp(c), *[F.try_to_timestamp(c, F.lit(layout)) for layout in layouts]
-    )
+    own = F.when(c.rlike(FULL_DATE), F.try_to_timestamp(c))
+    return F.coalesce(own, *[F.try_to_timestamp(c, F.lit(layout)) for layout in layouts])

@@ -88,21 +88,33 @@ def read_archives(spark: SparkSession, path: str | Sequence[str], schema: T.Stru
 
 
 def read_csv_raw(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
     """Rows of CSV files that share a header, as text columns matched by name.
 
     Only an empty field is NULL; look-alikes such as NA or NULL stay text and
-    nothing is trimmed.  Columns the files lack are NULL.
+    nothing is trimmed.  Columns the files lack are NULL.  A quoted field may
+    hold line feeds; a row with more or fewer fields than the header has
+    ``_error`` set.  Without ``multi_line`` large files are split among tasks,
+    and must have no line feeds in fields.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    present = set(raw.columns)
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            # All fields are parsed, or a wrong number of them would go unseen.
+            .option("columnPruning", False)
+        )
+
+    header = reader().csv(path).schema
+    broken = "_broken_line"
+    whole = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields])
+    raw = reader().option("columnNameOfCorruptRecord", broken).schema(whole.add(broken, "string")).csv(path)
+    present = set(header.fieldNames())
+    wrong = F.when(F.col(broken).isNotNull(), F.concat(F.lit("wrong number of fields: "), F.substring(broken, 1, 100)))
     return raw.select(
         *[
             (F.col(f"`{n}`") if n in present else F.lit(None)).cast("string").alias(n)
@@ -110,7 +122,7 @@ def read_csv_raw(
         ],
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_name").alias(ARCHIVE),
-        F.lit(None).cast("string").alias(ERROR),
+        wrong.alias(ERROR),
     )
 
 

@@ -187,3 +187,23 @@ def test_cosine_distance(spark):
     assert d([1.0, 2.0], [2.0, 4.0]) == pytest.approx(0)
     assert d([1.0, 0.0], [-3.0, 0.0]) == pytest.approx(2)
     assert d([0.0, 0.0], [1.0, 0.0]) is None
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Mar 4, 2022 08:05", "2022-03-04 08:05:00"), ("04-Mar-2022 08:05", "2022-03-04 08:05:00"),
+        ("23/04/2022 10:00", "2022-04-23 10:00:00"), ("4/6/2022 11:00:00.250", "2022-04-06 11:00:00.250000"),
+        ("202204", None), ("08:05", None), ("T08:05", None), ("2022", None), ("2022-04", None),
+    ],
+)
+def test_layouts_need_a_full_date(spark, text, want):
+    got = one(spark, f.parse_mixed_ts(F.lit(text)).cast("timestamp_ntz"))
+    assert got == (want and dt.datetime.fromisoformat(want))
+
+
+def test_exact_mean_keeps_small_decimals(spark):
+    df = spark.createDataFrame([(0.004,), (0.004,), (1.234,), (None,)], "x double")
+    assert df.agg(f.exact_mean("x").alias("m")).first().m == 0.414
+    big = spark.createDataFrame([(1e30,), (3e30,)], "x double")
+    assert big.agg(f.exact_mean("x").alias("m")).first().m == 2e30
