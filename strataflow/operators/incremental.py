@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.operators.filters import after_watermark
+from strataflow.operators.windows import keep_latest
 from strataflow.session import stage
 
 
@@ -49,15 +50,23 @@ def incremental_scan(
     raise ValueError(f"unknown incremental mode: {mode}")
 
 
-def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(
+    target: DataFrame | None, updates: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()
+) -> DataFrame:
     """Target with matching rows replaced by the updates and the others added.
 
-    ``updates`` must hold each key once.
+    ``updates`` must hold each key once.  With ``newest``, a target row that is
+    later by those columns stays, so a file that comes late does not undo a
+    newer one; ties are settled as in ``keep_latest``.
     """
     if target is None:
         return updates
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.select(updates.columns).unionByName(updates)
+    names = updates.select(*keys)
+    kept = target.join(names, list(keys), "left_anti").select(updates.columns)
+    if newest:
+        matching = target.join(names, list(keys), "left_semi").select(updates.columns)
+        updates = keep_latest(matching.unionByName(updates), keys, newest)
+    return kept.unionByName(updates)
 
 
 def touched_partitions(

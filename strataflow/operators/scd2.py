@@ -28,7 +28,9 @@ def scd2_apply(
     closes its open version and opens another.  An unchanged key keeps its
     version as it is, other columns included.  A key that is gone has its open
     version closed; if it returns it opens a new one.  ``current`` must hold
-    each key once; ``as_of`` is on the clock the facts are compared on.
+    each key once; ``as_of`` is on the clock the facts are compared on.  A
+    snapshot as of the time of the newest change replaces that snapshot; an
+    earlier one is refused.
     """
     now = F.lit(str(as_of)).cast("timestamp_ntz")
     columns = [*current.columns, *VERSION_COLUMNS]
@@ -43,6 +45,13 @@ def scd2_apply(
         return opened
 
     history = history.select(columns)
+    changed = F.max(F.greatest("dbt_updated_at", "dbt_valid_from", "dbt_valid_to"))
+    later, same = history.agg(changed.alias("last")).select(F.col("last") > now, F.col("last") == now).first()
+    if later:
+        raise ValueError(f"the history has changes after {as_of}")
+    if same:  # that snapshot again: what it changed is undone first
+        reopened = F.nullif(F.col("dbt_valid_to"), now)
+        history = history.where(F.col("dbt_valid_from") < now).withColumn("dbt_valid_to", reopened)
     is_open = F.col("dbt_valid_to").isNull()
     old = history.where(is_open).select(F.struct(*columns).alias("old"))
     new = opened.select(F.struct(*columns).alias("new"))

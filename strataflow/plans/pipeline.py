@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strataflow.functions.time import LOCAL_ZONE
 from strataflow.operators.filters import accepted, rejected
@@ -22,13 +23,15 @@ from strataflow.operators.scd2 import scd2_apply
 from strataflow.plans import checks, gold, silver
 from strataflow.session import staging_scope, use_utc
 from strataflow.sources import files, schemas, weather
-from strataflow.sources.manifest import discover_sources, new_sources
+from strataflow.sources.manifest import discover_sources, new_sources, parse_listing, start_listed
 from strataflow.sources.tables import (
     TableStore,
     bronze_append,
+    land_empty,
     land_parquet,
     landed_sources,
     path_exists,
+    read_landed,
 )
 
 PAYLOAD = "_payload"
@@ -47,9 +50,11 @@ class Config:
     prefix: str = ""
     suffix: str = ".zip"
     start_from: str = ""
-    """First key of the listing to take."""
+    """First key of the listing to take; empty takes all."""
     zone: str = LOCAL_ZONE
     calendar_start: str = gold.CALENDAR_START
+    keep_versions: int = 3
+    """Versions of each table that stay; a report's frames read those of its run."""
 
     @property
     def landing(self) -> str:
@@ -67,6 +72,9 @@ class Config:
 @dataclass
 class Report:
     refused: DataFrame | None = None
+    refused_payloads: DataFrame | None = None
+    start_listed: bool = True
+    """False if the listing lacks the key to start from, so that nothing is taken."""
     loaded: DataFrame | None = None
     results: list = field(default_factory=list)
     layers: DataFrame | None = None
@@ -93,18 +101,24 @@ def _new_files(
     return [row.path for row in listing.join(wanted, key, "left_semi").collect()]
 
 
+def _listing(spark: SparkSession, cfg: Config) -> DataFrame:
+    return spark.read.text(cfg.listing, wholetext=True).select(
+        F.col("value").alias("xml"), F.col("_metadata.file_name").alias("page")
+    )
+
+
 def listed_archives(spark: SparkSession, cfg: Config) -> DataFrame | None:
     """Keys of the listing from ``start_from`` on; None without a listing."""
     if cfg.listing is None:
         return None
-    pages = spark.read.text(cfg.listing, wholetext=True).select(
-        F.col("value").alias("xml"), F.col("_metadata.file_name").alias("page")
-    )
-    return discover_sources(pages, cfg.prefix, cfg.suffix, cfg.start_from)
+    return discover_sources(_listing(spark, cfg), cfg.prefix, cfg.suffix, cfg.start_from)
 
 
 def ingest(spark: SparkSession, cfg: Config, ingested_at: str) -> DataFrame | None:
-    """Land the archives that are new; return the refused ones with a message."""
+    """Land the archives that are new; return the refused ones with a message.
+
+    An archive that is read and has no rows lands as an empty folder.
+    """
     new = _new_files(
         spark, cfg.archives, cfg.landing, files.ARCHIVE, listed_archives(spark, cfg)
     )
@@ -112,29 +126,37 @@ def ingest(spark: SparkSession, cfg: Config, ingested_at: str) -> DataFrame | No
         return None
     raw = files.read_archives(spark, new, schemas.TRIP_FILE)
     good, refused = files.split_refused(files.typed(raw, schemas.TRIP_FILE))
-    land_parquet(files.stamp_lineage(good, ingested_at), cfg.landing, files.ARCHIVE)
+    stamped = files.stamp_lineage(good, ingested_at)
+    land_parquet(stamped, cfg.landing, files.ARCHIVE)
+    landed = {r[0] for r in landed_sources(spark, cfg.landing, files.ARCHIVE).collect()}
+    landed |= {r[0] for r in refused.select(files.ARCHIVE).collect()}
+    names = [unquote(p.rsplit("/", 1)[-1]) for p in new]
+    land_empty(stamped, cfg.landing, [n for n in names if n not in landed], files.ARCHIVE)
     return refused
 
 
-def ingest_weather(spark: SparkSession, cfg: Config, ingested_at: str) -> None:
-    """Append the hours of the payloads that are new."""
+def ingest_weather(spark: SparkSession, cfg: Config, ingested_at: str) -> DataFrame | None:
+    """Append the hours of the payloads that are new; return those without any, with a message."""
     new = _new_files(spark, cfg.payloads, cfg.bronze_weather, PAYLOAD)
     if not new:
-        return
+        return None
     payloads = spark.read.text(new, wholetext=True).select(
         F.col("value").alias("json"), F.col("_metadata.file_name").alias(PAYLOAD)
     )
     hours = files.drop_null_keys(weather.unpack_hourly(payloads, keep=[PAYLOAD]), "observation_time")
     land_parquet(files.stamp_lineage(hours, ingested_at), cfg.bronze_weather, PAYLOAD)
+    return weather.refused_payloads(payloads, PAYLOAD)
 
 
 def bronze_tables(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
-    """The bronze tables; one that nothing was loaded into yet is empty."""
+    """The bronze tables, each with the name of the file a row came in; one that
+    nothing was loaded into yet is empty."""
 
     def read(path: str, key: str, contract: StructType) -> DataFrame:
+        keyed = StructType([*contract.fields, StructField(key, StringType())])
         if landed_sources(spark, path, key).isEmpty():
-            return spark.createDataFrame([], contract)
-        return schemas.read_contract(files.read_parquet(spark, path), contract)
+            return spark.createDataFrame([], keyed)
+        return schemas.read_contract(read_landed(spark, path, contract, key), keyed)
 
     return {
         "bronze_trips": read(cfg.bronze, files.ARCHIVE, schemas.BRONZE_TRIPS),
@@ -152,27 +174,36 @@ def build_silver(
     missing station ids of the new rides only; a rebuild revisits every ride,
     and so may fill, or leave empty, others.
     """
+    trips, hours = bronze["bronze_trips"], bronze["bronze_weather"]
     if refresh:
-        trips = silver.silver_trips(bronze["bronze_trips"], None, cfg.zone)
-        store.write("int_trips_cleaned", _by_month(trips), partition_by=["start_month"])
-        store.write("silver_sources", bronze["bronze_trips"].select("_source_file").distinct())
-        store.write("silver_weather", silver.silver_weather(bronze["bronze_weather"], cfg.zone))
+        cleaned = silver.silver_trips(trips, None, cfg.zone)
+        store.write("int_trips_cleaned", _by_month(cleaned), partition_by=["start_month"])
+        store.write("silver_sources", trips.select(files.ARCHIVE).distinct())
+        store.write("silver_weather", silver.silver_weather(hours, cfg.zone))
+        store.write("silver_payloads", hours.select(PAYLOAD).distinct())
         return
-    done = store.read_or_none("silver_sources")
-    batch = incremental_scan(bronze["bronze_trips"], done)
+    batch, taken = _not_taken(store, "silver_sources", trips, files.ARCHIVE)
     if not batch.isEmpty():
         history = store.read_or_none("int_trips_cleaned")
         updates = _by_month(silver.silver_trips(batch, history, cfg.zone))
-        store.merge("int_trips_cleaned", updates, ["ride_id"], partition_by="start_month")
-        taken = batch.select("_source_file").distinct()
-        store.write("silver_sources", taken if done is None else done.unionByName(taken))
-
-    seen = store.read_or_none("silver_weather")
-    hours = incremental_scan(bronze["bronze_weather"], seen, mode="watermark")
-    if seen is None or not hours.isEmpty():
-        store.merge(
-            "silver_weather", silver.silver_weather(hours, cfg.zone), ["observation_time"]
-        )
+        newest = ["_ingested_at", "_source_file"]
+        store.merge("int_trips_cleaned", updates, ["ride_id"], partition_by="start_month", newest=newest)
+        store.write("silver_sources", taken)
+    batch, taken = _not_taken(store, "silver_payloads", hours, PAYLOAD)
+    if not store.exists("silver_weather") or not batch.isEmpty():
+        updates = silver.silver_weather(batch, cfg.zone)
+        store.merge("silver_weather", updates, ["observation_time"], newest=["_ingested_at"])
+        store.write("silver_payloads", taken)
+
+
+def _not_taken(
+    store: TableStore, name: str, bronze: DataFrame, key: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that silver has not taken in, and the files it has with them."""
+    done = store.read_or_none(name)
+    batch = incremental_scan(bronze, done, source_col=key)
+    taken = batch.select(key).distinct()
+    return batch, taken if done is None else done.unionByName(taken)
 
 
 def _by_month(trips: DataFrame) -> DataFrame:
@@ -249,8 +280,14 @@ def _run(
     refused = ingest(spark, cfg, as_of)
     if refused is not None:
         report.refused = store.write("refused_archives", refused)
-    report.loaded = bronze_append(spark, cfg.landing, cfg.bronze, files.ARCHIVE)
-    ingest_weather(spark, cfg, as_of)
+    if cfg.listing is not None:
+        report.start_listed = start_listed(parse_listing(_listing(spark, cfg)), cfg.start_from)
+    report.loaded = bronze_append(
+        spark, cfg.landing, cfg.bronze, files.ARCHIVE, schemas.BRONZE_TRIPS
+    )
+    refused = ingest_weather(spark, cfg, as_of)
+    if refused is not None:
+        report.refused_payloads = store.write("refused_payloads", refused)
     bronze = bronze_tables(spark, cfg)
     report.results += gate(
         run_checks({"trips": bronze["bronze_trips"]}, checks.LANDED_CHECKS, as_of)
@@ -267,5 +304,7 @@ def _run(
     star = build_gold(store, cfg, layers, local_as_of)
     report.results += gate(run_checks(star, checks.GOLD_CHECKS, as_of))
     report.layers = reconcile(layers["int_trips_cleaned"], star["fact_trips"])
+    for name in store.names():
+        store.drop_old(name, cfg.keep_versions)
     return report
 

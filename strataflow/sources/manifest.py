@@ -20,14 +20,22 @@ def parse_listing(pages: DataFrame, xml: str = "xml", page: str = "page") -> Dat
 def slice_listing(keys: DataFrame, prefix: str, suffix: str, start_from: str) -> DataFrame:
     """Keys with the prefix and suffix, from ``start_from`` on, in listing order.
 
-    If ``start_from`` is not listed the result is empty.
+    An empty ``start_from`` takes all.  If it is not listed the result is empty;
+    ``start_listed`` tells that from nothing new.
     """
     wanted = keys.where(F.col("key").startswith(prefix) & F.col("key").endswith(suffix))
+    if not start_from:
+        return wanted
     place = F.struct("page", "pos")
     start = wanted.where(F.col("key") == start_from).agg(F.min(place)).scalar()
     return wanted.where(place >= start)
 
 
+def start_listed(keys: DataFrame, start_from: str) -> bool:
+    """Whether the key to start from is in the listing; an empty one always is."""
+    return not start_from or not keys.where(F.col("key") == start_from).isEmpty()
+
+
 def discover_sources(
     pages: DataFrame,
     prefix: str,

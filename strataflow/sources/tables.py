@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataflow.operators.incremental import merge_upsert, new_keys, touched_partitions
 from strataflow.session import stage
@@ -61,6 +62,18 @@ def sorted_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _folder(spark: SparkSession, column: str, value) -> str:
+    """Name of a partition's folder, escaped as Spark's writer does."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{escape(column)}={NULL_PARTITION if value is None else escape(str(value))}"
+
+
+def _dealt(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition before a write: small partitions share a
+    task and one file each, large ones are split, whatever the number of tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 class TableStore:
     """Named tables under one root folder."""
 
@@ -77,6 +90,10 @@ class TableStore:
                     found.append(int(child[1:]))
         return sorted(found)
 
+    def names(self) -> list[str]:
+        """Tables with a complete version."""
+        return [c for c in _children(self.spark, self.root) if c[0] not in "._" and self.exists(c)]
+
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 
@@ -110,7 +127,7 @@ class TableStore:
         taken = [c for c in _children(self.spark, f"{self.root}/{name}") if c.startswith("v")]
         number = max((int(c[1:]) for c in taken if c[1:].isdigit()), default=0) + 1
         path = f"{self.root}/{name}/v{number}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        _dealt(df, partition_by).write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.parquet(path)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
@@ -140,8 +157,9 @@ class TableStore:
         keys: Sequence[str],
         *,
         partition_by: str | None = None,
+        newest: Sequence[str] = (),
     ) -> DataFrame:
-        """Upsert by key.
+        """Upsert by key; with ``newest``, a target row that is later by it stays.
 
         Without ``partition_by`` a new version of the whole table is written.
         With it, only the partitions that hold a matching key or receive a row
@@ -156,13 +174,13 @@ class TableStore:
             return self.write(name, updates, partition_by=[partition_by] if partition_by else [])
         updates = updates.select(target.columns)
         if partition_by is None:
-            return self.write(name, merge_upsert(target, updates, keys))
+            return self.write(name, merge_upsert(target, updates, keys, newest))
         updates = stage(updates, f"{name}-updates")
         touched = touched_partitions(target, updates, keys, partition_by)
         touched.write.mode("overwrite").parquet(f"{self._pending(name)}/touched")
         values = [r[0] for r in self.spark.read.parquet(f"{self._pending(name)}/touched").collect()]
         scope = F.col(partition_by).isin(values) | F.col(partition_by).isNull()
-        merged = merge_upsert(target.where(scope), updates, keys)
+        merged = merge_upsert(target.where(scope), updates, keys, newest)
         merged.write.mode("overwrite").parquet(f"{self._pending(name)}/rows")
         self.recover(name)
         return self.read(name)
@@ -179,7 +197,8 @@ class TableStore:
             (partition_by,) = touched.columns
             path = self.path(name)
             (
-                rows.write.mode("overwrite")
+                _dealt(rows, [partition_by])
+                .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(partition_by)
                 .parquet(path)
@@ -187,8 +206,7 @@ class TableStore:
             filled = {r[0] for r in rows.select(partition_by).distinct().collect()}
             for (value,) in touched.collect():
                 if value not in filled:
-                    folder = NULL_PARTITION if value is None else value
-                    self._delete(f"{path}/{partition_by}={folder}")
+                    self._delete(f"{path}/{_folder(self.spark, partition_by, value)}")
         # The marker goes first: without it the rest counts for nothing.
         self._delete(f"{pending}/rows/{MARKER}")
         self._delete(pending)
@@ -210,13 +228,21 @@ def land_parquet(df: DataFrame, root: str, source: str = "_source_file") -> None
     twice leaves one copy.
     """
     (
-        df.write.mode("overwrite")
+        _dealt(df, [source])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(source)
         .parquet(root)
     )
 
 
+def land_empty(df: DataFrame, root: str, names: Sequence[str], source: str = "_source_file") -> None:
+    """Folders for sources without rows, so that they count as landed."""
+    for name in names:
+        folder = f"{root}/{_folder(df.sparkSession, source, name)}"
+        df.drop(source).limit(0).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
 def landed_sources(spark: SparkSession, root: str, source: str = "_source_file") -> DataFrame:
     """Source files that have landed, read from the folder names alone."""
     from urllib.parse import unquote
@@ -226,42 +252,102 @@ def landed_sources(spark: SparkSession, root: str, source: str = "_source_file")
     return spark.createDataFrame([(unquote(n),) for n in names], f"{source} string")
 
 
+def read_landed(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    source: str = "_source_file",
+    names: Sequence[str] | None = None,
+    skip_corrupt: bool = False,
+) -> DataFrame:
+    """Rows under ``root``; the source's name is text, even if it looks like a number.
+
+    With ``names`` only the folders of those sources are listed and read.
+    """
+    fields = [f for f in schema.fields if f.name != source]
+    reader = spark.read.schema(T.StructType([*fields, T.StructField(source, T.StringType())]))
+    reader = reader.option("ignoreCorruptFiles", skip_corrupt).option("basePath", root)
+    paths = [root] if names is None else [f"{root}/{_folder(spark, source, n)}" for n in names]
+    return reader.parquet(*paths)
+
+
 def bronze_append(
-    spark: SparkSession, landing: str, bronze: str, source: str = "_source_file"
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    source: str = "_source_file",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Append the landing files that bronze lacks; return one row per new file.
 
-    ``(source, row_count, loaded)``: a file without rows is loaded, a file that
-    cannot be read is not, and does not stop the others.  The new files are
-    found from folder names, so the landing files already loaded are not read,
-    and a repeated run replaces what an interrupted one wrote.
+    ``(source, row_count, loaded)``: a file without rows is loaded.  A source of
+    which one part cannot be read to its end is not: nothing of it is written,
+    it does not stop the others, and the next run tries it again.  The new files
+    are found from folder names, so the landing files already loaded are not
+    read, and a repeated run replaces what an interrupted one wrote.
     """
     landed = landed_sources(spark, landing, source)
     done = landed_sources(spark, bronze, source) if path_exists(spark, bronze) else None
     new = [row[0] for row in new_keys(done, landed, source).collect()]
-    if not new:
-        return spark.createDataFrame([], f"{source} string, row_count bigint, loaded boolean")
-    rows = spark.read.option("ignoreCorruptFiles", True).parquet(landing).where(F.col(source).isin(new))
-    land_parquet(rows, bronze, source)
-    counts = (
-        spark.read.parquet(bronze).where(F.col(source).isin(new)).groupBy(source).count()
+    report = f"{source} string, row_count bigint, loaded boolean"
+    if schema is None and new:
+        schema = _first_schema(spark, [f"{landing}/{_folder(spark, source, n)}" for n in new])
+    if not new or schema is None:
+        return spark.createDataFrame([(n, 0, False) for n in new], report)
+    broken = _broken_sources(spark, landing, new, source, schema)
+    good = [n for n in new if n not in broken]
+    counts: dict[str, int] = {}
+    if good:
+        land_parquet(read_landed(spark, landing, schema, source, good), bronze, source)
+        empty = read_landed(spark, landing, schema, source, good).limit(0)
+        written = {r[0] for r in landed_sources(spark, bronze, source).collect()}
+        land_empty(empty, bronze, [n for n in good if n not in written], source)
+        held = read_landed(spark, bronze, schema, source, good).groupBy(source).count()
+        counts = {r[0]: r[1] for r in held.collect()}
+    return spark.createDataFrame([(n, counts.get(n, 0), n not in broken) for n in new], report)
+
+
+def _broken_sources(
+    spark: SparkSession, landing: str, names: Sequence[str], source: str, schema: T.StructType
+) -> set[str]:
+    """Sources with a file that has no readable footer, or fewer rows than its footer says.
+
+    Both counts are taken by Spark: one from footers alone, one with every value
+    decoded.  Only files that neither count saw are opened one by one.
+    """
+    rows = read_landed(spark, landing, schema, source, names, skip_corrupt=True)
+    file = F.col("_metadata.file_path").alias("file")
+    values = [F.col(f.name) for f in schema.fields if f.name != source]
+    promised = rows.select(source, file).groupBy(source, "file").agg(F.count(F.lit(1)).alias("promised"))
+    decoded = rows.select(source, file, F.xxhash64(*values).alias("h")).groupBy(source, "file").agg(
+        # The hash must be used, or the values would not be read.
+        F.when(F.bit_xor("h").isNotNull(), F.count(F.lit(1))).alias("decoded")
     )
-    listed = spark.createDataFrame([(n,) for n in new], f"{source} string")
-    report = listed.join(counts, source, "left").select(
-        source, F.coalesce("count", F.lit(0)).alias("row_count")
+    both = promised.join(decoded, [source, "file"], "full").select(
+        source, "file", (F.coalesce("promised", F.lit(0)) == F.coalesce("decoded", F.lit(0))).alias("whole")
     )
-    broken = [
-        name
-        for (name,) in report.where("row_count = 0").select(source).collect()
-        if not _opens(spark, f"{landing}/{source}={name}")
-    ]
-    return report.withColumn("loaded", ~F.col(source).isin(broken) if broken else F.lit(True))
+    seen = {(r[0], r.file.rsplit("/", 1)[-1]): r.whole for r in both.collect()}
+    out = {name for (name, _), whole in seen.items() if not whole}
+    for name in names:
+        folder = f"{landing}/{_folder(spark, source, name)}"
+        for child in _children(spark, folder):
+            if child[0] not in "._" and (name, child) not in seen and not _opens(spark, f"{folder}/{child}"):
+                out.add(name)
+    return out
+
+
+def _first_schema(spark: SparkSession, folders: Sequence[str]) -> T.StructType | None:
+    """The schema of the first file whose footer can be read."""
+    for folder in folders:
+        for child in _children(spark, folder):
+            if child[0] not in "._" and _opens(spark, f"{folder}/{child}"):
+                return spark.read.parquet(f"{folder}/{child}").schema
+    return None
 
 
 def _opens(spark: SparkSession, path: str) -> bool:
-    """Whether every file of a folder has a readable footer."""
+    """Whether a file has a readable footer."""
     try:
-        spark.read.option("mergeSchema", True).parquet(path).count()
-        return True
-    except Exception:  # whatever the reason, the file was not loaded
+        return spark.read.parquet(path).schema is not None
+    except Exception:  # whatever the reason, the file cannot be loaded
         return False

@@ -54,6 +54,17 @@ def unpack_hourly(
     )
 
 
+def refused_payloads(payloads: DataFrame, name: str, json: str = "json") -> DataFrame:
+    """Payloads without readable hours: their name and a message."""
+    hourly = F.from_json(json, PAYLOAD)["hourly"]
+    message = (
+        F.when(F.try_parse_json(json).isNull(), "no JSON")
+        .when(hourly.isNull(), "no hourly values")
+        .when(F.coalesce(F.size(hourly["time"]), F.lit(0)) <= 0, "no hours")
+    )
+    return payloads.select(name, message.alias("message")).where("message IS NOT NULL")
+
+
 def missing_dates(
     target: DataFrame,
     as_of: date | str,

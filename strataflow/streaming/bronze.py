@@ -27,11 +27,15 @@ def stream_bronze(
     """Merge the landing files not seen yet into a table, then stop.
 
     The checkpoint remembers the files, so each is taken in once across runs.
-    A batch that is repeated after a failure merges to the same table.
+    A batch that is repeated after a failure merges to the same table, and a row
+    that is older than the table's by ``newest`` does not replace it.  Of the
+    table's versions the newest two stay.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        store.merge(table, keep_latest(batch, keys, newest), keys, partition_by=partition_by)
+        latest = keep_latest(batch, keys, newest)
+        store.merge(table, latest, keys, partition_by=partition_by, newest=newest)
+        store.drop_old(table)
 
     return (
         spark.readStream.schema(schema)

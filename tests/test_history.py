@@ -93,6 +93,27 @@ def test_new_keys(spark):
     assert [r.key for r in new_keys(seen.where("key = 'x'"), seen, "key").collect()] == ["y"]
 
 
+def test_merge_keeps_the_newer_row(spark):
+    target = spark.createDataFrame([("a", 5, 2), ("b", 5, 1), ("c", 5, 1)], "k string, v int, at int")
+    updates = spark.createDataFrame([("a", 9, 1), ("b", 9, 2), ("d", 9, 1)], "k string, v int, at int")
+    got = {tuple(r) for r in merge_upsert(target, updates, ["k"], ["at"]).collect()}
+    assert got == {("a", 5, 2), ("b", 9, 2), ("c", 5, 1), ("d", 9, 1)}
+
+
+def test_snapshots_do_not_go_back(spark):
+    now = spark.createDataFrame([("s", "Oak")], "station_id string, station_name string")
+    renamed = spark.createDataFrame([("s", "Elm")], "station_id string, station_name string")
+    history = scd2_apply(None, now, "station_id", ["station_name"], "2024-01-02 00:00:00")
+    same = scd2_apply(history, renamed, "station_id", ["station_name"], "2024-01-02 00:00:00")
+    assert [(r.station_name, r.dbt_valid_from, r.dbt_valid_to) for r in same.collect()] == [("Elm", dt.datetime(2024, 1, 2), None)]
+    later = scd2_apply(history, renamed, "station_id", ["station_name"], "2024-01-03 00:00:00")
+    again = scd2_apply(later, now, "station_id", ["station_name"], "2024-01-03 00:00:00")
+    assert [tuple(r) for r in again.collect()] == [tuple(r) for r in history.collect()]
+    assert scd2_apply(later, renamed, "station_id", ["station_name"], "2024-01-03 00:00:00").count() == 2
+    with pytest.raises(ValueError, match="after 2024-01-01"):
+        scd2_apply(history, renamed, "station_id", ["station_name"], "2024-01-01 00:00:00")
+
+
 def test_merge_upsert(spark):
     target, updates = rows(spark, ("a", 1, "m", T1), ("b", 1, "m", T1)), rows(spark, ("b", 2, "n", T2), ("c", 2, "n", T2))
     got = {(r.k, r.v) for r in merge_upsert(target, updates, ["k"]).collect()}

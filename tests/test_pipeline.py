@@ -177,6 +177,29 @@ def test_run_without_weather_or_with_nothing(spark, tmp_path):
     assert fact.count() == 2 and fact.where("temperature_c IS NOT NULL").isEmpty()
 
 
+def test_reissued_archives_and_same_instant_payloads(spark, tmp_path):
+    zips, lake = tmp_path / "zips", str(tmp_path / "lake")
+    cfg = pipeline.Config(str(zips), str(tmp_path / "weather"), lake)
+    archive(zips, "2024-01", JANUARY)
+    archive(zips, "empty", "\n")
+    payload(tmp_path / "weather", "w1.json", "2024-01-05")
+    pipeline.run(spark, cfg, "2024-02-02 00:00:00", "2024-02-01 19:00:00")
+    with zipfile.ZipFile(zips / "2024-01-reissue.csv.zip", "w") as z:
+        z.writestr("2024-01.csv", COLUMNS + FEBRUARY.replace("r7", "r9").replace("2024-02-03", "2024-01-30"))
+    payload(tmp_path / "weather", "w2.json", "2024-01-06")
+    (tmp_path / "weather" / "cut.json").write_text('{"hourly": {"time": ["2024')
+    report = pipeline.run(spark, cfg, "2024-02-02 00:00:00", "2024-02-01 19:00:00")
+    store = TableStore(spark, f"{lake}/tables")
+    rides = by_ride(store, "int_trips_cleaned")
+    assert rides["r1"].ride_duration_minutes == 45.0 and "r9" in rides
+    assert store.read("silver_weather").count() == 48
+    assert [tuple(r) for r in report.refused_payloads.collect()] == [("cut.json", "no JSON")]
+    assert {r[0] for r in report.loaded.collect()} == {"2024-01-reissue.csv.zip"}
+    cfg.keep_versions = 1
+    pipeline.run(spark, cfg, "2024-02-02 00:00:00", "2024-02-01 19:00:00")
+    assert len(store._versions("fact_trips")) == 1
+
+
 def weather_row(hour, stamp, temperature, minute_utc="2024-11-03"):
     return (dt.datetime.fromisoformat(f"{minute_utc} {hour}"), temperature, None, None, None, None, dt.datetime.fromisoformat(stamp))
 
@@ -230,7 +253,7 @@ def test_stream_takes_each_file_once(spark):
 
     land(("a", 1, 1), ("a", 2, 2), ("b", 1, 1))
     assert run() == ([("a", 2, 2), ("b", 1, 1)], 1)
-    land(("b", 5, 3))
+    land(("b", 5, 3), ("a", 0, 1))  # the older row of a comes late
     assert run() == ([("a", 2, 2), ("b", 5, 3)], 2)
     assert run() == ([("a", 2, 2), ("b", 5, 3)], 2)
 

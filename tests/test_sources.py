@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.sources import files, manifest, schemas, weather
-from strataflow.sources.tables import bronze_append, land_parquet, landed_sources
+from strataflow.sources.tables import bronze_append, land_parquet, landed_sources, read_landed
 
 HEADER = "ride_id,rideable_type,started_at,ended_at,start_station_name,end_station_name,member_casual\n"
 
@@ -137,6 +137,61 @@ def test_bronze_append_reports_the_unreadable_file(spark, tmp_path):
     assert files.read_parquet(spark, bronze).count() == 3
 
 
+def damaged(folder, name, rows, spark, where):
+    """A source of two files, the one at ``where`` with damaged pages and a good footer."""
+    path = folder / f"_source_file={name}"
+    spark.range(rows).selectExpr("CAST(id AS INT) AS n").repartition(2).write.option("compression", "none").parquet(str(path))
+    part = sorted(p for p in path.iterdir() if p.name.startswith("part-"))[where]
+    body = bytearray(part.read_bytes())
+    body[4:200] = b"\xff" * 196
+    part.write_bytes(bytes(body))
+    for crc in path.glob(".*.crc"):
+        crc.unlink()
+
+
+@pytest.mark.parametrize("where", [0, 1])
+def test_bronze_append_writes_nothing_of_a_damaged_source(spark, tmp_path, where):
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    landing.mkdir()
+    damaged(landing, "a first", 4000, spark, where)
+    land_parquet(trips(spark, "b", "001", "002"), str(landing))
+    for _ in range(2):  # the second time only the damaged source is tried again
+        got = {r[0]: (r.row_count, r.loaded) for r in bronze_append(spark, str(landing), bronze).collect()}
+        assert got.pop("a first") == (0, False)
+    assert got == {}
+    assert {r[0] for r in landed_sources(spark, bronze).collect()} == {"b", "001", "002"}
+    rows = read_landed(spark, bronze, trips(spark, "b").schema).groupBy("_source_file").count()
+    assert {tuple(r) for r in rows.collect()} == {("b", 3), ("001", 3), ("002", 3)}
+
+
+def test_bronze_append_with_nothing_readable(spark, tmp_path):
+    bad = tmp_path / "landing" / "_source_file=only"
+    bad.mkdir(parents=True)
+    (bad / "part-0.parquet").write_bytes(b"PAR1")
+    got = bronze_append(spark, str(tmp_path / "landing"), str(tmp_path / "bronze"))
+    assert [tuple(r) for r in got.collect()] == [("only", 0, False)]
+
+
+def test_partitioned_writes_make_few_files(spark, tmp_path):
+    rows = spark.range(24_000, numPartitions=8).selectExpr("CAST(id % 24 AS STRING) AS _source_file", "id")
+    land_parquet(rows, str(tmp_path / "landing"))
+    assert len(list((tmp_path / "landing").glob("*/part-*"))) <= 48
+
+
+def test_refused_payloads(spark):
+    rows = [("a", '{"hourly": {"time": ["2024-01-01T00:00"]}}'), ("b", '{"hourly": {"time": ["2024'), ("c", "{}"), ("d", '{"hourly": {"time": []}}')]
+    df = spark.createDataFrame(rows, "name string, json string")
+    got = {tuple(r) for r in weather.refused_payloads(df, "name").collect()}
+    assert got == {("b", "no JSON"), ("c", "no hourly values"), ("d", "no hours")}
+
+
+def test_start_key(spark):
+    page = spark.createDataFrame([("p", "<L><Key>a.zip</Key><Key>b.zip</Key></L>")], "page string, xml string")
+    keys = manifest.parse_listing(page)
+    assert manifest.slice_listing(keys, "", ".zip", "").count() == 2
+    assert manifest.start_listed(keys, "b.zip") and manifest.start_listed(keys, "") and not manifest.start_listed(keys, "x")
+
+
 def test_drop_null_keys(spark):
     df = spark.createDataFrame([(1, None), (None, 2), (1, 2)], "a int, b int")
     assert files.drop_null_keys(df, "a", "b").count() == 1
