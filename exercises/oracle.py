@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from exercises.adapters import BASE_STAMP, BIKE_OF_EVENT
+from strataflow.plans.gold import DOCS, TABLE_DOCS
 
 ORACLE: dict[str, str] = {}
 
@@ -482,6 +483,8 @@ merged AS (
   UNION ALL SELECT * FROM batch)""",
 ]
 ORACLE["silver_incremental"] = with_(*TWO_BATCHES, select="SELECT * FROM merged")
+ORACLE["late_file_merge"] = with_(TRIPS_RAW, dedup(), clean(), select="SELECT * FROM cleaned")
+ORACLE["silver_refresh"] = with_(*SILVER, select="SELECT * FROM flagged")
 ORACLE["incremental_equals_full"] = with_(
     *TWO_BATCHES,
     dedup(),
@@ -756,6 +759,11 @@ ORACLE["layer_quality"] = with_(
         ]
     ),
 )
+ORACLE["gate_layers"] = f"""
+SELECT layer, count(*) AS checks, bool_and(passed OR severity <> 'error') AS passed FROM (
+  SELECT *, CASE WHEN table_name LIKE 'bronze%' THEN 'bronze'
+    WHEN table_name LIKE 'dim%' OR table_name LIKE 'fact%' THEN 'gold' ELSE 'silver' END AS layer
+  FROM ({ORACLE["layer_quality"]})) GROUP BY layer"""
 ORACLE["reconciliation"] = with_(
     *FACT,
     select="""
@@ -775,19 +783,35 @@ ORACLE["enum_values"] = " UNION ALL ".join(
     ]
 )
 ORACLE["coverage"] = "SELECT min(o_orderdate) AS min_value, max(o_orderdate) AS max_value FROM orders"
-ORACLE["describe_gold"] = """
-WITH counts AS (
-  SELECT 'orders' AS t, count(*) AS n FROM orders UNION ALL SELECT 'customer', count(*) FROM customer
-  UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'region', count(*) FROM region
-  UNION ALL SELECT 'embeddings', count(*) FROM embeddings)
-SELECT table_name, CAST(ordinal_position AS INTEGER) AS "position", column_name,
-  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
-    WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
-    ELSE data_type END AS data_type, '' AS "comment", n AS row_count
-FROM information_schema.columns JOIN counts ON table_name = t"""
+GOLD_TYPES = {
+    "dim_date": "int date int int int int int int string string int string",
+    "dim_station": "string string string double double timestamp_ntz timestamp_ntz int",
+    "dim_rider_type": "string string string",
+    "dim_bike_type": "string string string",
+    "fact_trips": "string string int string string string string timestamp_ntz timestamp_ntz double double "
+    "double double double double double double double int boolean string timestamp",
+}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLE["describe_gold"] = (
+    "SELECT table_name, CAST(pos AS INTEGER) AS \"position\", column_name, data_type, \"comment\", table_comment FROM (VALUES "
+    + ", ".join(
+        f"('{t}', {n + 1}, '{c}', '{kind}', {_quoted(note)}, {_quoted(TABLE_DOCS[t])})"
+        for t, kinds in GOLD_TYPES.items()
+        for n, ((c, note), kind) in enumerate(zip(DOCS[t].items(), kinds.split(), strict=True))
+    )
+    + ') AS v(table_name, pos, column_name, data_type, "comment", table_comment)'
+)
 ORACLE["safe_sql"] = """
-SELECT o_orderpriority, o_custkey, count(*) AS orders, round(sum(o_totalprice), 2) AS total_price
-FROM orders GROUP BY 1, 2 ORDER BY orders DESC, o_custkey, o_orderpriority LIMIT 50"""
+WITH found AS (
+  SELECT o_orderpriority, o_custkey, count(*) AS orders, round(sum(o_totalprice), 2) AS total_price
+  FROM orders GROUP BY 1, 2)
+SELECT *, (SELECT count(*) FROM found) AS total, (SELECT count(*) FROM found) > 50 AS truncated
+FROM found ORDER BY orders DESC, o_custkey, o_orderpriority LIMIT 50"""
 WORDS = (
     "DROP|DELETE|UPDATE|INSERT|ALTER|TRUNCATE|CREATE|GRANT|REVOKE|ATTACH|DETACH|RENAME|OPTIMIZE|"
     "SYSTEM|KILL|SET"
@@ -839,7 +863,16 @@ SELECT vec_id, round({cosine("a", "b")}, 6) AS distance FROM (
 ORACLE["memory_append"] = f"""
 SELECT md5(text || '|' || "source" || '|' || '{BASE_STAMP}') AS id, "source" AS "query",
   CAST(len(embedding) AS INTEGER) AS dimensions, TIMESTAMP '{BASE_STAMP}' AS created_at
-FROM documents JOIN embeddings ON doc_id = vec_id"""
+FROM documents LEFT JOIN embeddings ON doc_id = vec_id"""
+ORACLE["memory_recall"] = f"""
+WITH v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, 'vector ' || vec_id AS question,
+    md5('vector ' || vec_id || '|label ' || label || '|{BASE_STAMP}') AS id FROM embeddings),
+q AS (SELECT arg_min(question, vec_id) AS query_id, arg_min(e, vec_id) AS s FROM v GROUP BY label),
+d AS (SELECT query_id, id AS neighbour_id, round({cosine("e", "s")}, 6) AS distance FROM v, q)
+SELECT query_id, CAST(neighbour_rank AS INTEGER) AS neighbour_rank, neighbour_id, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS neighbour_rank
+  FROM d) WHERE neighbour_rank <= 3"""
 
 # --- small operators ---------------------------------------------------------
 

@@ -28,7 +28,7 @@ from strataflow.operators.scd2 import scd2_apply
 from strataflow.operators.sets import distinct_values, measure_by, null_profile
 from strataflow.operators.vectors import nearest, nearest_batch, remember
 from strataflow.operators.windows import first_per_key, keep_latest
-from strataflow.plans import checks, gold, silver
+from strataflow.plans import checks, gold, pipeline, silver
 from strataflow.session import new_path, stage, use_utc
 from strataflow.sources import files, manifest, schemas, weather
 from strataflow.sources.tables import TableStore, bronze_append, land_parquet
@@ -386,6 +386,35 @@ def silver_incremental(spark, sf_dir):
     return merge_upsert(target, silver.silver_trips(batch, history=target), ["ride_id"])
 
 
+@query
+def late_file_merge(spark, sf_dir):
+    """Files merged newest first: the late, older ones do not undo newer rides."""
+    store = TableStore(spark, new_path(spark, "late"))
+    raw = trips_raw(spark, sf_dir)
+    for batch in (F.col("_source_file") >= "m2", F.col("_source_file") < "m2"):
+        cleaned = silver.clean_trips(silver.deduplicate(raw.where(batch)))
+        by_month = cleaned.withColumn("start_month", F.month("start_date"))
+        store.merge(
+            "trips", by_month, ["ride_id"], partition_by="start_month", newest=["_ingested_at", "_source_file"]
+        )
+    return store.read("trips").drop("start_month")
+
+
+@query
+def silver_refresh(spark, sf_dir):
+    """Silver rebuilt from all of bronze over an earlier, partial state."""
+    store = TableStore(spark, new_path(spark, "refresh"))
+    cfg = pipeline.Config("", "", store.root)
+    bronze = {
+        "bronze_trips": trips_raw(spark, sf_dir).withColumn("_archive", F.col("_source_file")),
+        "bronze_weather": weather_raw(spark, sf_dir).withColumn("_payload", F.lit("w")),
+    }
+    some = {**bronze, "bronze_trips": bronze["bronze_trips"].where(F.col("_archive") < "m1")}
+    pipeline.build_silver(store, cfg, some)
+    pipeline.build_silver(store, cfg, bronze, refresh=True)
+    return store.read("int_trips_cleaned").drop("start_month")
+
+
 @query
 def incremental_equals_full(spark, sf_dir):
     """Rides whose flag, duration or station ids differ between the two ways of building."""
@@ -791,6 +820,33 @@ def reconciliation(spark, sf_dir):
     return quality.reconcile(flagged, gold_from(trips, hours)["fact_trips"])
 
 
+@query
+def gate_layers(spark, sf_dir):
+    """Whether each layer may go on: the verdict of the gate on its checks."""
+    flagged = stage(flagged_trips(spark, sf_dir), "flagged")
+    hours = stage(silver.silver_weather(weather_raw(spark, sf_dir)), "weather")
+    trips = stage(accepted(flagged), "silver")
+    tables = gold_from(trips, hours)
+    tables["fact_trips"] = stage(tables["fact_trips"], "fact")
+    tables |= {
+        "bronze_trips": trips_raw(spark, sf_dir),
+        "bronze_weather": weather_raw(spark, sf_dir),
+        "int_trips_cleaned": flagged,
+        "silver_trips": trips,
+        "silver_trips_rejected": rejected(flagged),
+        "int_weather_cleaned": hours,
+        "silver_weather": hours,
+    }
+    rows = []
+    layers = {"bronze": checks.BRONZE_CHECKS, "silver": checks.SILVER_CHECKS, "gold": checks.GOLD_CHECKS}
+    for layer, own in layers.items():
+        try:
+            rows.append((layer, len(quality.gate(quality.run_checks(tables, own, AS_OF))), True))
+        except quality.QualityError:
+            rows.append((layer, len(own), False))
+    return spark.createDataFrame(rows, "layer string, checks bigint, passed boolean")
+
+
 # --- analyst surface ---------------------------------------------------------
 
 
@@ -813,14 +869,14 @@ def coverage(spark, sf_dir):
 
 @query
 def describe_gold(spark, sf_dir):
-    """Columns of the order tables with the number of rows each table holds."""
-    tables = {n: table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "region", "embeddings")}
-    described = analyst.describe(tables, spark)
-    counts = None
-    for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
-        counts = one if counts is None else counts.unionByName(one)
-    return described.join(counts, "table_name").orderBy("table_name", "position")
+    """Columns of the gold tables, built and stored, with what the tables say of themselves."""
+    store = TableStore(spark, new_path(spark, "gold"))
+    for name, df in gold_tables(spark, sf_dir).items():
+        store.write(name, df, docs=gold.DOCS[name], description=gold.TABLE_DOCS[name])
+    names = store.names()
+    return analyst.describe(
+        {n: store.read(n) for n in names}, spark, {n: store.description(n) for n in names}
+    )
 
 
 TOP_ORDERS = """
@@ -832,8 +888,14 @@ ORDER BY orders DESC, o_custkey, o_orderpriority;
 
 @query
 def safe_sql(spark, sf_dir):
+    """The rows of a guarded query, with how many there are in all."""
     session = analyst.gold_session(spark, {"orders": f"{sf_dir}/orders.parquet"})
-    return analyst.guarded_frame(session, TOP_ORDERS).limit(analyst.MAX_ROWS)
+    answer = analyst.safe_sql(session, TOP_ORDERS, timeout=600)
+    if answer.error:
+        raise RuntimeError(answer.error)
+    rows = [(*r, answer.total, answer.truncated) for r in answer.rows]
+    schema = "o_orderpriority string, o_custkey bigint, orders bigint, total_price double, total bigint, truncated boolean"
+    return spark.createDataFrame(rows, schema)
 
 
 def query_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -895,16 +957,36 @@ def vector_distance(spark, sf_dir):
 
 @query
 def memory_append(spark, sf_dir):
-    """Documents with a vector as remembered questions."""
+    """All documents as remembered questions, appended in two batches; one without vector has no dimensions."""
     vectors = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    pairs = table(spark, sf_dir, "documents").join(vectors, "doc_id").select(
-        F.col("text").alias("question"), F.col("source").alias("query"), "embedding"
+    pairs = table(spark, sf_dir, "documents").join(vectors, "doc_id", "left").select(
+        "doc_id", F.col("text").alias("question"), F.col("source").alias("query"), "embedding"
     )
-    return remember(pairs, BASE_STAMP).select(
+    store = TableStore(spark, new_path(spark, "memory"))
+    for half in (0, 1):
+        store.append("memory", remember(pairs.where(F.col("doc_id") % 2 == half), BASE_STAMP))
+    return store.read("memory").select(
         "id", "query", F.size("embedding").alias("dimensions"), "created_at"
     )
 
 
+@query
+def memory_recall(spark, sf_dir):
+    """Vectors remembered in two batches, and those closest to the first of every label, by stored id."""
+    vectors = table(spark, sf_dir, "embeddings")
+    pairs = vectors.select(
+        "vec_id",
+        "label",
+        F.concat(F.lit("vector "), F.col("vec_id")).alias("question"),
+        F.concat(F.lit("label "), F.col("label")).alias("query"),
+        "embedding",
+    )
+    store = TableStore(spark, new_path(spark, "recall"))
+    for half in (0, 1):
+        store.append("memory", remember(pairs.where(F.col("vec_id") % 2 == half), BASE_STAMP))
+    starts = first_per_key(pairs, ["label"], [F.col("vec_id")])
+    return nearest_batch(starts, store.read("memory"), 3, query_id="question", vector_id="id")
+
 
 # --- small operators ---------------------------------------------------------
 

@@ -162,6 +162,13 @@ def trip_star(
     )
 
 
+TABLE_DOCS = {
+    "dim_date": "One row per day of the calendar",
+    "dim_station": "One row per version of a station's name",
+    "dim_rider_type": "Kinds of riders",
+    "dim_bike_type": "Kinds of bikes",
+    "fact_trips": "One row per accepted ride, with the weather of the hour it began",
+}
 # Descriptions kept with the gold tables.
 DOCS = {
     "dim_date": {

@@ -241,7 +241,9 @@ def build_gold(
     out: dict[str, DataFrame] = {}
 
     def write(name: str, df: DataFrame) -> None:
-        out[name] = store.write(name, df, sort=gold.SORT_KEYS[name], docs=gold.DOCS[name])
+        out[name] = store.write(
+            name, df, sort=gold.SORT_KEYS[name], docs=gold.DOCS[name], description=gold.TABLE_DOCS[name]
+        )
 
     write("dim_date", gold.dim_date(trips, as_of[:10], cfg.calendar_start))
     write("dim_station", gold.dim_station(store.read("station_snapshot")))

@@ -17,6 +17,7 @@ from strataflow.operators.incremental import merge_upsert, new_keys, touched_par
 from strataflow.session import stage
 
 MARKER = "_SUCCESS"
+DESCRIPTION = "_description.txt"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -118,8 +119,12 @@ class TableStore:
         sort: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         docs: Mapping[str, str] | None = None,
+        description: str | None = None,
     ) -> DataFrame:
-        """Full refresh: write a new version and return it as read back."""
+        """Full refresh: write a new version and return it as read back.
+
+        ``docs`` describes columns, ``description`` the table; both stay with the version.
+        """
         if sort:
             df = sorted_by(df, sort)
         if docs:
@@ -128,8 +133,24 @@ class TableStore:
         number = max((int(c[1:]) for c in taken if c[1:].isdigit()), default=0) + 1
         path = f"{self.root}/{name}/v{number}"
         _dealt(df, partition_by).write.partitionBy(*partition_by).parquet(path)
+        if description:
+            fs, target = _files(self.spark, f"{path}/{DESCRIPTION}")
+            out = fs.create(target, True)
+            out.write(bytearray(description.encode()))
+            out.close()
         return self.spark.read.parquet(path)
 
+    def description(self, name: str) -> str:
+        """What the current version says of the table; empty if nothing."""
+        fs, target = _files(self.spark, f"{self.path(name)}/{DESCRIPTION}")
+        if not fs.exists(target):
+            return ""
+        stream = fs.open(target)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def append(self, name: str, df: DataFrame) -> DataFrame:
         """Add rows to the current version; the first rows make the table."""
         if not self.exists(name):

@@ -125,11 +125,11 @@ def gold_tables(spark):
 
 
 def test_describe_is_ordered_and_commented(spark):
-    rows = [tuple(r) for r in a.describe(gold_tables(spark), spark).collect()]
+    rows = [tuple(r) for r in a.describe(gold_tables(spark), spark, {"dim_date": "Days"}).collect()]
     assert rows == [
-        ("dim_date", 1, "full_date", "date", ""),
-        ("dim_rider_type", 1, "rider_type", "string", "Code"),
-        ("dim_rider_type", 2, "d", "string", ""),
+        ("dim_date", 1, "full_date", "date", "", "Days"),
+        ("dim_rider_type", 1, "rider_type", "string", "Code", ""),
+        ("dim_rider_type", 2, "d", "string", "", ""),
     ]
 
 
