@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import map_pandas
+from strataflow.session import stage
 
 #: Hashed word shapes, after the measures.
 SHAPES = 64
@@ -225,16 +226,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, max_rows: int =
     own = docs.where(learn).select("doc_id", "text")
     trusted = labels.where("quality = 1").select("doc_id").distinct()
 
-    def sample(rows: DataFrame, seed: int):
-        # The rows of least hash: their ids and hashes are sorted, then only their texts are measured.
-        keyed = rows.withColumn("h", F.xxhash64("doc_id", "text", F.lit(seed)))
-        least = keyed.select("h").orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
-        if least is None:
-            return np.zeros((0, WIDTH))
-        some = keyed.where(F.col("h") <= F.lit(least))
-        return np.array([r.measures for r in measured(some, ["h"]).orderBy("h").limit(max_rows).collect()])
+    def sample(ids: DataFrame | None, seed: int):
+        # Ids and hashes are joined and sorted; only the picked rows' texts are read again.
+        hashed = own.withColumn("h", F.xxhash64("doc_id", "text", F.lit(seed)))
+        named = hashed.select("doc_id", "h")
+        named = named if ids is None else named.join(ids, "doc_id", "left_semi")
+        picked = stage(named.select("h").orderBy("h").limit(max_rows).distinct(), "picked_rows")
+        rows = measured(hashed.join(F.broadcast(picked), "h", "left_semi"), ["h"])  # max_rows at most
+        return np.array([r.measures for r in rows.orderBy("h").limit(max_rows).collect()]).reshape(-1, WIDTH)
 
-    return fit(sample(own.join(trusted, "doc_id", "left_semi"), 1), sample(own, 2), **settings)
+    return fit(sample(trusted, 1), sample(None, 2), **settings)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], *, threshold: float = 0.3) -> DataFrame:
