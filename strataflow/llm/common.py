@@ -107,6 +107,8 @@ def one_each(df: DataFrame, keys: list[str], repeated: DataFrame) -> DataFrame:
     ``repeated`` holds only keys that occur more than once, so that the rows of
     unique keys are not shuffled for it.
     """
+    if repeated.isEmpty():
+        return df
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     d, r = df.alias("d"), repeated.select(*keys).alias("r")
     single = d.join(r, same, "left_anti")
