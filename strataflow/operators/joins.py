@@ -85,8 +85,7 @@ def asof_left(
     valid_to: str | None = None,
     unique: bool = False,
     strategy: str = "auto",
-    max_broadcast_rows: int = 200_000,
-    max_versions: int = 64,
+    max_broadcast_bytes: int = 64 << 20,
     bucket_days: float = 30.0,
     hot_rows: int = 1_000_000,
 ) -> DataFrame:
@@ -98,17 +97,21 @@ def asof_left(
     ``valid_to``, a version that has ended matches no longer.  Unless the right
     side is declared ``unique`` on key and time, ties are settled first.
 
-    Two plans, chosen by the measured size of the right side:
+    Two plans, chosen by the measured bytes of the right side:
 
-    * ``range``: few versions.  Each gets the start of the next one, and the
-      left side is joined to the broadcast intervals without being shuffled,
-      so its skew does not matter.
-    * ``window``: many versions.  Both sides are sorted together by key and
+    * ``range``: the versions fit a broadcast.  Each gets the start of the next
+      one, and is cut by stretches of time; the left side is joined to these
+      intervals by key, stretch and range without being shuffled, so its skew
+      does not matter, and a key with very many versions costs its rows those of
+      one stretch only.
+      Asked for by name, it is refused above ``max_broadcast_bytes``.
+    * ``window``: more than that.  Both sides are sorted together by key and
       time, and each left row takes the last version before it.  Work is split
       by key and stretch of ``bucket_days``; a stretch starts with the version
       carried over from earlier ones.  Stretches holding more than
-      ``hot_rows`` left rows are split further.  Both sides are read more than
-      once, so they should be tables rather than costly results.
+      ``hot_rows`` left rows are split further, each part with the versions of
+      its stretch.  Both sides are read more than once, so they should be tables
+      rather than costly results.
     """
     if len(key) != 1:
         raise ValueError("an as-of join takes exactly one key column")
@@ -123,14 +126,15 @@ def asof_left(
         versions = keep_latest(versions, ["_k", "_from"], [])
     payload = [*values.values(), *extra.values()]
 
-    if strategy == "auto":
-        strategy = asof_strategy(versions, "_k", max_broadcast_rows, max_versions)
-    if strategy == "range":
-        out = _asof_range(left, versions, left_key, left_ts)
-    elif strategy == "window":
-        out = _asof_window(left, versions, left_key, left_ts, payload, bucket_days, hot_rows)
-    else:
+    if strategy not in ("auto", "range", "window"):
         raise ValueError(f"unknown as-of strategy: {strategy}")
+    out = None
+    if strategy != "window":
+        out = _asof_range(left, versions, left_key, left_ts, max_broadcast_bytes)
+        if out is None and strategy == "range":
+            raise ValueError(f"the versions take more than {max_broadcast_bytes} bytes")
+    if out is None:
+        out = _asof_window(left, versions, left_key, left_ts, payload, bucket_days, hot_rows)
     if valid_to:
         ended = F.col("_valid_to") <= F.col(left_ts)
         out = out.withColumns(
@@ -139,30 +143,53 @@ def asof_left(
     return out.select(*left.columns, *values.values())
 
 
-def asof_strategy(
-    versions: DataFrame, key: str, max_broadcast_rows: int = 200_000, max_versions: int = 64
-) -> str:
-    """``range`` if all versions, and those of any one key, are few, else ``window``."""
-    size = (
-        versions.groupBy(key)
-        .count()
-        .agg(F.sum("count").alias("total"), F.max("count").alias("deepest"))
-        .first()
-    )
-    small = (size.total or 0) <= max_broadcast_rows and (size.deepest or 0) <= max_versions
-    return "range" if small else "window"
+def _bytes(df: DataFrame) -> Column:
+    """Aggregate: about the bytes of a frame's rows in memory."""
+    return F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 16 * len(df.columns))
+
+
+def _micros(c: str) -> Column:
+    return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def _asof_range(left: DataFrame, versions: DataFrame, key: str, ts: str) -> DataFrame:
-    """Interval join; the caller has checked that the versions are few."""
+def _asof_range(
+    left: DataFrame, versions: DataFrame, key: str, ts: str, max_bytes: int
+) -> DataFrame | None:
+    """Join to the broadcast intervals; None if they take more than ``max_bytes``.
+
+    Time is cut into equal stretches between the first change and the last, four
+    for each version an average key has, so that the cut intervals are at most
+    about five times as many.  What lies before or after belongs to the outer
+    stretches.
+    """
     until = F.lead("_from").over(Window.partitionBy("_k").orderBy("_from"))
-    intervals = versions.withColumn("_until", until)
+    intervals = stage(versions.withColumn("_until", until), "asof-intervals")
+    seen = intervals.agg(
+        F.min(_micros("_until")).alias("first"),
+        F.max(_micros("_from")).alias("last"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("_k").alias("keys"),
+        F.coalesce(_bytes(intervals), F.lit(0)).alias("bytes"),
+    ).first()
+    if 6 * seen.bytes > max_bytes:
+        return None
+    first, last = seen.first or 0, seen.last or 0
+    count = -(-4 * seen.rows // max(1, seen.keys))
+    width = max(1, -(-(last - first) // max(1, count)))
+
+    def stretch(c: str) -> Column:
+        inside = F.least(F.greatest(_micros(c), F.lit(first)), F.lit(last))
+        return F.when(F.col(c).isNotNull(), F.floor((inside - F.lit(first)) / F.lit(width)))
+
+    end = F.coalesce(stretch("_until"), F.floor(F.lit((last - first) // width)))
+    cut = intervals.withColumn("_b", F.explode(F.sequence(stretch("_from"), end)))
     in_force = (
         (F.col(key) == F.col("_k"))
+        & (stretch(ts) == F.col("_b"))
         & (F.col(ts) >= F.col("_from"))
         & (F.col("_until").isNull() | (F.col(ts) < F.col("_until")))
     )
-    return left.join(F.broadcast(intervals), in_force, "left")
+    return left.join(F.broadcast(cut), in_force, "left")
 
 
 def _asof_window(
@@ -177,7 +204,7 @@ def _asof_window(
     width = int(bucket_days * MICROS_PER_DAY)
 
     def stretch(c: str) -> Column:
-        return F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(width))
+        return F.floor(_micros(c) / F.lit(width))
 
     probes = left.select(
         F.col(key).alias("_k"),

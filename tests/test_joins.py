@@ -86,8 +86,23 @@ def test_asof_plans(spark):
         return df._jdf.queryExecution().executedPlan().toString()
 
     assert "BroadcastHashJoin" in plan() and "Cartesian" not in plan()
-    assert "Window" in plan(max_broadcast_rows=10) and "NestedLoop" not in plan(max_broadcast_rows=10)
-    assert joins.asof_strategy(right.withColumn("k", F.lit("one")), "k") == "window"
+    assert "Window" in plan(max_broadcast_bytes=10) and "NestedLoop" not in plan(max_broadcast_bytes=10)
+    with pytest.raises(ValueError, match="more than 10 bytes"):
+        plan(strategy="range", max_broadcast_bytes=10)
+
+
+def test_asof_with_one_deep_key_leaves_the_left_side_in_place(spark):
+    hour = F.expr("timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')")
+    right = spark.range(10_000).select(F.lit("deep").alias("k"), hour.alias("f"), F.col("id").alias("v"))
+    left = spark.range(0, 12_000, 3).select(
+        F.when(F.col("id") % 2 == 0, "deep").otherwise("none").alias("k"),
+        F.expr("timestampadd(MINUTE, CAST(id * 60 + 30 AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("t"), "id",
+    )
+    df = joins.asof_left(left, right, {"k": "k"}, "t", "f", {"v": "v"}, unique=True)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    got = {r.id: r.v for r in df.collect()}
+    assert got == {i: (min(i, 9_999) if i % 2 == 0 else None) for i in range(0, 12_000, 3)}
 
 
 def test_lookup_left_keeps_unmatched_rows(spark):
