@@ -985,7 +985,8 @@ def memory_recall(spark, sf_dir):
     for half in (0, 1):
         store.append("memory", remember(pairs.where(F.col("vec_id") % 2 == half), BASE_STAMP))
     starts = first_per_key(pairs, ["label"], [F.col("vec_id")])
-    return nearest_batch(starts, store.read("memory"), 3, query_id="question", vector_id="id")
+    memory = schemas.read_contract(store.read("memory"), schemas.MEMORY)
+    return nearest_batch(starts, memory, 3, query_id="question", vector_id="id")
 
 
 # --- small operators ---------------------------------------------------------

@@ -227,6 +227,8 @@ def silver_tables(store: TableStore) -> dict[str, DataFrame]:
 def snapshot_stations(store: TableStore, trips: DataFrame, as_of: datetime | str) -> DataFrame:
     """Add today's state of the stations to their history."""
     history = store.read_or_none("station_snapshot")
+    if history is not None:
+        history = schemas.read_contract(history, schemas.STATION_HISTORY)
     after = scd2_apply(
         history, silver.station_current(trips), "station_id", ["station_name"], as_of
     )

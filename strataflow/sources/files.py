@@ -16,6 +16,8 @@ from strataflow.session import stage
 
 ARCHIVE = "_archive"
 ERROR = "_error"
+# The largest value Spark's reader of whole files gives.
+MAX_ARCHIVE = 2**31 - 1
 
 
 def _text_schema(schema: T.StructType, *extra: str) -> T.StructType:
@@ -82,9 +84,21 @@ def unpack_archives(
     return archives.select("path", "content").mapInPandas(unpack, out)
 
 
-def read_archives(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """Rows of the zip archives at a path; see ``unpack_archives``."""
-    return unpack_archives(spark.read.format("binaryFile").load(path), schema)
+def read_archives(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, max_bytes: int = MAX_ARCHIVE
+) -> DataFrame:
+    """Rows of the zip archives at a path; see ``unpack_archives``.
+
+    An archive above ``max_bytes``, what one value can hold, is refused by its
+    length without being read; the others go on.
+    """
+    found = spark.read.format("binaryFile").load(path)
+    rows = unpack_archives(found.where(F.col("length") <= max_bytes), schema)
+    large = found.where(F.col("length") > max_bytes).select(
+        F.element_at(F.split("path", "/"), -1).alias(ARCHIVE),
+        F.format_string("archive of %d bytes, above %d", "length", F.lit(max_bytes)).alias(ERROR),
+    )
+    return rows.unionByName(large, allowMissingColumns=True)
 
 
 def read_csv_raw(

@@ -72,6 +72,17 @@ def test_archives_one_bad_file_does_not_stop_the_others(spark, archives):
     assert set(messages) == {"none.zip", "badtime.csv.zip", "broken.zip"}
 
 
+def test_archive_above_the_limit_is_refused_alone(spark, tmp_path):
+    lines = "".join(f"r{i},b{i * 7919},2021-02-01,2021-02-02,S,E,member\n" for i in range(400))
+    make_zip(tmp_path, "big.zip", **{"big.csv": HEADER + lines})
+    make_zip(tmp_path, "fine.zip", **{"fine.csv": HEADER + "r1,b,2021-02-01,2021-02-02,S,E,member\n"})
+    limit = (tmp_path / "fine.zip").stat().st_size
+    rows = files.typed(files.read_archives(spark, str(tmp_path), schemas.TRIP_FILE, limit), schemas.TRIP_FILE)
+    good, refused = files.split_refused(rows)
+    assert [r.ride_id for r in good.collect()] == ["r1"]
+    assert [r._archive for r in refused.collect()] == ["big.zip"] and "above" in refused.first().message
+
+
 def test_archive_is_read_in_chunks(spark, tmp_path):
     lines = "".join(f"r{i},b,2021-02-01,2021-02-02,S,E,member\n" for i in range(1000))
     make_zip(tmp_path, "big.zip", **{"big.csv": HEADER + lines})
