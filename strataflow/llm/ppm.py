@@ -71,17 +71,22 @@ class Trie:
         keys, counts = np.asarray(keys, dtype=np.uint64), np.asarray(counts, dtype=np.float64)
         at = np.argsort(keys)
         keys, counts = keys[at], counts[at]
+        del at
         upper = None
         for k in range(order, -1, -1):
             if k < order:
                 mask = np.uint64((1 << (8 * (k + 1))) - 1)
-                keys, inverse = np.unique(keys & mask, return_inverse=True)
-                counts = np.bincount(inverse, minlength=len(keys)).astype(np.float64)
+                keys, counts = np.unique(keys & mask, return_counts=True)
+                counts = counts.astype(np.float64)
             if k == 0 and zero is not None:
                 keys = np.flatnonzero(zero).astype(np.uint64)
                 counts = np.asarray(zero, dtype=np.float64)[np.flatnonzero(zero)]
             chances = 2 * counts - 1
-            contexts, of = np.unique(keys >> np.uint64(8), return_inverse=True)
+            # Keys are sorted, so those of a context stand together.
+            own = keys >> np.uint64(8)
+            starts = np.append(True, own[1:] != own[:-1])[: len(own)]
+            contexts, of = own[starts], np.cumsum(starts, dtype=np.int32) - 1
+            del own, starts
             total = np.bincount(of, weights=chances, minlength=len(contexts))
             kinds = np.bincount(of, minlength=len(contexts)).astype(np.float64)
             level = {
