@@ -80,7 +80,8 @@ def encode_texts(texts: list[str | None], path: str, width: int, end_id: int, ma
     """The serialized ids of whole texts, each with the end id.
 
     The tokenizer drops white space and never joins across it, and it folds
-    letter case, so a text's ids are those of its space-separated words in turn.
+    letter case, so a text's ids are those of its space-separated words in turn,
+    and a word's are those of its letters and of a final full stop or comma.
     Each distinct word is encoded once; at most ``max_words`` are remembered,
     then the memory starts anew.
     """
@@ -97,7 +98,12 @@ def encode_texts(texts: list[str | None], path: str, width: int, end_id: int, ma
         if len(_WORDS) + len(missing) > max_words:
             _WORDS.clear()
             missing = {w for ws in split[at:upto] for w in ws}
+        # A full stop or comma after a letter is a token of its own: the word before it is shared.
+        ended = [w for w in missing if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalpha()]
+        missing.difference_update(ended)
+        missing.update(x for w in ended for x in (w[:-1], w[-1:]) if x not in _WORDS)
         _WORDS.update(encode_words(own, list(missing), kind))
+        _WORDS.update([(w, _WORDS[w[:-1]] + _WORDS[w[-1:]]) for w in ended])
         get = _WORDS.__getitem__
         for k in range(at, upto):
             out.append(b"".join(map(get, split[k])) + end)
@@ -143,7 +149,7 @@ def write_tokens(
     max_samples: int = 2000,
     sample_bytes: int = 16 << 10,
     dict_bytes: int = 64 << 10,
-    max_words: int = 600_000,
+    max_words: int = 1_000_000,
 ) -> None:
     """Encode every whole text, append ``end_id``, and write a store to ``path``.
 

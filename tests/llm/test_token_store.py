@@ -57,7 +57,7 @@ def test_empty_table(spark):
 
 
 def test_words_remembered_anew(spark):
-    texts = [f"alpha{k} beta, gamma." for k in range(300)]
+    texts = [f"alpha{k} beta, gamma. é. x.. 9. don't, a,. ,a . it's. ß, q.," for k in range(300)]
     token_store.tokenizer(tokenizer_file())
     raw = token_store.encode_texts(texts, tokenizer_file(), 2, 1, 50)
     assert [np.frombuffer(r, dtype="<u2").tolist() for r in raw] == [plain(t) for t in texts]
