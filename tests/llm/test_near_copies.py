@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import random
+
+from strataflow.llm import near_copies, simhash
+
+SCHEMA = "doc_id long, text string, _text_hash int"
+
+
+def sets(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(rows):
+    own = list(range(len(rows)))
+
+    def find(x):
+        while own[x] != x:
+            x = own[x]
+        return x
+
+    found = [sets(t) for _, t in rows]
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = found[a], found[b]
+            if x == y or 5 * len(x & y) >= 4 * len(x | y):
+                own[find(a)] = find(b)
+    return [find(x) for x in range(len(rows))]
+
+
+def texts():
+    rng = random.Random(7)
+    line = "all rights reserved by the owner of this page and nobody else at all"
+    out = []
+    for k in range(40):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(4, 150))]
+        out.append(" ".join([*words, line] if k % 3 == 0 else words))
+        for changes in (0, 1, 2, 4, 6):
+            copy = list(words)
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = "changed"
+            out.append(" ".join([*copy, line] if k % 3 == 0 else copy))
+    return [*out, "", None, "one", "ONE", "one two"]
+
+
+def test_classes_against_brute_force(spark):
+    rows = list(enumerate(texts()))
+    want: dict = {}
+    for (i, _), c in zip(rows, brute(rows)):
+        want.setdefault(c, set()).add(i)
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], SCHEMA)
+    got: dict = {}
+    for r in near_copies.group(df).collect():
+        got.setdefault(r["class"], set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    kept = near_copies.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(map(min, want.values()))
+
+
+def test_stage_takes_copies_beyond_three_bits(spark):
+    import corpus_pipeline
+
+    rng = random.Random(1)
+    words = [f"w{k}" for k in range(120)]
+    while True:
+        copy = list(words)
+        for at in rng.sample(range(120), 2):
+            copy[at] = "changed"
+        a, b = (simhash.fingerprint(" ".join(w)) for w in (words, copy))
+        if ((a ^ b) & (2**64 - 1)).bit_count() > 3 and 5 * len(sets(" ".join(words)) & sets(" ".join(copy))) >= 4 * len(sets(" ".join(words)) | sets(" ".join(copy))):
+            break
+    df = spark.createDataFrame([(1, " ".join(words), 1), (2, " ".join(copy), 1), (2, " ".join(copy), 1), (None, None, 1)], SCHEMA)
+    step = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert sorted(str(r.doc_id) for r in step(spark, df, "").collect()) == ["1", "None"]
+    assert near_copies.keep_one(df.limit(0)).count() == 0
