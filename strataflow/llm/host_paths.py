@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import re
 from collections.abc import Iterator
@@ -48,7 +49,8 @@ ENDS = {
     "th": (("td", "th"), ("table", "tr")),
     "body": (("head",), ()),
 }
-DEEPEST = 500
+#: A longer path goes on under a digest of its own, so that deep pages do not take space by the square.
+LONGEST = 4000
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""",
     re.S,
@@ -84,12 +86,15 @@ def parse(html: str, hints: bool = True) -> tuple[list[tuple[str, int]], list[tu
 
     Container 0 is the page itself.  A path is the tags and classes from the top,
     digits made equal.  What stands around a main text gives no blocks; with
-    ``hints`` off, only tags and not the words of class and id tell it.
+    ``hints`` off, only tags and not the words of class and id tell it.  Elements
+    may be nested to any depth, at a cost that follows the length of the page.
     """
     blocks: list[tuple[str, int]] = []
     boxes: list[tuple[str, int, str]] = [("", -1, "")]
     links: list[int] = []
     stack: list[tuple[str, int, bool, bool, bool]] = []  # tag, and what held before it
+    places: dict[str, list[int]] = {}  # of the open elements of a tag in the stack
+    containers: list[int] = []
     box, around, in_link, in_whole = 0, False, False, False
     held: list[str] = []
     linked = at = 0
@@ -116,10 +121,16 @@ def parse(html: str, hints: bool = True) -> tuple[list[tuple[str, int]], list[tu
         nonlocal box, around, in_link, in_whole
         while len(stack) > n:
             tag, old_box, old_around, old_link, old_whole = stack.pop()
+            places[tag].pop()
+            if tag in CONTAINER:
+                containers.pop()
             if tag in BLOCK:
                 flush()
             box, around, in_link, in_whole = old_box, old_around, old_link, old_whole
 
+    def last(tags: tuple[str, ...]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
     while m := TOKEN.search(html, at):
         say(html[at : m.start()])
         at = m.end()
@@ -127,28 +138,20 @@ def parse(html: str, hints: bool = True) -> tuple[list[tuple[str, int]], list[tu
         if not tag:
             continue
         if m[1] or m[4]:
-            for n in range(len(stack) - 1, -1, -1):
-                if stack[n][0] == tag:
-                    close_to(n)
-                    break
+            if places.get(tag):
+                close_to(places[tag][-1])
             continue
         if tag in BLOCK:
             flush()
-            for n in range(len(stack) - 1, -1, -1):
-                if stack[n][0] == "p":
-                    close_to(n)
-                    break
-                if stack[n][0] in CONTAINER:
-                    break
+            n = last(("p",))
+            if n > (containers[-1] if containers else -1):
+                close_to(n)
         if tag in ENDS:
             first, stop = ENDS[tag]
-            for n in range(len(stack) - 1, -1, -1):
-                if stack[n][0] in stop:
+            while (n := last(first)) > last(stop):
+                close_to(n)
+                if tag != "tr":
                     break
-                if stack[n][0] in first:
-                    close_to(n)
-                    if tag != "tr":
-                        break
         if tag in VOID:
             held.append(" ")
             continue
@@ -157,8 +160,9 @@ def parse(html: str, hints: bool = True) -> tuple[list[tuple[str, int]], list[tu
         if tag in RAW:  # its text is not markup
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(html, at)
             at = end.start() if end else len(html)
-        if len(stack) >= DEEPEST:
-            continue
+        places.setdefault(tag, []).append(len(stack))
+        if tag in CONTAINER:
+            containers.append(len(stack))
         stack.append((tag, box, around, in_link, in_whole))
         around = around or _is_around(tag, found, in_whole, hints)
         if tag == "a":
@@ -166,7 +170,10 @@ def parse(html: str, hints: bool = True) -> tuple[list[tuple[str, int]], list[tu
         if tag in CONTAINER and not around and tag not in ("td", "table", "ul", "ol", "dl", "blockquote"):
             classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in found.get("class", "").split()})
             step = ".".join([tag, *classes])
-            boxes.append((f"{boxes[box][0]}>{step}" if box else step, box, tag))
+            above = boxes[box][0]
+            if len(above) > LONGEST:
+                above = hashlib.md5(above.encode("utf-8", "surrogatepass")).hexdigest()
+            boxes.append((f"{above}>{step}" if box else step, box, tag))
             box = len(boxes) - 1
         in_whole = in_whole or tag in WHOLE
     say(html[at:])
@@ -183,22 +190,25 @@ def path_scores(blocks: list, boxes: list) -> dict[str, float]:
     each further one; an article or main element counts one and a half times all
     it holds, and nothing above it gets more than its share.
     """
-    own: dict[int, float] = {}
+    held, shared = [0.0] * len(boxes), [0.0] * len(boxes)  # all that a box holds, and its share of that
     for text, box, linked in blocks:
-        own[box] = own.get(box, 0.0) + max(0.0, len(text) - 2.0 * linked) + 1.0
+        worth = max(0.0, len(text) - 2.0 * linked) + 1.0
+        held[box] += worth
+        shared[box] += worth
     scores: dict[str, float] = {}
-    for box, worth in own.items():
-        share = 1.0
-        while box >= 0:
-            path, up, tag = boxes[box]
-            factor = 1.0
-            if tag in WHOLE:
-                share, factor = 1.0, 1.5
-            elif any(w in GOOD for w in re.split(r"[^a-z]+", path.rpartition(">")[2].partition(".")[2])):
-                factor = 1.2
-            scores[path] = scores.get(path, 0.0) + worth * share * factor
-            share /= 2
-            box = up
+    for box in range(len(boxes) - 1, -1, -1):  # those inside a box come after it
+        if not held[box]:
+            continue
+        path, up, tag = boxes[box]
+        factor = 1.0
+        if tag in WHOLE:
+            shared[box], factor = held[box], 1.5
+        elif any(w in GOOD for w in re.split(r"[^a-z]+", path.rpartition(">")[2].partition(".")[2])):
+            factor = 1.2
+        scores[path] = scores.get(path, 0.0) + shared[box] * factor
+        if up >= 0:
+            held[up] += held[box]
+            shared[up] += shared[box] / 2
     return scores
 
 

@@ -67,6 +67,19 @@ def test_markup():
     assert text("word " * 100_000) == ("word " * 100_000).strip()
 
 
+def test_deep_nests_lose_and_add_nothing():
+    nest = "<div>" * 600 + "x" + "</div>" * 600
+    inner = "".join(f"<p>{html.escape(b)}</p>" for b in BLOCKS)
+    got = host_paths.main_text(f"<body><div id=o><main><p>before</p>{nest}{inner}</main></div><div>off</div></body>", [])
+    assert got == "before\nx\n" + TEXT
+    for junk in ("<font>" * 700, "<span>" * 3000, "<p><font>" * 700):
+        for extra in ("<section id='comments'><p>Reader: great</p></section>", "<aside>Side</aside>", "<div hidden>never</div>"):
+            got = host_paths.main_text(f"<body><article>{junk}{inner}{extra}</article></body>", [])
+            assert got == TEXT
+    assert host_paths.main_text("<div>" * 50_000 + "deep" + "</i></div>" * 50_000, []) == "deep"
+    assert host_paths.main_text("<font><p>a</b>" * 30_000, []) == "\n".join("a" * 30_000)
+
+
 def test_hosts_agree(spark):
     wrap = ("<div class='teaser'><p>Other stories you may read, many of them, on this site.</p></div><div class='txt'>", "</div>")
     long = [(k, f"http://A.example/{k}", page([f"Block {k} {n}, with a number of words." for n in range(8)], wrap)) for k in range(6)]
