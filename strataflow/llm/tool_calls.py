@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import map_pandas, ranked_within, row_key
+from strataflow.llm.components import components
 from strataflow.session import stage
 
 MESSAGE = (
@@ -97,43 +98,89 @@ def errors(value, schema, at: str = "$", depth: int = 0) -> list[str]:
 
 
 def _in_order(messages: DataFrame, edges: DataFrame) -> DataFrame:
-    """mid, at, depth, cyclic: where each message that an edge moves stands.
+    """mid, at, depth, cyclic: where each message stands that edges may move.
 
     Messages keep the order of their turns, except that one that needs another
-    comes after it: it takes the other's turn and stands one deeper.  Each round
-    moves the messages that still stand too early.  If one is moved more often
-    than its conversation has edges, messages need each other in a circle; those
-    of that conversation keep their turns.
+    comes after it: it takes the other's turn and stands one deeper.  Messages
+    that need each other in a circle keep their turns; those around them do not.
+
+    Messages that edges tie are placed together in one task, in time in
+    proportion to their edges, if one of these goes against the turns at all.
+    Only the numbers and turns of messages are gathered for it.
     """
-    touched = edges.select(F.col("before").alias("mid")).union(edges.select("after")).distinct()
-    most = edges.groupBy("conv_id").agg(F.count(F.lit(1)).alias("most"))
-    places = messages.select("mid", "conv_id", "turn").join(touched, "mid")
-    same = places["conv_id"].eqNullSafe(most["conv_id"])
-    places = stage(
-        places.join(most, same).select("mid", places["conv_id"], F.col("turn").alias("at"), F.lit(0).cast("long").alias("depth"), "most"), "places"
-    )
-    while True:
-        u, v = places.alias("u"), places.alias("v")
-        early = (
-            edges.join(u, F.col("before") == F.col("u.mid"))
-            .join(v, F.col("after") == F.col("v.mid"))
-            .where(F.struct("u.at", "u.depth") >= F.struct("v.at", "v.depth"))
-            .where((F.col("u.depth") <= F.col("u.most")) & (F.col("v.depth") <= F.col("v.most")))
-            .groupBy(F.col("v.mid").alias("mid"))
-            .agg(F.max(F.struct(F.col("u.at").alias("at"), (F.col("u.depth") + 1).alias("depth"))).alias("to"))
-        )
-        early = stage(early, "moves")
-        if not early.count():
-            break
-        places = stage(
-            places.join(early, "mid", "left").select(
-                "mid", "conv_id", F.coalesce("to.at", "at").alias("at"), F.coalesce("to.depth", "depth").alias("depth"), "most"
-            ),
-            "places",
-        )
-    circles = places.groupBy("conv_id").agg(F.max(F.col("depth") > F.col("most")).alias("cyclic"))
-    same = F.col("p.conv_id").eqNullSafe(F.col("c.conv_id"))
-    return places.alias("p").join(circles.alias("c"), same).select("mid", "at", "depth", "cyclic")
+    kind = messages.schema["turn"].dataType.simpleString()
+    schema = f"mid long, at {kind}, depth long, cyclic boolean"
+    u, v = (messages.select(F.col("mid").alias(end), F.col("turn").alias(f"{end}_turn")) for end in ("before", "after"))
+    edges = stage(edges.select("before", "after").join(u, "before").join(v, "after"), "turns")
+    early = edges.where(F.struct("before_turn") >= F.struct("after_turn"))
+    if early.isEmpty():
+        return messages.sparkSession.createDataFrame([], schema)
+    ties = components(edges.select(F.col("before").alias("u"), F.col("after").alias("v")))
+    ties = stage(ties.select(F.col("node").alias("before"), "root"), "ties")
+    # A message that needs only itself is tied to no other.
+    tied = stage(edges.join(ties, "before", "left").withColumn("root", F.coalesce("root", "before")), "tied")
+    moved = tied.where(F.struct("before_turn") >= F.struct("after_turn")).select("root").distinct()
+
+    def place(table):
+        import pyarrow as pa
+
+        turn, needs, after = {}, {}, {}
+        for a, b, at, bt in zip(*(table[c].to_pylist() for c in ("before", "after", "before_turn", "after_turn"))):
+            turn[a], turn[b] = at, bt
+            needs.setdefault(b, []).append(a)
+            after.setdefault(a, []).append(b)
+        # Tarjan's circles without recursion: a circle is found after all that come after it.
+        number, low, on, open_, circle, found = {}, {}, set(), [], {}, []
+        for first in turn:
+            if first in number:
+                continue
+            path = [(first, iter(after.get(first, ())))]
+            number[first] = low[first] = len(number)
+            open_.append(first)
+            on.add(first)
+            while path:
+                m, rest = path[-1]
+                n = next(rest, None)
+                if n is None:
+                    path.pop()
+                    if path:
+                        low[path[-1][0]] = min(low[path[-1][0]], low[m])
+                    if low[m] == number[m]:
+                        found.append([])
+                        while True:
+                            n = open_.pop()
+                            on.discard(n)
+                            circle[n] = len(found) - 1
+                            found[-1].append(n)
+                            if n == m:
+                                break
+                elif n not in number:
+                    number[n] = low[n] = len(number)
+                    open_.append(n)
+                    on.add(n)
+                    path.append((n, iter(after.get(n, ()))))
+                elif n in on:
+                    low[m] = min(low[m], number[n])
+
+        at, cyclic = {}, {}
+        for members in reversed(found):
+            for m in members:
+                own = (True, turn[m], 0) if turn[m] is not None else (False, 0, 0)
+                cyclic[m] = len(members) > 1 or m in needs.get(m, ())
+                if not cyclic[m]:
+                    last = max((at[n] for n in needs.get(m, ())), default=None)
+                    if last is not None and last >= own:
+                        own = (*last[:2], last[2] + 1)
+                at[m] = own
+        mids = list(turn)
+        rows = {
+            "mid": mids, "at": [at[m][1] if at[m][0] else None for m in mids],
+            "depth": [at[m][2] for m in mids], "cyclic": [cyclic[m] for m in mids],
+        }
+        types = [pa.int64(), table.schema.field("before_turn").type, pa.int64(), pa.bool_()]
+        return pa.table([pa.array(c, t) for c, t in zip(rows.values(), types)], names=list(rows))
+
+    return stage(tied.join(moved, "root").groupBy("root").applyInArrow(place, schema), "places")
 
 
 def format_messages(conversations: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:
@@ -143,8 +190,9 @@ def format_messages(conversations: DataFrame, schemas: dict[str, dict] | None =
     an identifier is used again, the n-th result belongs to the n-th call.
     ``seq`` counts the messages of a conversation in topological order: a result
     comes after its call, a call after the results it names in ``after``, and
-    otherwise turns decide.  Where they need each other in a circle, a
-    conversation's messages keep their turns and are marked.  Arguments are held against the schema that the conversation
+    otherwise turns decide.  Where an identifier named in ``after`` is used again,
+    its latest use before the call counts, or else its first.  Messages that need
+    each other in a circle keep their turns and are marked.  Arguments are held against the schema that the conversation
     declares for the tool, or that ``schemas`` has; arguments that are no JSON,
     and tools without a schema, are invalid.  ``json`` has the role, content,
     calls and results in canonical form.
@@ -153,7 +201,7 @@ def format_messages(conversations: DataFrame, schemas: dict[str, dict] | None =
     forms above is plain content.  NULL conversations, turns and roles are kept
     (NULL turns first).  Repeated rows are messages of their own.  An empty table
     gives no rows; other columns are ignored.  A conversation is never gathered
-    in one task.
+    in one task, save for the numbers of messages that need each other.
     """
     known = {name: json.dumps(s) for name, s in (schemas or {}).items()}
     looks = F.ltrim("text").startswith("{")
@@ -185,16 +233,28 @@ def format_messages(conversations: DataFrame, schemas: dict[str, dict] | None =
         & (F.col("c._nth") == F.col("r._nth"))
     )
     links = calls.alias("c").join(results.hint("shuffle_hash").alias("r"), same).select(
-        "c.conv_id", "c.call_id", F.col("c.mid").alias("call_mid"), "c.k", F.col("r.mid").alias("result_mid")
+        "c.conv_id", "c.call_id", "c.turn", "c.tie", F.col("c.mid").alias("call_mid"), "c.k", "c._nth", F.col("r.mid").alias("result_mid")
     )
     links = stage(links, "links")
-    needs = calls.select("conv_id", F.col("mid").alias("after"), F.explode("after").alias("call_id"))
-    met = needs.alias("n").join(
-        links.groupBy("conv_id", "call_id").agg(F.max("result_mid").alias("before")).alias("l"),
-        F.col("n.conv_id").eqNullSafe(F.col("l.conv_id")) & (F.col("n.call_id") == F.col("l.call_id")),
+    # The place among uses and needs, less that among needs, is the number of uses before.
+    needs = calls.select("conv_id", "turn", "tie", "mid", F.lit(0).alias("use"), F.explode("after").alias("call_id")).distinct()
+    needs = stage(needs.join(links.select("conv_id", "call_id").distinct().alias("l"), (
+        needs["conv_id"].eqNullSafe(F.col("l.conv_id")) & (needs["call_id"] == F.col("l.call_id"))
+    ), "left_semi"), "needs")
+    uses = links.select("conv_id", "turn", "tie", F.col("call_mid").alias("mid"), F.lit(1).alias("use"), "call_id")
+    keys = ["conv_id", "call_id"]
+    among = ranked_within(needs.unionByName(uses), keys, [*order, "use"], "needs_and_uses").where("use = 0")
+    alone = ranked_within(needs, keys, order, "ranked_needs")
+    same = F.col("a.conv_id").eqNullSafe(F.col("b.conv_id")) & (F.col("a.call_id") == F.col("b.call_id")) & (F.col("a.mid") == F.col("b.mid"))
+    wanted = among.alias("a").join(alone.alias("b"), same).select(
+        "a.conv_id", "a.call_id", "a.mid", F.greatest(F.col("a._nth") - F.col("b._nth"), F.lit(1)).alias("nth")
     )
+    met = wanted.alias("n").join(
+        links.alias("l"),
+        F.col("n.conv_id").eqNullSafe(F.col("l.conv_id")) & (F.col("n.call_id") == F.col("l.call_id")) & (F.col("nth") == F.col("l._nth")),
+    ).select("n.conv_id", F.col("l.result_mid").alias("before"), F.col("n.mid").alias("after"))
     edges = links.select("conv_id", F.col("call_mid").alias("before"), F.col("result_mid").alias("after")).union(
-        met.select("n.conv_id", "before", "after")
+        met
     )
     edges = stage(edges.distinct(), "edges")
     places = _in_order(messages, edges)

@@ -72,6 +72,36 @@ def test_chains_cycles_and_repeated_ids(spark):
     assert [r.linked for r in got if r.conv_id == 3 and r.role == "tool"] == [True, True, False]
 
 
+def test_after_takes_the_latest_earlier_use(spark):
+    rows = [
+        (1, 0, "assistant", call(one("c1", {}))), (1, 1, "tool", result("c1")),
+        (1, 3, "assistant", call(one("d", {}, after=["c1"]))), (1, 4, "tool", result("d")),
+        (1, 5, "assistant", call(one("c1", {}, after=["d"]))), (1, 6, "tool", result("c1")),
+        (1, 7, "assistant", call(one("e", {}, after=["c1"]))), (1, 8, "tool", result("e")),
+    ]
+    got = run(spark, rows[::-1]) + run(spark, rows)
+    assert [r.turn for r in got] == [0, 1, 3, 4, 5, 6, 7, 8] * 2 and not any(r.cyclic for r in got)
+
+
+def test_only_messages_in_a_circle_keep_their_turns(spark):
+    rows = [
+        (None, 0, "assistant", call(one("x", {}, after=["y"]))), (None, 1, "assistant", call(one("y", {}, after=["x"]))),
+        (None, 2, "tool", result("x")), (None, 3, "tool", result("y")),
+        (None, 4, "tool", result("a")), (None, 5, "assistant", call(one("a", {}))),
+        (None, 6, "assistant", call(one("b", {}, after=["z"]))), (None, 7, "assistant", call(one("z", {}, after=["x"]))),
+        (None, 8, "tool", result("z")), (None, 9, "tool", result("b")),
+    ]
+    rows += [(None, 1000 - k, "assistant", call(one(f"k{k}", {}, after=[f"k{k - 1}"]))) for k in range(300)]
+    rows += [(None, 2000 - k, "tool", result(f"k{k}")) for k in range(300)]
+    got = run(spark, rows)
+    turns = [r.turn for r in got]
+    assert turns[:10] == [0, 1, 2, 3, 5, 4, 7, 8, 6, 9]
+    assert [r.turn for r in got if r.cyclic] == [0, 1, 2, 3]
+    place = {t: k for k, t in enumerate(turns)}
+    chain = [t for k in range(300) for t in (1000 - k, 2000 - k)]
+    assert [place[t] for t in chain] == sorted(place[t] for t in chain)
+
+
 def test_odd_rows(spark):
     rows = [
         (1, 0, "user", None), (1, 1, None, ""), (1, None, "user", "{not json"), (None, 0, "user", "[1]"), (None, 0, "user", "[1]"),
