@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, mixing, near_copies, quality, token_store
+from strataflow.llm import decontaminate, mixing, quality, simhash, token_store
 from strataflow.llm.common import id_fold, table
 from strataflow.llm.queries import tokenizer_file
 from strataflow.session import stage
@@ -24,8 +24,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words a shingle, a similarity of 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group whose fingerprints are linked at 3 or fewer differing bits."""
+    return simhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
