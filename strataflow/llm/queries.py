@@ -9,6 +9,7 @@ from strataflow.llm import (
     ann,
     decontaminate,
     host_paths,
+    lexical_search,
     mixing,
     ppm,
     quality,
@@ -99,6 +100,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of each benchmark item."""
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {
     "op1_quality": op1_quality,
     "op7_decontamination": op7_decontamination,
@@ -110,6 +116,5 @@ REGISTRY = {
     "op5_tool_calls": op5_tool_calls,
     "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
+    "op11_lexical": op11_lexical,
 }
-
-

@@ -79,6 +79,10 @@ hit AS (
   FROM dw LEFT JOIN covered USING (rid) LEFT JOIN listed USING (rid))"""
 
 
+def terms(text: str) -> str:
+    return f"coalesce(regexp_extract_all({LOWER.format(text)}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), [])"
+
+
 ORACLE: dict[str, str] = {
     "op7_decontamination": f"""WITH {hit_rows('documents')}
 SELECT doc_id, len(w)::BIGINT AS n_words, n_hit, n_items, sha256(ids) AS items_sha256, n_hit > 0 AS contaminated FROM hit""",
@@ -96,4 +100,23 @@ near AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM near)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
+    "op11_lexical": f"""WITH
+dt AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS rid, {terms('text')} AS w FROM documents),
+it AS (SELECT item_id, row_number() OVER () AS n, {terms('text')} AS w FROM benchmark),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM dt WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT item_id, n, t FROM (SELECT item_id, n, unnest(w) AS t FROM it)),
+tf AS (
+  SELECT rid, doc_id, len, t, count(*)::BIGINT AS tf FROM (SELECT rid, doc_id, len(w)::BIGINT AS len, unnest(w) AS t FROM dt)
+  WHERE t IN (SELECT t FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM tf, whole GROUP BY t),
+scored AS (
+  SELECT n, item_id, rid, doc_id,
+         sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len * n_docs) // n_terms))))::BIGINT AS score
+  FROM wanted JOIN tf USING (t) JOIN weights USING (t), whole GROUP BY n, item_id, rid, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
