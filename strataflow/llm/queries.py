@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm import (
     ann,
+    collocations,
     decontaminate,
     host_paths,
     lexical_search,
@@ -105,6 +106,11 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 most surprising phrases of each language."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_quality": op1_quality,
     "op7_decontamination": op7_decontamination,
@@ -117,4 +123,5 @@ REGISTRY = {
     "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
     "op11_lexical": op11_lexical,
+    "op12_collocations": op12_collocations,
 }

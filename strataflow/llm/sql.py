@@ -119,4 +119,35 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank
   FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op12_collocations": f"""WITH
+pieces AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex({LOWER.format('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+grams AS MATERIALIZED (
+  SELECT lang, len(g) AS k, g, count(*)::BIGINT AS f
+  FROM (SELECT lang, w[s:s + k - 1] AS g
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s
+              FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k))
+  GROUP BY lang, g),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM grams WHERE f >= 100),
+inside AS (
+  SELECT DISTINCT lang, o.g[s:s + k2 - 1] AS g, f
+  FROM (SELECT lang, g, f, k, k2, unnest(range(1, k - k2 + 2)) AS s
+        FROM often, (SELECT unnest([2, 3, 4]) AS k2) WHERE k > k2) o),
+around AS (SELECT lang, g, max(f) AS most FROM inside GROUP BY lang, g),
+cuts AS (
+  SELECT lang, g, f AS a, unnest(range(1, k)) AS c FROM often LEFT JOIN around USING (lang, g)
+  WHERE k >= 2 AND (most IS NULL OR 100 * most < 100 * f)),
+parts AS (
+  SELECT cuts.*, n, x.f AS l, y.f AS r, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN totals USING (lang)
+  JOIN often x ON x.lang = cuts.lang AND x.g = cuts.g[1:c]
+  JOIN often y ON y.lang = cuts.lang AND y.g = cuts.g[c + 1:]),
+least AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ') COLLATE "C") AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }
