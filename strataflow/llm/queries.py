@@ -16,6 +16,7 @@ from strataflow.llm import (
     quality,
     secret_spans,
     simhash,
+    suffix_dedup,
     token_store,
     tool_calls,
 )
@@ -111,6 +112,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the byte strings that started earlier."""
+    done = suffix_dedup.remove(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 REGISTRY = {
     "op1_quality": op1_quality,
     "op7_decontamination": op7_decontamination,
@@ -124,4 +131,5 @@ REGISTRY = {
     "op9_mixing": op9_mixing,
     "op11_lexical": op11_lexical,
     "op12_collocations": op12_collocations,
+    "op13_suffixes": op13_suffixes,
 }

@@ -150,4 +150,23 @@ ranked AS (
   SELECT *, array_to_string(g, ' ') AS phrase,
          row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ') COLLATE "C") AS rank FROM least)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
+    "op13_suffixes": """WITH
+d AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY doc_id NULLS LAST) AS o, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+  SELECT o, s, md5(substr(h, 2 * s + 1, 200)) AS g
+  FROM (SELECT o, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM d WHERE len(h) >= 200)),
+later AS (
+  SELECT o, s FROM (SELECT o, s, row_number() OVER (PARTITION BY g ORDER BY o, s) AS nth FROM strings) WHERE nth > 1),
+fresh AS (SELECT *, s > coalesce(lag(s) OVER (PARTITION BY o ORDER BY s) + 100, -1) AS new FROM later),
+spans AS (
+  SELECT o, min(s) AS a, max(s) + 100 AS z
+  FROM (SELECT o, s, sum(new::INT) OVER (PARTITION BY o ORDER BY s) AS span FROM fresh) GROUP BY o, span),
+between AS (SELECT *, coalesce(lag(z) OVER (PARTITION BY o ORDER BY a), 0) AS at FROM spans),
+sums AS (
+  SELECT o, sum(z - a)::BIGINT AS gone, count(*)::BIGINT AS n_spans, max(z) AS last,
+         string_agg(substr(h, 2 * at + 1, 2 * (a - at)), '' ORDER BY a) AS kept
+  FROM between JOIN d USING (o) GROUP BY o)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN sums USING (o)""",
 }
