@@ -249,13 +249,16 @@ def _bucket(keys):
     return (last * np.uint64(8) + before).astype(np.int64)
 
 
-def gather(docs: DataFrame, held_out: Column, *, order: int, block_bytes: int = 24 << 20) -> DataFrame:
+def gather(
+    docs: DataFrame, held_out: Column, *, order: int, block_bytes: int = 16 << 20, run_grams: int = 1_000_000
+) -> DataFrame:
     """One pass over all texts: what both models learn, and what the base has to look up.
 
     Rows by ``kind``: ``d`` is a document of a block, with the numbers and counts
     of its tokens; ``t`` is a token of a block, with its number there and its
-    count in training documents; ``g`` is a bucket of a task's grams, with their
-    counts.  Texts that are held out give no counts.
+    count in training documents; ``g`` is a bucket of a run of a task's grams,
+    with their counts; a run ends at ``run_grams`` different grams.  Texts that
+    are held out give no counts.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (
@@ -289,9 +292,24 @@ def gather(docs: DataFrame, held_out: Column, *, order: int, block_bytes: int =
             keys, times = np.unique(found, return_counts=True)
             learnt.append((keys, times))
             waiting.clear()
-            if len(learnt) >= 6:
+            if len(learnt) >= 3:
                 learnt[:] = [_merged(learnt)]
 
+        def run() -> pd.DataFrame:
+            keys, times = _merged(learnt)
+            learnt.clear()
+            bucket = _bucket(keys)
+            by = np.argsort(bucket, kind="stable")
+            keys, times, bucket = keys[by], times[by], bucket[by]
+            ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
+            begins = np.append(0, ends[:-1])
+            return frame(
+                "g", bucket[begins],
+                n=ends - begins,
+                first=[_packed(np.diff(keys[a:z], prepend=np.uint64(0))) for a, z in zip(begins, ends)],
+                second=[_packed(times[a:z].astype("<i8")) for a, z in zip(begins, ends)],
+            )
+
         def close() -> Iterator[pd.DataFrame]:
             block = (part << 24) + n_block
             own = pd.DataFrame(rows, columns=["doc_id", "text_hash", "held_out", "n_tokens", "first", "second"])
@@ -317,9 +335,11 @@ def gather(docs: DataFrame, held_out: Column, *, order: int, block_bytes: int =
                     counts[ids] += n
                     waiting.append(text)
                     n_waiting += len(text)
-                    if n_waiting > 4_000_000:
+                    if n_waiting > 2_000_000:
                         learn()
                         n_waiting = 0
+                        if sum(len(k) for k, _ in learnt) >= run_grams:
+                            yield run()
                 rows.append((doc_id, text_hash, out, int(n.sum()), ids.tobytes(), n.tobytes()))
                 held += len(text)
                 if held >= block_bytes:
@@ -331,18 +351,7 @@ def gather(docs: DataFrame, held_out: Column, *, order: int, block_bytes: int =
         if waiting:
             learn()
         if learnt:
-            keys, times = _merged(learnt)
-            bucket = _bucket(keys)
-            by = np.argsort(bucket, kind="stable")
-            keys, times, bucket = keys[by], times[by], bucket[by]
-            ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
-            begins = np.append(0, ends[:-1])
-            yield frame(
-                "g", bucket[begins],
-                n=ends - begins,
-                first=[_packed(np.diff(keys[a:z], prepend=np.uint64(0))) for a, z in zip(begins, ends)],
-                second=[_packed(times[a:z].astype("<i8")) for a, z in zip(begins, ends)],
-            )
+            yield run()
 
     columns = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), held_out.alias("held_out"), "text")
     return stage(map_pandas(columns, step, schema), "language_model_counts")

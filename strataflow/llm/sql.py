@@ -161,10 +161,10 @@ fresh AS (SELECT *, s > coalesce(lag(s) OVER (PARTITION BY o ORDER BY s) + 100,
 spans AS (
   SELECT o, min(s) AS a, max(s) + 100 AS z
   FROM (SELECT o, s, sum(new::INT) OVER (PARTITION BY o ORDER BY s) AS span FROM fresh) GROUP BY o, span),
-between AS (SELECT *, coalesce(lag(z) OVER (PARTITION BY o ORDER BY a), 0) AS at FROM spans),
+between AS (SELECT *, coalesce(lag(z) OVER (PARTITION BY o ORDER BY a), 0) AS upto FROM spans),
 sums AS (
   SELECT o, sum(z - a)::BIGINT AS gone, count(*)::BIGINT AS n_spans, max(z) AS last,
-         string_agg(substr(h, 2 * at + 1, 2 * (a - at)), '' ORDER BY a) AS kept
+         string_agg(substr(h, 2 * upto + 1, 2 * (a - upto)), '' ORDER BY a) AS kept
   FROM between JOIN d USING (o) GROUP BY o)
 SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256

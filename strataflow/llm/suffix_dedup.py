@@ -352,7 +352,7 @@ def _raw(text) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
-def _seed_rows(batches: Iterator[pd.DataFrame], length: int, seed: int, piece: int = 2_000_000) -> Iterator[dict]:
+def _seed_rows(batches: Iterator[pd.DataFrame], length: int, seed: int, piece: int = 1_000_000) -> Iterator[dict]:
     """The runs of the texts of some megabytes at a time."""
     import numpy as np
 
@@ -384,7 +384,7 @@ def deal(own: DataFrame, cuts: list[tuple], length: int, seed: int) -> DataFrame
         for rows in _seed_rows(batches, length, seed):
             parts.append(rows)
             held += len(rows["lead"])
-            if held >= 1_500_000:
+            if held >= 750_000:
                 yield blocks_of(_joined(parts), cuts)
                 parts, held = [], 0
         if held:
@@ -412,7 +412,7 @@ def remove(
     *,
     length: int = 100,
     seed: int = 32,
-    bucket_rows: int = 1_000_000,
+    bucket_rows: int = 500_000,
     part_bytes: int = 8 << 20,
     sample_bytes: int = 8 << 20,
     few: int = 256,
@@ -445,11 +445,15 @@ def remove(
         out = {"doc": rows["doc"], "tag": rows["tag"], "pos": rows["pos"], "n": rows["n"], "status": status, "seed": mixed}
         return pd.DataFrame({c: v[kept] for c, v in out.items()})
 
-    found = deal(own, cuts, length, seed).groupBy("bucket").applyInPandas(
+    dealt = deal(own, cuts, length, seed).repartition(2 * n_buckets, "bucket")
+    found = dealt.groupBy("bucket").applyInPandas(
         verdicts, "doc long, tag int, pos long, n long, status int, seed long"
     )
     part = F.pmod(F.xxhash64("doc", "tag"), F.lit(n_parts)).cast("int").alias("part")
 
+    def by_part(rows: DataFrame):  # as many tasks as the texts need, whatever the session's setting
+        return rows.repartition(n_parts, "part").groupBy("part")
+
     def press(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
@@ -494,7 +498,7 @@ def remove(
         return pd.DataFrame(out, columns=list(blank))
 
     seen = stage(
-        texts.groupBy("part").cogroup(found.select("*", part).groupBy("part")).applyInPandas(
+        by_part(texts).cogroup(by_part(found.select("*", part))).applyInPandas(
             join_texts,
             "kind string, doc long, tag int, raw binary, starts binary, ends binary, times int, seed long, pos long, n long, "
             + result,
@@ -529,11 +533,11 @@ def remove(
     spread = "doc long, tag int, start long, end long"
     open_runs = seen.where("kind in ('few', 'many')")
     sums = {r.kind: r.n for r in open_runs.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    n_few = max(1, -(-sums.get("few", 0) // bucket_rows))
+    n_few = max(1, -(-4 * sums.get("few", 0) // bucket_rows))
     dealt = open_runs.where("kind = 'few'").select(
         "doc", "tag", "pos", "n", "raw", F.pmod(F.xxhash64("seed"), F.lit(n_few)).cast("int").alias("bucket")
     )
-    gone = dealt.groupBy("bucket").applyInPandas(few_strings, spread)
+    gone = dealt.repartition(2 * n_few, "bucket").groupBy("bucket").applyInPandas(few_strings, spread)
     if sums.get("many"):
         gone = gone.unionByName(_many_strings(open_runs.where("kind = 'many'"), sums["many"], length, bucket_rows, stretches, spread))
 
@@ -553,7 +557,7 @@ def remove(
         return pd.DataFrame(out, columns=["doc", "tag", *names])
 
     waiting = seen.where("kind = 'left'").select("doc", "tag", "raw", "starts", "ends", "times", part)
-    rest = waiting.groupBy("part").cogroup(gone.select("*", part).groupBy("part")).applyInPandas(
+    rest = by_part(waiting).cogroup(by_part(gone.select("*", part))).applyInPandas(
         finish, f"doc long, tag int, {result}"
     )
     doc_id = F.when(F.col("tag") < NO_ID_TAG, F.col("doc")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
@@ -613,4 +617,5 @@ def _many_strings(open_runs: DataFrame, n_strings: int, length: int, bucket_rows
         gone = status == 1
         return stretches(rows["doc"][gone], rows["tag"][gone], rows["pos"][gone])
 
-    return map_pandas(columns, step, BLOCK).groupBy("bucket").applyInPandas(later, spread)
+    dealt = map_pandas(columns, step, BLOCK).repartition(2 * n_buckets, "bucket")
+    return dealt.groupBy("bucket").applyInPandas(later, spread)
