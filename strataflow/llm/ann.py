@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,8 +28,17 @@ def usable(vector: str) -> Column:
     return F.coalesce(~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def centres(vectors: DataFrame) -> dict[int, list[float]]:
-    """The mean vector for each dimension, over all rows: one row per dimension and task is summed."""
+def peak_exponent(vectors: DataFrame) -> int:
+    """The power of two above the largest component of all rows."""
+    largest = vectors.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
+    return math.frexp(largest)[1] if largest else 0
+
+
+def centres(vectors: DataFrame, power: int) -> dict[int, list[float]]:
+    """The mean vector for each dimension, over all rows: one row per dimension and task is summed.
+
+    Components are divided by 2^``power``, so none is above 1.
+    """
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
@@ -37,8 +47,7 @@ def centres(vectors: DataFrame) -> dict[int, list[float]]:
         for b in batches:
             for dim, rows in _by_dimension(b["v"]):
                 total, n = sums.get(dim, (np.zeros(dim), 0))
-                # Scaled, so that the largest finite vectors do not add up to infinity.
-                sums[dim] = total + np.ldexp(rows[1], -64).sum(axis=0), n + len(rows[0])
+                sums[dim] = total + np.ldexp(rows[1], -power).sum(axis=0), n + len(rows[0])
         for dim, (total, n) in sums.items():
             yield pd.DataFrame({"dim": [dim], "total": [total.tolist()], "n": [n]})
 
@@ -47,7 +56,7 @@ def centres(vectors: DataFrame) -> dict[int, list[float]]:
     rows = each.groupBy("dim", "k").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect()
     out: dict[int, list[float]] = {}
     for r in rows:
-        out.setdefault(r.dim, [0.0] * r.dim)[r.k] = r.x / r.n * 2.0**64
+        out.setdefault(r.dim, [0.0] * r.dim)[r.k] = r.x / r.n
     return out
 
 
@@ -77,20 +86,25 @@ def encode(matrix, centre, turn):
     return np.packbits(turned > 0, axis=1), norm, kept
 
 
-def build_index(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, dict]:
-    """Every usable vector with its code and correction scalars, and the centres.
+def build_index(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, dict, int]:
+    """Every usable vector with its code and correction scalars, the centres, and the power of two of their scale.
 
-    Columns id, v, dim, code, norm, kept.  The rotation is drawn, the centre is
+    Columns id, v, dim, code, norm, kept.  Codes and scalars are those of the
+    vectors divided by the power of two above the largest component, so that no
+    finite vector makes a square overflow.  The rotation is drawn, the centre is
     the mean of all rows: nothing is fitted on a sample.
     """
     rows = vectors.where(usable(vector)).select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    mean = centres(rows)
+    power = peak_exponent(rows)
+    mean = centres(rows, power)
     id_type = rows.schema["id"].dataType.simpleString()
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
         for b in batches:
             for dim, (at, matrix) in _by_dimension(b["v"]):
-                code, norm, kept = encode(matrix, mean[dim], rotation(dim))
+                code, norm, kept = encode(np.ldexp(matrix, -power), mean[dim], rotation(dim))
                 yield pd.DataFrame(
                     {
                         "id": b["id"].to_numpy()[at], "v": b["v"].to_numpy()[at], "dim": dim,
@@ -99,21 +113,34 @@ def build_index(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "em
                 )
 
     schema = f"id {id_type}, v array<double>, dim int, code binary, norm double, kept double"
-    return stage(map_pandas(rows, step, schema), "vector_codes"), mean
+    return stage(map_pandas(rows, step, schema), "vector_codes"), mean, power
 
 
 def distances(matrix, query):
-    """Euclidean distances in double precision, components added in order."""
+    """Euclidean distances in double precision, components added in order.
+
+    Where a square leaves the range of doubles, differences are scaled first.
+    """
     import numpy as np
 
     total = np.zeros(len(matrix))
-    for j in range(matrix.shape[1]):
-        d = matrix[:, j] - query[j]
-        total += d * d
-    return np.sqrt(total)
+    with np.errstate(over="ignore", under="ignore"):
+        for j in range(matrix.shape[1]):
+            d = matrix[:, j] - query[j]
+            total += d * d
+    out = np.sqrt(total)
+    odd = np.flatnonzero((total < 1e-290) | ~np.isfinite(total))
+    if len(odd):
+        # Halves, so that the difference of the largest vectors is finite too.
+        d = np.abs(matrix[odd] / 2 - query / 2)
+        most = d.max(axis=1)
+        safe = np.where(most > 0, most, 1.0)
+        with np.errstate(over="ignore"):
+            out[odd] = 2 * (most * np.sqrt(((d / safe[:, None]) ** 2).sum(axis=1)))
+    return out
 
 
-def _search_block(index: DataFrame, mean: dict, queries: list, k: int, sure: float) -> DataFrame:
+def _search_block(index: DataFrame, mean: dict, power: int, queries: list, k: int, sure: float) -> DataFrame:
     """The ``k`` nearest rows of each task for each query of a block."""
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,7 +153,7 @@ def _search_block(index: DataFrame, mean: dict, queries: list, k: int, sure: flo
             asked[len(v)]["v"].append(v)
         for dim, own in asked.items():
             own["v"] = np.array(own["v"], dtype=np.float64)
-            residual = own["v"] - np.asarray(mean[dim])
+            residual = np.ldexp(own["v"], -power) - np.asarray(mean[dim])
             own["norm"] = np.sqrt((residual * residual).sum(axis=1))
             own["turned"] = (residual / np.where(own["norm"] > 0, own["norm"], 1.0)[:, None]) @ rotation(dim)
         best: list = [(np.empty(0), np.empty(0, dtype=object)) for _ in queries]
@@ -150,7 +177,7 @@ def _search_block(index: DataFrame, mean: dict, queries: list, k: int, sure: flo
                     high = squares - scale * np.maximum(cosine[:, q] - off, -1.0)
                     limit = np.partition(high, k)[k] if len(high) > k else np.inf  # one more: the query itself
                     if len(best[n][0]) == k:
-                        limit = min(limit, best[n][0][-1] ** 2)
+                        limit = min(limit, np.ldexp(best[n][0][-1], -power) ** 2)
                     near = np.flatnonzero(low <= limit * (1 + 1e-9) + 1e-12)
                     near = near[ids[near] != queries[n][0]]
                     if len(near):
@@ -191,7 +218,7 @@ def search(
     Fewer than ``k`` candidates give fewer rows, an empty table none.
     """
     taken = vectors.where(F.col(vec_id).isNotNull())
-    index, mean = build_index(taken, vec_id=vec_id, vector=vector)
+    index, mean, power = build_index(taken, vec_id=vec_id, vector=vector)
     asked = stage(
         taken.where(is_query & usable(vector)).select(
             F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v")
@@ -205,7 +232,7 @@ def search(
         some = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
         queries = [(r.id, r.v) for r in some.collect()]
         if queries or found is None:
-            nearest = stage(_search_block(index, mean, queries, k, sure), "nearest")
+            nearest = stage(_search_block(index, mean, power, queries, k, sure), "nearest")
             found = nearest if found is None else found.unionByName(nearest)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -70,3 +72,30 @@ def test_bounds_hold():
         true = ((data - centre) / norm[:, None]) @ unit
         off = 4 * np.sqrt((1 - kept**2) / 63) / kept
         assert (np.abs(signs @ (unit @ turn) / kept - true) <= off).mean() > 0.999
+
+
+def test_components_near_the_limits_of_doubles(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, rng.normal(size=6).tolist()) for k in range(40)]
+    for extra in (
+        [(50, [1e200, 0.0, 0.0, 0.0, 0.0, 0.0])],
+        [(50, [1e308, -1e308, 0.0, 0.0, 0.0, 1.0]), (60, [-1e308, 1e308, 0.0, 0.0, 0.0, 0.0]), (61, [1e300] * 6)],
+        [(k + 50, [1e-200 * (j + k) for j in range(6)]) for k in range(12)],
+    ):
+        every = rows + extra
+        got = run(spark, every, k=4)
+        want = {}
+        for q, a in every:
+            if q % 10 == 0:
+                near = sorted((math.dist(a, b), i) for i, b in every if i != q)[:4]
+                want[q] = near
+        assert got.keys() == want.keys()
+        for q in want:
+            assert [i for _, i in got[q]] == [i for _, i in want[q]]
+            assert np.allclose([d for d, _ in got[q]], [d for d, _ in want[q]], rtol=1e-12)
+
+
+def test_only_tiny_vectors(spark):
+    rows = [(k, [1e-200 * k, 2e-310, 1e-200]) for k in range(25)]
+    got = run(spark, rows, k=3)
+    assert [i for _, i in got[10]] == [9, 11, 8] and [i for _, i in got[0]] == [1, 2, 3]
