@@ -29,19 +29,36 @@ MESSAGE = (
 )
 
 
-def canonical(value) -> str:
-    """JSON with sorted keys, no spaces, and characters as themselves; numbers that are whole print as such."""
+class _Part(str):
+    """Text of the output, told apart from a string value."""
 
-    def plain(v):
-        if isinstance(v, float):
-            return int(v) if math.isfinite(v) and v == int(v) and abs(v) < 2**53 else v if math.isfinite(v) else None
-        if isinstance(v, dict):
-            return {str(k): plain(x) for k, x in v.items()}
-        if isinstance(v, list):
-            return [plain(x) for x in v]
-        return v
 
-    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+def canonical(value) -> str:
+    """JSON with sorted keys, no spaces, and characters as themselves; numbers that are whole print as such.
+
+    Values of any depth are written without recursion.
+    """
+    out, todo = [], [value]
+    while todo:
+        v = todo.pop()
+        if type(v) is _Part:
+            out.append(v)
+        elif isinstance(v, dict):
+            parts = [_Part("{")]
+            for n, (k, x) in enumerate(sorted(((str(k), x) for k, x in v.items()), key=lambda kx: kx[0])):
+                parts += [_Part(("," if n else "") + json.dumps(k, ensure_ascii=False) + ":"), x]
+            todo.extend(reversed([*parts, _Part("}")]))
+        elif isinstance(v, list):
+            parts = [_Part("[")]
+            for n, x in enumerate(v):
+                parts += [_Part(","), x] if n else [x]
+            todo.extend(reversed([*parts, _Part("]")]))
+        elif isinstance(v, float):
+            whole = math.isfinite(v) and v == int(v) and abs(v) < 2**53
+            out.append(json.dumps(int(v) if whole else v if math.isfinite(v) else None))
+        else:
+            out.append(json.dumps(v, ensure_ascii=False))
+    return "".join(out)
 
 
 def parse_json(text: str | None):
@@ -56,44 +73,80 @@ def parse_json(text: str | None):
     return text
 
 
-def errors(value, schema, at: str = "$", depth: int = 0) -> list[str]:
-    """Where a value breaks a schema: type, enum, required, properties, additionalProperties, items, bounds."""
-    if schema is True or schema is None or depth > 50:
-        return []
-    if schema is False or not isinstance(schema, dict):
-        return [f"{at}: not allowed"]
-    kinds = {
-        "object": isinstance(value, dict),
-        "array": isinstance(value, list),
-        "string": isinstance(value, str),
-        "boolean": isinstance(value, bool),
-        "null": value is None,
-        "number": isinstance(value, (int, float)) and not isinstance(value, bool),
-        "integer": isinstance(value, (int, float)) and not isinstance(value, bool) and value == value // 1,
-    }
-    wanted = schema.get("type")
-    wanted = [wanted] if isinstance(wanted, str) else wanted or []
-    out = []
-    if wanted and not any(kinds.get(k, False) for k in wanted):
-        out.append(f"{at}: not {' or '.join(wanted)}")
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{at}: not in enum")
-    if kinds["number"]:
-        if "minimum" in schema and value < schema["minimum"]:
-            out.append(f"{at}: below minimum")
-        if "maximum" in schema and value > schema["maximum"]:
-            out.append(f"{at}: above maximum")
-    if kinds["object"]:
-        fields = schema.get("properties") or {}
-        out += [f"{at}.{k}: missing" for k in schema.get("required") or [] if k not in value]
-        for k, v in value.items():
-            if k in fields:
-                out += errors(v, fields[k], f"{at}.{k}", depth + 1)
-            elif "additionalProperties" in schema:
-                out += errors(v, schema["additionalProperties"], f"{at}.{k}", depth + 1)
-    if kinds["array"] and "items" in schema:
-        for n, v in enumerate(value):
-            out += errors(v, schema["items"], f"{at}[{n}]", depth + 1)
+def _number(v) -> bool:
+    return isinstance(v, (int, float)) and not isinstance(v, bool)
+
+
+#: What a value must be for each type that a schema can name.
+KINDS = {
+    "object": lambda v: isinstance(v, dict),
+    "array": lambda v: isinstance(v, list),
+    "string": lambda v: isinstance(v, str),
+    "boolean": lambda v: isinstance(v, bool),
+    "null": lambda v: v is None,
+    "number": _number,
+    "integer": lambda v: _number(v) and v == v // 1,
+}
+#: Whether a schema's keyword has a form that can be applied.
+FORMS = {
+    "type": lambda t: t in KINDS if isinstance(t, str) else isinstance(t, list) and bool(t) and all(isinstance(k, str) and k in KINDS for k in t),
+    "enum": lambda e: isinstance(e, list),
+    "minimum": _number,
+    "maximum": _number,
+    "properties": lambda p: isinstance(p, dict),
+    "required": lambda r: isinstance(r, list) and all(isinstance(k, str) for k in r),
+    "additionalProperties": lambda a: isinstance(a, (bool, dict)),
+    "items": lambda i: isinstance(i, (bool, dict)),
+}
+
+
+def errors(value, schema) -> list[str]:
+    """Where a value breaks a schema: type, enum, required, properties, additionalProperties, items, bounds.
+
+    A keyword of a form that cannot be applied is an error of the schema, one
+    entry, and is passed over; values and schemas of any depth are checked.
+    """
+    out, todo = [], [(value, schema, "$")]
+    while todo:
+        value, schema, at = todo.pop()
+        if schema is True:
+            continue
+        if schema is False:
+            out.append(f"{at}: not allowed")
+            continue
+        if not isinstance(schema, dict):
+            out.append(f"{at}: schema: no object")
+            continue
+        own = {}
+        for key, form in FORMS.items():
+            if key in schema:
+                if form(schema[key]):
+                    own[key] = schema[key]
+                else:
+                    out.append(f"{at}: schema: {key}")
+        wanted = own.get("type", [])
+        wanted = [wanted] if isinstance(wanted, str) else wanted
+        if wanted and not any(KINDS[k](value) for k in wanted):
+            out.append(f"{at}: not {' or '.join(wanted)}")
+        if "enum" in own and canonical(value) not in {canonical(x) for x in own["enum"]}:
+            out.append(f"{at}: not in enum")
+        if _number(value):
+            if "minimum" in own and value < own["minimum"]:
+                out.append(f"{at}: below minimum")
+            if "maximum" in own and value > own["maximum"]:
+                out.append(f"{at}: above maximum")
+        inside = []
+        if isinstance(value, dict):
+            fields = own.get("properties", {})
+            out += [f"{at}.{k}: missing" for k in own.get("required", []) if k not in value]
+            for k, v in value.items():
+                if k in fields:
+                    inside.append((v, fields[k], f"{at}.{k}"))
+                elif "additionalProperties" in own:
+                    inside.append((v, own["additionalProperties"], f"{at}.{k}"))
+        elif isinstance(value, list) and "items" in own:
+            inside = [(v, own["items"], f"{at}[{n}]") for n, v in enumerate(value)]
+        todo.extend(reversed(inside))
     return out
 
 

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import json
+import random
+
+import pytest
 
 from strataflow.llm import tool_calls
 
@@ -120,3 +123,98 @@ def test_canonical_json_and_schema_rules():
     assert tool_calls.errors([1, "x"], {"type": "array", "items": {"type": "integer"}}) == ["$[1]: not integer"]
     assert tool_calls.errors(True, {"type": "integer"}) and not tool_calls.errors(3.0, {"type": "integer"})
     assert tool_calls.errors(5, {"maximum": 4, "enum": [1]}) == ["$: not in enum", "$: above maximum"]
+
+
+MALFORMED = [
+    {"minimum": "3"}, {"minimum": None}, {"maximum": True}, {"enum": 5}, {"type": 5}, {"type": [{}]}, {"type": "strng"}, {"type": []},
+    {"required": 5}, {"required": [["a"]]}, {"properties": [1]}, {"additionalProperties": "no"},
+]
+
+
+@pytest.mark.parametrize("schema", MALFORMED)
+def test_malformed_keywords_are_one_error(schema):
+    key = next(iter(schema))
+    assert tool_calls.errors({"a": 1}, schema) == [f"$: schema: {key}"]
+    nested = {"properties": {"x": schema}, "required": ["y"]}
+    assert tool_calls.errors({"x": 3, "y": 1}, nested) == [f"$.x: schema: {key}"]
+
+
+def test_values_that_are_no_schema():
+    assert tool_calls.errors(1, 7) == ["$: schema: no object"]
+    assert tool_calls.errors({"a": 1}, {"properties": {"a": None}}) == ["$.a: schema: no object"]
+    assert tool_calls.errors([1], {"items": 4}) == ["$: schema: items"]
+    assert tool_calls.errors(True, {"enum": [1]}) == ["$: not in enum"] and tool_calls.errors(1.0, {"enum": [1]}) == []
+
+
+def test_deep_values(spark):
+    depth = 5000
+    value, schema = 1, {"type": "string"}
+    for _ in range(depth):
+        value, schema = [value], {"items": schema}
+    assert tool_calls.canonical(value) == "[" * depth + "1" + "]" * depth
+    found = tool_calls.errors(value, schema)
+    assert found == ["$" + "[0]" * depth + ": not string"]
+    deep = "[" * depth + "]" * depth
+    rows = [(1, 0, "system", json.dumps({"tools": [{"name": "weather", "parameters": {"minimum": "3", "type": 5}}]}))]
+    rows += [(1, 1, "assistant", '{"tool_calls": [{"id": "a", "name": "weather", "arguments": %s}]}' % json.dumps(deep)), (1, 2, "tool", result("a"))]
+    got = run(spark, rows)
+    assert [r.n_invalid for r in got] == [0, 1, 0]
+
+
+def test_canonical_matches_the_plain_form():
+    rng = random.Random(3)
+
+    def value(depth):
+        kind = rng.randrange(8 if depth else 5)
+        if kind < 5:
+            return rng.choice([None, True, 3, -2.5, 4.0, "é\n", "", "\u2028"])
+        return [value(depth - 1) for _ in range(3)] if kind < 6 else {rng.choice("abcdef"): value(depth - 1) for _ in range(3)}
+
+    for _ in range(200):
+        v = value(4)
+        text = tool_calls.canonical(v)
+        assert json.loads(text) == v
+        whole = json.loads(json.dumps(v), parse_float=lambda x: int(float(x)) if float(x).is_integer() else float(x))
+        assert text == json.dumps(whole, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def brute_order(rows):
+    """Turn and depth of each message, by repeating the rule until nothing moves; calls are numbered over all."""
+    parsed = [json.loads(t) for _, t in rows]
+    called = {c["id"]: m for m, p in enumerate(parsed) for c in p.get("tool_calls", [])}
+    answered = {p["tool_call_id"]: m for m, p in enumerate(parsed) if "tool_call_id" in p}
+    needs = {m: set() for m in range(len(rows))}
+    for i in called.keys() & answered.keys():
+        needs[answered[i]].add(called[i])
+    for m, p in enumerate(parsed):
+        for c in p.get("tool_calls", []):
+            needs[m] |= {answered[i] for i in c.get("after", []) if i in called and i in answered}
+    at = {m: (turn, 0) for m, (turn, _) in enumerate(rows)}
+    moved = True
+    while moved:
+        moved = False
+        for m in at:
+            late = max((at[n] for n in needs[m]), default=None)
+            if late is not None and late >= at[m]:
+                at[m], moved = (late[0], late[1] + 1), True
+    return [rows[m][0] for m in sorted(at, key=lambda m: (*at[m], rows[m][0]))]
+
+
+def test_generated_conversations_against_repeated_rule(spark):
+    rng, rows, want = random.Random(8), [], {}
+    for conv in range(25):
+        n = rng.randrange(2, 14)
+        messages = []
+        for k in range(n):
+            after = [f"{j}" for j in range(k) if rng.random() < 0.25]
+            messages += [call(one(f"{k}", {"city": "x"}, after=after)), result(f"{k}")]
+        messages += [json.dumps({"content": "talk"}) for _ in range(rng.randrange(4))]
+        rng.shuffle(messages)
+        own = list(enumerate(messages))
+        want[conv] = brute_order(own)
+        rows += [(conv, turn, "r", text) for turn, text in own]
+    got = run(spark, rows)
+    for conv in want:
+        mine = [r for r in got if r.conv_id == conv]
+        assert not any(r.cyclic for r in mine)
+        assert [r.turn for r in mine] == want[conv]
