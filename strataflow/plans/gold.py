@@ -19,7 +19,7 @@ from strataflow.functions import (
     surrogate_key,
 )
 from strataflow.operators.filters import both_present, capped_by
-from strataflow.operators.joins import asof_left, lookup_left, lookup_on, star
+from strataflow.operators.joins import asof_left, asof_versions, lookup_left, lookup_on, star
 from strataflow.operators.sets import date_spine, distinct_values
 
 # First day of the calendar, codes and their display names.
@@ -100,15 +100,17 @@ def fact_trips(
     are small enough to broadcast, the rides are read once and never shuffled.
     """
     out = both_present(silver, "start_station_id", "end_station_id")
+    versions = asof_versions(
+        stations, "station_id", "valid_from", ["station_key"], unique=True, strategy=asof_strategy
+    )
     for leg in ("start", "end"):
         out = asof_left(
             out,
-            stations,
+            versions,
             {f"{leg}_station_id": "station_id"},
             "started_at",
             "valid_from",
             {"station_key": f"{leg}_station_key"},
-            unique=True,
             strategy=asof_strategy,
         )
     out = lookup_left(out, dates, {"start_date": "full_date"}, {"date_key": "date_key"})

@@ -105,6 +105,52 @@ def test_asof_with_one_deep_key_leaves_the_left_side_in_place(spark):
     assert got == {i: (min(i, 9_999) if i % 2 == 0 else None) for i in range(0, 12_000, 3)}
 
 
+@pytest.mark.parametrize("versions, probes", [(20_000, 300), (300, 20_000), (9_000, 9_000)])
+def test_asof_cuts_part_the_work_of_both_sides(spark, versions, probes):
+    second = F.expr("timestampadd(MILLISECOND, CAST(x AS INT), TIMESTAMP_NTZ'2024-01-05 00:00:00')")
+    # Most of it in an hour of one stretch; the other keys are small.
+    deep = spark.range(versions).select(F.lit("deep").alias("k"), (F.col("id") * 180).alias("x"), F.col("id").alias("v"))
+    other = spark.range(50).select(F.col("id").cast("string").alias("k"), (F.col("id") * 7).alias("x"), F.col("id").alias("v"))
+    right = deep.unionByName(other).select("k", second.alias("f"), "v")
+    at = F.when(F.col("id") % 3 > 0, F.pmod(F.xxhash64("id"), F.lit(3_600_000))).otherwise(F.lit(1_000_000))
+    left = spark.range(probes).select(F.lit("deep").alias("k"), at.alias("x"), "id").select("k", second.alias("t"), "id")
+
+    rows = joins.asof_versions(right, "k", "f", ["v"], unique=True, strategy="window").rows
+    bucket = F.lit(0).alias("_b")
+    times = left.select(F.col("k").alias("_k"), bucket, F.col("t").alias("_t")).unionByName(rows.select("_k", bucket, F.col("_from").alias("_t")))
+    cuts = joins._equal_cuts(times, 1000)
+    spread = left.where("id % 3 > 0").select(F.col("k").alias("_k"), bucket, F.col("t").alias("_t")).unionByName(
+        rows.select("_k", bucket, F.col("_from").alias("_t"))
+    )
+    sizes = sorted(r["count"] for r in joins._with_pieces(spread, cuts).where("_k = 'deep'").groupBy("_p").count().collect())
+    assert len(sizes) >= 10 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+    out = joins.asof_left(left, right, {"k": "k"}, "t", "f", {"v": "v"}, unique=True, strategy="window", hot_rows=1000)
+    plain = joins.asof_left(left, right, {"k": "k"}, "t", "f", {"v": "v"}, unique=True, strategy="range")
+    got = sorted((r.id, r.v) for r in out.collect())
+    assert len(got) == probes and got == sorted((r.id, r.v) for r in plain.collect())
+
+
+def test_asof_both_legs_share_one_cut_table(spark):
+    right = spark.createDataFrame([("a", at(1), 1), ("b", at(1), 2), ("b", at(6), 3)], "k string, f timestamp_ntz, v int")
+    left = spark.createDataFrame([(1, "a", "b", at(5)), (2, "b", "c", at(7))], "i int, x string, y string, t timestamp_ntz")
+    versions = joins.asof_versions(right, "k", "f", ["v"], unique=True)
+    out = joins.asof_left(left, versions, {"x": "k"}, "t", "f", {"v": "vx"})
+    out = joins.asof_left(out, versions, {"y": "k"}, "t", "f", {"v": "vy"})
+    assert sorted((r.i, r.vx, r.vy) for r in out.collect()) == [(1, 1, 2), (2, 3, None)]
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_asof_size_is_that_of_the_cut_intervals(spark):
+    right = spark.range(2000).select(
+        (F.col("id") % 500).cast("string").alias("k"), F.expr("timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("f"), F.lit(1).alias("a_column_with_a_long_name")
+    )
+    v = joins.asof_versions(right, "k", "f", ["a_column_with_a_long_name"], unique=True)
+    size = v.cut.agg(F.sum(joins._row_bytes(v.rows))).first()[0]
+    assert joins.asof_versions(right, "k", "f", ["a_column_with_a_long_name"], unique=True, max_broadcast_bytes=2 * size).cut is not None
+    assert joins.asof_versions(right, "k", "f", ["a_column_with_a_long_name"], unique=True, max_broadcast_bytes=size // 2).cut is None
+
+
 def test_lookup_left_keeps_unmatched_rows(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "name string, i int")
     lookup = spark.createDataFrame([("a", "ID1"), (None, "IDX")], "n string, id string")
