@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.operators.incremental import merge_upsert, new_keys, touched_partitions
+from strataflow.operators.key_summaries import may_hold, summarise
 from strataflow.session import stage
 
 MARKER = "_SUCCESS"
@@ -155,6 +156,7 @@ class TableStore:
         """Add rows to the current version; the first rows make the table."""
         if not self.exists(name):
             return self.write(name, df)
+        self._delete(self._summary_root(name))
         df.write.mode("append").parquet(self.path(name))
         return self.read(name)
 
@@ -164,6 +166,7 @@ class TableStore:
         for child in _children(self.spark, f"{self.root}/{name}"):
             if child[1:].isdigit() and kept and int(child[1:]) < kept[0]:
                 self._delete(f"{self.root}/{name}/{child}")
+                self._delete(f"{self.root}/_keys/{name}/{child}")
 
     def register(self, name: str, view: str | None = None) -> DataFrame:
         """The table as a temporary view."""
@@ -188,17 +191,27 @@ class TableStore:
         Their new rows are written beside the table first; should the run die
         while it replaces the partitions, the next merge, or ``recover``, does
         the rest.
+
+        Filters of each partition's keys are kept beside the table; only
+        partitions that may hold a key of the batch, or have no filter, are
+        opened to look for it.
         """
         self.recover(name)
         target = self.read_or_none(name)
         if target is None:
-            return self.write(name, updates, partition_by=[partition_by] if partition_by else [])
+            out = self.write(name, updates, partition_by=[partition_by] if partition_by else [])
+            if partition_by:
+                self._summarise(name, out, keys, partition_by)
+            return out
         updates = updates.select(target.columns)
         if partition_by is None:
             return self.write(name, merge_upsert(target, updates, keys, newest))
         updates = stage(updates, f"{name}-updates")
-        touched = touched_partitions(target, updates, keys, partition_by)
+        touched = self.touched(name, target, updates, keys, partition_by)
         touched.write.mode("overwrite").parquet(f"{self._pending(name)}/touched")
+        self.spark.createDataFrame([(list(keys),)], "keys array<string>").write.mode("overwrite").parquet(
+            f"{self._pending(name)}/keys"
+        )
         values = [r[0] for r in self.spark.read.parquet(f"{self._pending(name)}/touched").collect()]
         scope = F.col(partition_by).isin(values) | F.col(partition_by).isNull()
         merged = merge_upsert(target.where(scope), updates, keys, newest)
@@ -206,6 +219,45 @@ class TableStore:
         self.recover(name)
         return self.read(name)
 
+    def touched(
+        self, name: str, target: DataFrame, updates: DataFrame, keys: Sequence[str], partition_by: str
+    ) -> DataFrame:
+        """The partitions a merge must rewrite, found without opening those that filters rule out."""
+        from urllib.parse import unquote
+
+        folders = {c.partition("=")[2] for c in _children(self.spark, self.path(name)) if "=" in c}
+        root = self._summary_root(name)
+        known = folders & {c.partition("=")[2] for c in _children(self.spark, root) if "=" in c}
+        open_ = [None if f == NULL_PARTITION else unquote(f) for f in folders - known]
+        if known:
+            filters = self.spark.read.parquet(*[f"{root}/_part={f}" for f in sorted(known)])
+            open_ += may_hold(filters, updates, keys)
+        kind = target.schema[partition_by].dataType
+        scope = F.lit(False)
+        if any(v is None for v in open_):
+            scope = F.col(partition_by).isNull()
+        values = sorted({v for v in open_ if v is not None})
+        if values:
+            scope = scope | F.col(partition_by).isin([F.lit(v).cast(kind) for v in values])
+        if not open_:
+            return updates.select(partition_by).distinct()
+        return touched_partitions(target.where(scope), updates, keys, partition_by)
+
+    def _summary_root(self, name: str) -> str:
+        version = self.path(name).rsplit("/", 1)[-1]
+        return f"{self.root}/_keys/{name}/{version}"
+
+    def _summarise(self, name: str, rows: DataFrame, keys: Sequence[str], partition_by: str) -> None:
+        """Write the filters of all partitions in ``rows``, one folder each."""
+        found = summarise(rows, keys, partition_by).withColumn("_part", F.col("_value")).drop(partition_by)
+        (
+            _dealt(found, ["_part"])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_part")
+            .parquet(self._summary_root(name))
+        )
+
     def _pending(self, name: str) -> str:
         return f"{self.root}/_pending/{name}"
 
@@ -217,6 +269,9 @@ class TableStore:
             rows = self.spark.read.parquet(f"{pending}/rows")
             (partition_by,) = touched.columns
             path = self.path(name)
+            # Filters go before what they describe is replaced: none is better than an old one.
+            for (value,) in touched.collect():
+                self._delete(f"{self._summary_root(name)}/{_folder(self.spark, '_part', value)}")
             (
                 _dealt(rows, [partition_by])
                 .write.mode("overwrite")
@@ -228,6 +283,9 @@ class TableStore:
             for (value,) in touched.collect():
                 if value not in filled:
                     self._delete(f"{path}/{_folder(self.spark, partition_by, value)}")
+            if path_exists(self.spark, f"{pending}/keys/{MARKER}"):
+                keys = self.spark.read.parquet(f"{pending}/keys").first().keys
+                self._summarise(name, rows, keys, partition_by)
         # The marker goes first: without it the rest counts for nothing.
         self._delete(f"{pending}/rows/{MARKER}")
         self._delete(pending)

@@ -4,6 +4,7 @@ import datetime as dt
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataflow.operators import analyst as a
 from strataflow.operators.vectors import nearest, nearest_batch, remember
@@ -178,3 +179,19 @@ def test_remember(spark):
         store.append("memory", remember(pairs, day))
     assert nearest(store.read("memory"), [1.0, 2.0], 3).count() == 2
     assert row.embedding == [0.5, 1.0] and row.created_at == dt.datetime(2024, 1, 1) and len(row.id) == 32
+
+
+def test_capped_counts_in_the_run_that_gives_the_rows(spark):
+    stored = spark._jsc.sc().getPersistentRDDs().size()
+    big = spark.range(0, 100_000, 1, 7)
+    rows, more, total = a.capped(big, 10)
+    assert rows == [(n,) for n in range(10)] and more and total == 100_000
+    ordered = big.orderBy(F.desc("id")).select("id", F.lit(1).alias("id"))
+    assert a.capped(ordered, 3) == ([(99_999, 1), (99_998, 1), (99_997, 1)], True, 100_000)
+    assert a.capped(big.where("id < 0"), 3) == ([], False, 0)
+    assert a.capped(big.where("1 = 0"), 3) == ([], False, 0)
+    assert a.capped(spark.sql("select 1 a where false"), 3) == ([], False, 0)
+    none = big.join(big.where("id > 200000"), "id").groupBy((F.col("id") % 3).alias("m")).count()
+    assert a.capped(none, 3) == ([], False, 0)
+    assert a.capped(big.limit(4), 4)[1:] == (False, 4)
+    assert spark._jsc.sc().getPersistentRDDs().size() == stored

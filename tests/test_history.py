@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow.operators.key_summaries import may_hold, summarise
 from strataflow.operators.incremental import incremental_scan, merge_upsert, new_keys
 from strataflow.operators.scd2 import scd2_apply
 from strataflow.plans import gold
@@ -144,6 +146,44 @@ def test_merge_rewrites_only_touched_partitions(spark):
     assert {(r.k, r.v, r.month) for r in store.read("t").collect()} == got
 
 
+def test_merge_of_new_keys_opens_no_partition(spark):
+    store = TableStore(spark, new_path(spark, "filters"))
+    rows = [(f"k{n:05d}", n, n % 5 if n % 7 else None) for n in range(3000)]
+    store.merge("t", parts(spark, *rows), ["k"], partition_by="month")
+
+    def opened(updates):
+        found = store.touched("t", store.read("t"), updates, ["k"], "month")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scans = [s.split("PartitionFilters: ")[1].split("PushedFilters")[0] for s in plan.split("FileScan")[1:]]
+        filters = {f for s in scans for f in re.findall(r"month#\d+ (?:= |IN \()([\d,]+)", s)}
+        return filters, {r.month for r in found.collect()}
+
+    assert opened(parts(spark, *[(f"new{n}", 0, 3) for n in range(50)])) == (set(), {3})
+    # Keys inside the bounds of every partition, in none of them.
+    assert opened(parts(spark, *[(f"k{n:05d}x", 0, 1) for n in range(0, 3000, 60)])) == (set(), {1})
+    files, touched = opened(parts(spark, ("k00003", 1, 4)))
+    assert touched == {3, 4} and files == {"3"}
+    assert opened(parts(spark, ("k00007", 1, 0)))[1] == {None, 0}
+
+    # Filters follow merges; a partition without one is opened.
+    store.merge("t", parts(spark, ("k00003", 1, 4), ("late", 1, 2)), ["k"], partition_by="month")
+    assert opened(parts(spark, ("k00003", 2, 4)))[1] == {4} and opened(parts(spark, ("late", 2, 2)))[1] == {2}
+    store._delete(f"{store._summary_root('t')}/_part=2")
+    assert opened(parts(spark, ("none at all", 1, 0))) == ({"2"}, {0})
+    store.append("t", parts(spark, ("added", 1, 1)).limit(0))
+    assert not path_exists(spark, store._summary_root("t"))
+
+
+def test_filters_never_miss_a_key(spark):
+    rows = spark.range(4000).select(F.concat(F.lit("id"), "id").alias("a"), (F.col("id") % 3).alias("b"), (F.col("id") % 4).alias("p"))
+    found = summarise(rows, ["a", "b"], "p")
+    for p in range(4):
+        own = rows.where(F.col("p") == p)
+        assert str(p) in may_hold(found, own, ["a", "b"])
+        assert may_hold(found, own.withColumn("b", F.col("b") + 5).limit(300), ["a", "b"]) == []
+    assert may_hold(found.limit(0), rows, ["a", "b"]) == []
+
+
 def test_merge_that_died_is_finished_later(spark, monkeypatch):
     store = TableStore(spark, new_path(spark, "died"))
     store.merge("t", parts(spark, ("a", 1, 1), ("b", 1, 2)), ["k"], partition_by="month")
