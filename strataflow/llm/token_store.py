@@ -19,6 +19,7 @@ one frame; nothing else is decompressed.
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 from collections.abc import Iterator
 
@@ -34,13 +35,16 @@ HEAD = "<4sB32sI"
 ENTRY = "<QI"
 #: Stands between the words sent to the tokenizer at once; words that hold it go alone.
 MARK = "\x01"
+#: The only split for which texts are known to be rows of words: no part holds white space.
+WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _WORDS: dict[bytes, bytes] = {}
 _TOKENIZER: dict[str, object] = {}
+_WHOLE: dict[str, list | None] = {}
 
 
 def tokenizer(path: str):
-    """The tokenizer of a file, once per process; texts that spell a special token stay text."""
+    """The tokenizer of a file, once per process."""
     if path not in _TOKENIZER:
         import os
 
@@ -48,13 +52,32 @@ def tokenizer(path: str):
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
         _TOKENIZER.clear()
         _WORDS.clear()
         _TOKENIZER[path] = own
     return _TOKENIZER[path]
 
 
+def whole_texts_only(own) -> list[bytes] | None:
+    """What makes a text go to the tokenizer whole: bytes that its lower-cased form holds.
+
+    None if every text must, since the file does not fold letter case and drop
+    all white space before anything else: then no text is a row of words.
+    """
+    file = json.loads(own.to_str())
+
+    def steps(part: str, inner: str) -> list[dict]:
+        found = file.get(part) or {}
+        return found.get(inner, []) if found.get("type") == "Sequence" else [found]
+
+    normal, split = steps("normalizer", "normalizers"), steps("pre_tokenizer", "pretokenizers")
+    folds = [n.get("type") for n in normal] == ["NFC", "Replace", "Lowercase"] and normal[1]["pattern"] == {"Regex": r"\s+"}
+    parts = split[0].get("type") == "Split" and split[0]["behavior"] == "Removed" and split[0]["invert"]
+    if not (folds and parts and split[0]["pattern"] == {"Regex": WORD_PARTS}) or file.get("post_processor") or file.get("truncation"):
+        return None
+    return [t["content"].lower().encode() for t in file["added_tokens"]]
+
+
 def encode_words(own, wanted: list[bytes], kind: str) -> Iterator[tuple[bytes, bytes]]:
     """Each word with its serialized ids; many words go to the tokenizer as one text."""
     import numpy as np
@@ -83,21 +106,38 @@ def encode_texts(texts: list[str | None], path: str, width: int, end_id: int, ma
     letter case, so a text's ids are those of its space-separated words in turn,
     and a word's are those of its letters and of a final full stop or comma.
     Each distinct word is encoded once; at most ``max_words`` are remembered,
-    then the memory starts anew.
+    then the memory starts anew.  A text that spells an added token goes to the
+    tokenizer whole, as all texts do if the file is of another kind.
     """
     own, kind = tokenizer(path), f"<u{width}"
     end = end_id.to_bytes(width, "little")
-    split = [t.encode().lower().split() if t else [] for t in texts]
+    if path not in _WHOLE:
+        _WHOLE.clear()
+        _WHOLE[path] = whole_texts_only(own)
+    added = _WHOLE[path]
+
+    def plain(text: str) -> bytes:
+        import numpy as np
+
+        return np.array(own.encode(text, add_special_tokens=False).ids, dtype=kind).tobytes() + end
+
     out, at = [], 0
-    while at < len(split):  # some megabytes at a time
-        upto, n = at, 0
-        while upto < len(split) and n < 1_000_000:
-            n += len(split[upto])
-            upto += 1
-        missing = {w for ws in split[at:upto] for w in ws if w not in _WORDS}
+    while at < len(texts):  # some megabytes at a time
+        split, n = [], 0
+        while at < len(texts) and n < 4_000_000:
+            text = texts[at] or ""
+            folded = text.encode().lower()
+            n += len(folded)
+            at += 1
+            if added is None or any(a in folded for a in added):
+                split.append(text)
+            else:
+                split.append(folded.split())
+        wordy = [ws for ws in split if isinstance(ws, list)]
+        missing = {w for ws in wordy for w in ws if w not in _WORDS}
         if len(_WORDS) + len(missing) > max_words:
             _WORDS.clear()
-            missing = {w for ws in split[at:upto] for w in ws}
+            missing = {w for ws in wordy for w in ws}
         # A full stop or comma after a letter is a token of its own: the word before it is shared.
         ended = [w for w in missing if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalpha()]
         missing.difference_update(ended)
@@ -105,10 +145,7 @@ def encode_texts(texts: list[str | None], path: str, width: int, end_id: int, ma
         _WORDS.update(encode_words(own, list(missing), kind))
         _WORDS.update([(w, _WORDS[w[:-1]] + _WORDS[w[-1:]]) for w in ended])
         get = _WORDS.__getitem__
-        for k in range(at, upto):
-            out.append(b"".join(map(get, split[k])) + end)
-            split[k] = []
-        at = upto
+        out += [b"".join(map(get, ws)) + end if isinstance(ws, list) else plain(ws) for ws in split]
     return out
 
 

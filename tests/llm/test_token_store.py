@@ -11,7 +11,7 @@ from strataflow.session import new_path
 
 ROWS = [
     (5, "Hello, World!  it's 12.5 éÀ ß"), (3, None), (3, ""), (None, "no id"), (None, "no id"),
-    (7, "x" * 5000 + " tail"), (9, "\x01 mark a\x01b <|endoftext|> İstanbul ΣΑΣ é 日本語　漢字"), (5, "same id"),
+    (7, "x" * 5000 + " tail"), (8, "end <|endoftext|> next"), (8, "a<|StartOfText|>b <|startoftext|>."), (9, "\x01 mark a\x01b <|endoftext|> İstanbul ΣΑΣ é 日本語　漢字"), (5, "same id"),
 ]
 
 
@@ -24,7 +24,6 @@ def plain(text):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(tokenizer_file())
-    own.encode_special_tokens = True
     return [*own.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -33,7 +32,7 @@ def test_round_trip(spark, docs):
     want = sorted((len(plain(t)), zlib.crc32(np.array(plain(t), dtype="<u4").tobytes())) for _, t in ROWS)
     assert sorted((r.n_tokens, r.ids_crc32) for r in got) == want
     got.sort(key=lambda r: r.start)
-    assert [r.doc_id for r in got] == [None, None, 3, 3, 5, 5, 7, 9]
+    assert [r.doc_id for r in got] == [None, None, 3, 3, 5, 5, 7, 8, 8, 9]
     assert [r.start for r in got] == list(np.cumsum([0] + [r.n_tokens for r in got[:-1]]))
 
 
@@ -61,3 +60,24 @@ def test_words_remembered_anew(spark):
     token_store.tokenizer(tokenizer_file())
     raw = token_store.encode_texts(texts, tokenizer_file(), 2, 1, 50)
     assert [np.frombuffer(r, dtype="<u2").tolist() for r in raw] == [plain(t) for t in texts]
+
+
+def test_tokenizers_that_do_not_drop_white_space():
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    folder = Path(tokenizer_file()).parent
+    texts = ["Two  words\n\n and Tab\t.", "<|endoftext|> é", "", None, "x" * 300]
+    seen = 0
+    for file in sorted(folder.rglob("*.json")):
+        try:
+            own = Tokenizer.from_file(str(file))
+        except Exception:
+            continue
+        seen += 1
+        raw = token_store.encode_texts(texts, str(file), 4, 1, 100)
+        want = [[*own.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+        assert [np.frombuffer(r, dtype="<u4").tolist() for r in raw] == want, file.name
+    assert seen
+    token_store.tokenizer(tokenizer_file())
