@@ -53,17 +53,22 @@ def spare_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_pandas(df: DataFrame, step: Callable, schema: str) -> DataFrame:
-    """``mapInPandas`` with this package on the path of the Python workers.
+def on_path(spark: SparkSession) -> None:
+    """Put this package on the path of the Python workers.
 
     On a cluster the package is shipped with the job; where the workers see the
     driver's folders, they find it there even if it is not installed.
     """
-    seen = df.sparkSession.sparkContext.environment
+    seen = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = [p for p in seen.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         seen["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_pandas(df: DataFrame, step: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package on the path of the Python workers."""
+    on_path(df.sparkSession)
     return df.mapInPandas(step, schema)
 
 

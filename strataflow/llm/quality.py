@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import map_pandas
+from strataflow.llm.common import map_pandas, on_path
 from strataflow.session import stage
 
 #: Hashed word shapes, after the measures.
@@ -258,12 +258,22 @@ def score(docs: DataFrame, model: Model, keep: list[str], *, threshold: float =
 
 
 def keep_good(docs: DataFrame, model: Model, *, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that the model does not reject; same columns, in one pass."""
+    """The rows of ``docs`` that the model does not reject; same columns, in one pass.
 
-    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                yield b[model.score([measures(t) for t in b["text"]]) >= threshold]
+    Rows stay in Arrow batches; only the texts of some hundred rows at a time
+    become Python strings.
+    """
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return map_pandas(docs, step, schema)
+    def step(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                some = b.slice(at, 256)
+                texts = some.column(some.schema.get_field_index("text")).to_pylist()
+                kept = np.asarray(model.score([measures(t) for t in texts])) >= threshold
+                yield some.filter(pa.array(kept))
+
+    on_path(docs.sparkSession)
+    return docs.mapInArrow(step, docs.schema)
