@@ -56,9 +56,9 @@ def made(seed, n=200):
 
 @pytest.mark.parametrize("shard_words", [60, 3_000_000])
 def test_brute_force(spark, shard_words):
-    docs = [*made(1), ("en", None), ("en", ""), (None, " . ,,"), ("en", "of the " * 3000), ("fr", "seul")]
+    docs = [*made(1), ("en", None), ("en", ""), (None, " . ,,"), ("x y%20\n", "one two one two one two one two one two one two"), ("x y%20\n", "one two. " * 20), ("en", "of the " * 3000), ("fr", "seul")]
     df = spark.createDataFrame([(x, t, 1, 2) for x, t in docs], "lang string, text string, n int, ids int").repartition(6)
-    got = co.mine(df, least=20, shard_words=shard_words)
+    got = co.mine(df, least=20, shard_words=shard_words, bucket_rows=100)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(map(tuple, got.collect())) == brute(docs, 20, 2000)
 
