@@ -31,6 +31,7 @@ from strataflow.operators.windows import first_per_key, keep_latest
 from strataflow.plans import checks, gold, pipeline, silver
 from strataflow.session import new_path, stage, use_utc
 from strataflow.sources import files, manifest, schemas, weather
+from strataflow.sources.history import VersionHistory
 from strataflow.sources.tables import TableStore, bronze_append, land_parquet
 from strataflow.streaming.bronze import stream_bronze
 
@@ -163,17 +164,16 @@ def scd2_history(spark, sf_dir):
         ["o_orderdate", "o_orderkey"],
     )
     state = stage(latest, "yearly-state", ["year"])
-    history = None
+    store = TableStore(spark, new_path(spark, "history"))
+    history = VersionHistory(store, "customers", "o_custkey", ["o_orderpriority"])
     span = state.agg(F.min("year"), F.max("year")).first()
     for year in range(span[0], span[1] + 1):
         current = state.where(F.col("year") == year).select(
             "o_custkey", "o_orderpriority", "o_orderkey"
         )
         as_of = f"{year + 1}-01-01 00:00:00"
-        history = stage(
-            scd2_apply(history, current, "o_custkey", ["o_orderpriority"], as_of), "history"
-        )
-    return history
+        history.snapshot(current, as_of)
+    return history.read()
 
 
 def station_history(accepted_trips: DataFrame) -> DataFrame:
@@ -380,10 +380,15 @@ def incremental_sources(spark, sf_dir):
 def silver_incremental(spark, sf_dir):
     """Silver in two batches: the second sees the station names of the first."""
     raw = trips_raw(spark, sf_dir)
-    first = raw.where(F.col("_source_file") < "m2")
-    target = stage(silver.silver_trips(first), "silver")
-    batch = incremental_scan(raw, target)
-    return merge_upsert(target, silver.silver_trips(batch, history=target), ["ride_id"])
+    store = TableStore(spark, new_path(spark, "silver"))
+
+    def merge(updates):
+        by_month = updates.withColumn("start_month", F.month("start_date"))
+        return store.merge("trips", by_month, ["ride_id"], partition_by="start_month")
+
+    target = merge(silver.silver_trips(raw.where(F.col("_source_file") < "m2")))
+    known = store.partition_view("trips", "station_pairs", "start_month", silver.pair_counts)
+    return merge(silver.silver_trips(incremental_scan(raw, target), known=known)).drop("start_month")
 
 
 @query

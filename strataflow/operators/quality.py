@@ -15,11 +15,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strataflow.functions.logic import count_where
 from strataflow.operators.joins import missing_in
 from strataflow.operators.sets import null_profile
+from strataflow.operators.windows import trailing
 
 RESULT_COLUMNS = (
     "check_name",
@@ -166,9 +166,8 @@ def anomaly_scores(
     """Distance of each point from the ``history`` points before it, in deviations.
 
     The score is NULL with fewer than ``least`` earlier points and 0 while the
-    past does not vary.  The series has one row per day, so one task holds it.
+    past does not vary.  The series may be of any length, see ``trailing``.
     """
-    past = Window.partitionBy(F.lit(1)).orderBy(order).rowsBetween(-history, -1)
     v = F.col(value).cast("double")
     spread = F.col("past_stddev")
     score = (
@@ -177,12 +176,15 @@ def anomaly_scores(
         .otherwise((v - F.col("past_mean")) / spread)
     )
     return (
-        series.withColumns(
+        trailing(
+            series,
+            [order],
+            history,
             {
-                "past_points": F.count(v).over(past),
-                "past_mean": F.avg(v).over(past),
-                "past_stddev": F.stddev_samp(v).over(past),
-            }
+                "past_points": lambda past: F.count(v).over(past),
+                "past_mean": lambda past: F.avg(v).over(past),
+                "past_stddev": lambda past: F.stddev_samp(v).over(past),
+            },
         )
         .withColumn("score", score)
         .withColumn("anomalous", F.coalesce(F.abs(F.col("score")) > limit, F.lit(False)))

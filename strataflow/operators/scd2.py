@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.keys import scd_id
@@ -13,6 +13,68 @@ from strataflow.functions.keys import scd_id
 VERSION_COLUMNS = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 
+def _opened(current: DataFrame, key: str, now: Column) -> DataFrame:
+    return current.select(
+        *current.columns,
+        scd_id(key, now).alias("dbt_scd_id"),
+        now.alias("dbt_updated_at"),
+        now.alias("dbt_valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"),
+    )
+
+
+def _met(
+    open_versions: DataFrame,
+    current: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    now: Column,
+    invalidate_hard_deletes: bool,
+    unchanged: bool,
+) -> DataFrame:
+    """What becomes of the open versions and the current state; without ``unchanged`` only what changes."""
+    columns = [*current.columns, *VERSION_COLUMNS]
+    old = open_versions.select(F.struct(*columns).alias("old"))
+    new = _opened(current, key, now).select(F.struct(*columns).alias("new"))
+    pairs = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
+
+    closed = F.struct(
+        *[
+            now.alias(c) if c == "dbt_valid_to" else F.col(f"old.{c}").alias(c)
+            for c in columns
+        ]
+    )
+    same = F.lit(True)
+    for c in check_cols:
+        same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
+    as_it_was = F.array(F.col("old")) if unchanged else F.slice(F.array(F.col("old")), 1, 0)
+    outcome = (
+        F.when(F.col("old").isNull(), F.array(F.col("new")))
+        .when(F.col("new").isNull(), F.array(closed) if invalidate_hard_deletes else as_it_was)
+        .when(same, as_it_was)
+        .otherwise(F.array(closed, F.col("new")))
+    )
+    return pairs.select(F.inline(outcome)).select(columns)
+
+
+def scd2_changes(
+    history: DataFrame,
+    current: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    as_of: datetime | str,
+    *,
+    invalidate_hard_deletes: bool = True,
+) -> DataFrame:
+    """The versions that a snapshot taken after all of ``history`` opens or closes, and no others.
+
+    A version that is closed appears whole, with the identity it was opened under.
+    """
+    now = F.lit(str(as_of)).cast("timestamp_ntz")
+    open_versions = history.where(F.col("dbt_valid_to").isNull())
+    return _met(open_versions, current, key, check_cols, now, invalidate_hard_deletes, False)
+
+
 def scd2_apply(
     history: DataFrame | None,
     current: DataFrame,
@@ -34,15 +96,8 @@ def scd2_apply(
     """
     now = F.lit(str(as_of)).cast("timestamp_ntz")
     columns = [*current.columns, *VERSION_COLUMNS]
-    opened = current.select(
-        *current.columns,
-        scd_id(key, now).alias("dbt_scd_id"),
-        now.alias("dbt_updated_at"),
-        now.alias("dbt_valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"),
-    )
     if history is None:
-        return opened
+        return _opened(current, key, now)
 
     history = history.select(columns)
     changed = F.max(F.greatest("dbt_updated_at", "dbt_valid_from", "dbt_valid_to"))
@@ -53,25 +108,5 @@ def scd2_apply(
         reopened = F.nullif(F.col("dbt_valid_to"), now)
         history = history.where(F.col("dbt_valid_from") < now).withColumn("dbt_valid_to", reopened)
     is_open = F.col("dbt_valid_to").isNull()
-    old = history.where(is_open).select(F.struct(*columns).alias("old"))
-    new = opened.select(F.struct(*columns).alias("new"))
-    pairs = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
-
-    closed = F.struct(
-        *[
-            now.alias(c) if c == "dbt_valid_to" else F.col(f"old.{c}").alias(c)
-            for c in columns
-        ]
-    )
-    same = F.lit(True)
-    for c in check_cols:
-        same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
-    vanished = F.array(closed) if invalidate_hard_deletes else F.array(F.col("old"))
-    outcome = (
-        F.when(F.col("old").isNull(), F.array(F.col("new")))
-        .when(F.col("new").isNull(), vanished)
-        .when(same, F.array(F.col("old")))
-        .otherwise(F.array(closed, F.col("new")))
-    )
-    live = pairs.select(F.inline(outcome))
-    return history.where(~is_open).unionByName(live.select(columns))
+    live = _met(history.where(is_open), current, key, check_cols, now, invalidate_hard_deletes, True)
+    return history.where(~is_open).unionByName(live)

@@ -19,10 +19,10 @@ from strataflow.functions.time import LOCAL_ZONE
 from strataflow.operators.filters import accepted, rejected
 from strataflow.operators.incremental import incremental_scan
 from strataflow.operators.quality import gate, reconcile, run_checks
-from strataflow.operators.scd2 import scd2_apply
 from strataflow.plans import checks, gold, silver
 from strataflow.session import staging_scope, use_utc
 from strataflow.sources import files, schemas, weather
+from strataflow.sources.history import VersionHistory
 from strataflow.sources.manifest import discover_sources, new_sources, parse_listing, start_listed
 from strataflow.sources.tables import (
     TableStore,
@@ -178,16 +178,19 @@ def build_silver(
     if refresh:
         cleaned = silver.silver_trips(trips, None, cfg.zone)
         store.write("int_trips_cleaned", _by_month(cleaned), partition_by=["start_month"])
+        station_pairs(store)
         store.write("silver_sources", trips.select(files.ARCHIVE).distinct())
         store.write("silver_weather", silver.silver_weather(hours, cfg.zone))
         store.write("silver_payloads", hours.select(PAYLOAD).distinct())
         return
+    store.recover("int_trips_cleaned")
     batch, taken = _not_taken(store, "silver_sources", trips, files.ARCHIVE)
     if not batch.isEmpty():
-        history = store.read_or_none("int_trips_cleaned")
-        updates = _by_month(silver.silver_trips(batch, history, cfg.zone))
+        known = station_pairs(store) if store.exists("int_trips_cleaned") else None
+        updates = _by_month(silver.silver_trips(batch, zone=cfg.zone, known=known))
         newest = ["_ingested_at", "_source_file"]
         store.merge("int_trips_cleaned", updates, ["ride_id"], partition_by="start_month", newest=newest)
+        station_pairs(store)
         store.write("silver_sources", taken)
     batch, taken = _not_taken(store, "silver_payloads", hours, PAYLOAD)
     if not store.exists("silver_weather") or not batch.isEmpty():
@@ -196,6 +199,11 @@ def build_silver(
         store.write("silver_payloads", taken)
 
 
+def station_pairs(store: TableStore) -> DataFrame:
+    """Rides by station name and id in silver, counted month by month as months are replaced."""
+    return store.partition_view("int_trips_cleaned", "station_pairs", "start_month", silver.pair_counts)
+
+
 def _not_taken(
     store: TableStore, name: str, bronze: DataFrame, key: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -226,13 +234,13 @@ def silver_tables(store: TableStore) -> dict[str, DataFrame]:
 
 def snapshot_stations(store: TableStore, trips: DataFrame, as_of: datetime | str) -> DataFrame:
     """Add today's state of the stations to their history."""
-    history = store.read_or_none("station_snapshot")
-    if history is not None:
-        history = schemas.read_contract(history, schemas.STATION_HISTORY)
-    after = scd2_apply(
-        history, silver.station_current(trips), "station_id", ["station_name"], as_of
+    return station_history(store).snapshot(silver.station_current(trips), as_of)
+
+
+def station_history(store: TableStore) -> VersionHistory:
+    return VersionHistory(
+        store, "station_snapshot", "station_id", ["station_name"], schemas.STATION_HISTORY
     )
-    return store.write("station_snapshot", after)
 
 
 def build_gold(
@@ -248,7 +256,7 @@ def build_gold(
         )
 
     write("dim_date", gold.dim_date(trips, as_of[:10], cfg.calendar_start))
-    write("dim_station", gold.dim_station(store.read("station_snapshot")))
+    write("dim_station", gold.dim_station(station_history(store).read()))
     write("dim_rider_type", gold.dim_rider_type(trips))
     write("dim_bike_type", gold.dim_bike_type(trips))
     write("fact_trips", gold.fact_trips(trips, *out.values(), layers["silver_weather"]))

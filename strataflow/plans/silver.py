@@ -63,19 +63,41 @@ def clean_trips(trips: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     )
 
 
-def name_id_pairs(cleaned: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """Station names and ids of both legs, from the batch and, if given, the target."""
+def name_id_pairs(
+    cleaned: DataFrame, history: DataFrame | None = None, known: DataFrame | None = None
+) -> DataFrame:
+    """Station names and ids of both legs, from the batch and, if given, the target.
+
+    The target is read as rides (``history``), or as the pairs counted when its
+    rides were merged (``known``, see ``pair_counts``).
+    """
     names = ("station_name", "station_id")
     pairs = unpivot_pairs(cleaned, NAME_ID_LEGS, names)
-    if history is None:
-        return pairs
-    return pairs.unionByName(unpivot_pairs(history, NAME_ID_LEGS, names))
+    if history is not None:
+        pairs = pairs.unionByName(unpivot_pairs(history, NAME_ID_LEGS, names))
+    if known is not None:
+        pairs = pairs.unionByName(known.select(*names))
+    return pairs
+
+
+def pair_counts(trips: DataFrame) -> DataFrame:
+    """Rides by station name and id, both legs, for each ``_part`` of ``trips``.
+
+    NULLs are counted too, so that every part has a row.
+    """
+    legs = F.array(
+        *[F.struct(F.col(n).alias("station_name"), F.col(i).alias("station_id")) for n, i in NAME_ID_LEGS]
+    )
+    pairs = trips.select("_part", F.inline(legs))
+    return pairs.groupBy("_part", "station_name", "station_id").agg(F.count(F.lit(1)).alias("rides"))
 
 
-def station_lookup(cleaned: DataFrame, history: DataFrame | None = None) -> DataFrame:
+def station_lookup(
+    cleaned: DataFrame, history: DataFrame | None = None, known: DataFrame | None = None
+) -> DataFrame:
     """Names seen with exactly one id."""
     return single_valued(
-        name_id_pairs(cleaned, history), "station_name", "station_id", "resolved_station_id"
+        name_id_pairs(cleaned, history, known), "station_name", "station_id", "resolved_station_id"
     )
 
 
@@ -111,16 +133,22 @@ def flag(df: DataFrame) -> DataFrame:
 
 
 def silver_trips(
-    bronze: DataFrame, history: DataFrame | None = None, zone: str = LOCAL_ZONE
+    bronze: DataFrame,
+    history: DataFrame | None = None,
+    zone: str = LOCAL_ZONE,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Cleaned and flagged rides, valid or not.
 
+    Station names of earlier rides come from ``history``, the rides, or from
+    ``known``, their pairs of name and id.
+
     The cleaned batch feeds both the station lookup and the result, so it is
     written once; the lookup, one row per station name, is written too, which
     lets the planner broadcast it only if it is small.
     """
     cleaned = stage(clean_trips(deduplicate(bronze), zone), "cleaned")
-    lookup = stage(station_lookup(cleaned, history), "station-lookup")
+    lookup = stage(station_lookup(cleaned, history, known), "station-lookup")
     return flag(backfill(cleaned, lookup))
 
 

@@ -7,9 +7,10 @@ complete, and a failed or repeated job leaves no half-written table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +71,14 @@ def _folder(spark: SparkSession, column: str, value) -> str:
     return f"{escape(column)}={NULL_PARTITION if value is None else escape(str(value))}"
 
 
+def _among(df: DataFrame, column: str, values: Sequence[str | None]) -> Column:
+    """Whether a row's partition is one of ``values``, given as text."""
+    kind = df.schema[column].dataType
+    named = sorted({v for v in values if v is not None})
+    scope = F.col(column).isNull() if None in values else F.lit(False)
+    return scope | F.col(column).isin([F.lit(v).cast(kind) for v in named]) if named else scope
+
+
 def _dealt(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows brought together by partition before a write: small partitions share a
     task and one file each, large ones are split, whatever the number of tasks."""
@@ -157,6 +166,7 @@ class TableStore:
         if not self.exists(name):
             return self.write(name, df)
         self._delete(self._summary_root(name))
+        self._delete(self._views_root(name))
         df.write.mode("append").parquet(self.path(name))
         return self.read(name)
 
@@ -166,7 +176,8 @@ class TableStore:
         for child in _children(self.spark, f"{self.root}/{name}"):
             if child[1:].isdigit() and kept and int(child[1:]) < kept[0]:
                 self._delete(f"{self.root}/{name}/{child}")
-                self._delete(f"{self.root}/_keys/{name}/{child}")
+                for beside in ("_keys", "_views", "_deltas"):
+                    self._delete(f"{self.root}/{beside}/{name}/{child}")
 
     def register(self, name: str, view: str | None = None) -> DataFrame:
         """The table as a temporary view."""
@@ -223,25 +234,50 @@ class TableStore:
         self, name: str, target: DataFrame, updates: DataFrame, keys: Sequence[str], partition_by: str
     ) -> DataFrame:
         """The partitions a merge must rewrite, found without opening those that filters rule out."""
-        from urllib.parse import unquote
-
-        folders = {c.partition("=")[2] for c in _children(self.spark, self.path(name)) if "=" in c}
+        folders = self._parts(self.path(name))
         root = self._summary_root(name)
-        known = folders & {c.partition("=")[2] for c in _children(self.spark, root) if "=" in c}
+        known = folders & self._parts(root)
         open_ = [None if f == NULL_PARTITION else unquote(f) for f in folders - known]
         if known:
             filters = self.spark.read.parquet(*[f"{root}/_part={f}" for f in sorted(known)])
             open_ += may_hold(filters, updates, keys)
-        kind = target.schema[partition_by].dataType
-        scope = F.lit(False)
-        if any(v is None for v in open_):
-            scope = F.col(partition_by).isNull()
-        values = sorted({v for v in open_ if v is not None})
-        if values:
-            scope = scope | F.col(partition_by).isin([F.lit(v).cast(kind) for v in values])
         if not open_:
             return updates.select(partition_by).distinct()
-        return touched_partitions(target.where(scope), updates, keys, partition_by)
+        return touched_partitions(target.where(_among(target, partition_by, open_)), updates, keys, partition_by)
+
+    def _parts(self, path: str) -> set[str]:
+        """The partitions in a folder, as its folders name them."""
+        return {c.partition("=")[2] for c in _children(self.spark, path) if "=" in c}
+
+    def partition_view(
+        self, name: str, view: str, partition_by: str, build: Callable[[DataFrame], DataFrame]
+    ) -> DataFrame:
+        """What ``build`` makes of each partition of the table, kept beside it.
+
+        Only partitions without a stored part are read: new ones, and those that
+        a merge has replaced, whose parts went before their rows did.  What a
+        replaced row added is so taken back with it.  ``build`` gets the rows
+        with ``_part``, the partition as text, and returns rows that keep it, at
+        least one for each; a partition it gives no row is read every time.
+        """
+        root = f"{self._views_root(name)}/{view}"
+        missing = self._parts(self.path(name)) - self._parts(root)
+        if missing:
+            table = self.read(name)
+            values = [None if f == NULL_PARTITION else unquote(f) for f in missing]
+            rows = table.where(_among(table, partition_by, values))
+            (
+                _dealt(build(rows.withColumn("_part", F.col(partition_by).cast("string"))), ["_part"])
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("_part")
+                .parquet(root)
+            )
+        return self.spark.read.parquet(root)
+
+    def _views_root(self, name: str) -> str:
+        version = self.path(name).rsplit("/", 1)[-1]
+        return f"{self.root}/_views/{name}/{version}"
 
     def _summary_root(self, name: str) -> str:
         version = self.path(name).rsplit("/", 1)[-1]
@@ -269,9 +305,12 @@ class TableStore:
             rows = self.spark.read.parquet(f"{pending}/rows")
             (partition_by,) = touched.columns
             path = self.path(name)
-            # Filters go before what they describe is replaced: none is better than an old one.
+            # Filters and views go before what they describe is replaced: none is better than an old one.
+            views = self._views_root(name)
+            beside = [self._summary_root(name), *[f"{views}/{v}" for v in _children(self.spark, views)]]
             for (value,) in touched.collect():
-                self._delete(f"{self._summary_root(name)}/{_folder(self.spark, '_part', value)}")
+                for folder in beside:
+                    self._delete(f"{folder}/{_folder(self.spark, '_part', value)}")
             (
                 _dealt(rows, [partition_by])
                 .write.mode("overwrite")
@@ -324,8 +363,6 @@ def land_empty(df: DataFrame, root: str, names: Sequence[str], source: str = "_s
 
 def landed_sources(spark: SparkSession, root: str, source: str = "_source_file") -> DataFrame:
     """Source files that have landed, read from the folder names alone."""
-    from urllib.parse import unquote
-
     prefix = f"{source}="
     names = [c[len(prefix) :] for c in _children(spark, root) if c.startswith(prefix)]
     return spark.createDataFrame([(unquote(n),) for n in names], f"{source} string")

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from strataflow.operators.key_summaries import may_hold, summarise
 from strataflow.operators.incremental import incremental_scan, merge_upsert, new_keys
 from strataflow.operators.scd2 import scd2_apply
-from strataflow.plans import gold
+from strataflow.plans import gold, silver
 from strataflow.session import new_path, stage
+from strataflow.sources.history import VersionHistory
 from strataflow.sources.tables import TableStore, _children, path_exists, sorted_by, with_docs
 
 T1, T2, T3, T4 = (dt.datetime(2024, m, 1) for m in (1, 2, 3, 4))
@@ -238,3 +239,99 @@ def test_sorted_write_splits_a_hot_key_and_keeps_docs(spark):
     store.write("t", df, sort=["k"], docs={"k": "The key"})
     assert store.read("t").schema["k"].metadata == {"comment": "The key"}
     assert with_docs(df, {}).schema == df.schema
+
+
+def files_under(spark, path):
+    out = set()
+    for child in _children(spark, path):
+        inner = files_under(spark, f"{path}/{child}") if "." not in child else set()
+        out |= {f"{child}/{f}" for f in inner} if inner else {child}
+    return out
+
+
+def test_snapshots_write_what_changed(spark):
+    store = TableStore(spark, new_path(spark, "deltas"))
+    history = VersionHistory(store, "h", "station_id", ["station_name"])
+    many = [(f"s{i}", f"N{i}", 1.0, 1.0) for i in range(500)]
+    states = [
+        (T1, many),
+        (T2, [("s0", "other", 1.0, 1.0), *many[1:]]),
+        (T3, many[1:]),
+        (T4, many),
+    ]
+    plain = None
+    for at, now in states:
+        before = files_under(spark, store.root)
+        current = state(spark, *now)
+        got = history.snapshot(current, at)
+        plain = stage(scd2_apply(plain, current, "station_id", ["station_name"], at), "plain")
+        assert versions(got) == versions(plain)
+        assert before <= files_under(spark, store.root)
+    assert len(store._versions("h")) == 1 and len(history._deltas()) == 3
+    held = spark.read.parquet(*[history._path(*d) for d in history._deltas()])
+    assert held.count() == 2 + 1 + 1
+
+    # The newest again, with another outcome; without changes nothing is written.
+    moved = state(spark, ("s0", "third", 1.0, 1.0), *many[1:])
+    history.snapshot(moved, T4)
+    plain = stage(scd2_apply(plain, moved, "station_id", ["station_name"], T4), "plain")
+    assert versions(history.read()) == versions(plain)
+    before = files_under(spark, store.root)
+    history.snapshot(moved, dt.datetime(2024, 5, 1))
+    assert files_under(spark, store.root) == before
+    with pytest.raises(ValueError):
+        history.snapshot(moved, T3)
+
+    # Folded into a new base, it reads the same, and the newest can still be taken again.
+    history.compact()
+    assert history._deltas() == [] and versions(history.read()) == versions(plain)
+    assert versions(history.snapshot(state(spark, *many), T4)) == versions(
+        scd2_apply(plain, state(spark, *many), "station_id", ["station_name"], T4)
+    )
+    with pytest.raises(ValueError):
+        history.snapshot(moved, T2)
+    store.drop_old("h", 1)
+    assert history.read().count() == 502
+
+
+def test_deltas_larger_than_the_base_are_folded(spark):
+    store = TableStore(spark, new_path(spark, "deltas"))
+    history = VersionHistory(store, "h", "station_id", ["station_name"], most_deltas=3)
+    for k, at in enumerate((T1, T2, T3, T4)):
+        history.snapshot(state(spark, *[(f"s{i}", f"N{k if i < 1 else 0}", 1.0, 1.0) for i in range(40)]), at)
+    assert len(store._versions("h")) == 2 and history._deltas() == []
+    assert history.read().count() == 43
+    history.snapshot(state(spark, *[(f"s{i}", "all", 1.0, 1.0) for i in range(40)]), dt.datetime(2024, 5, 1))
+    assert len(store._versions("h")) == 3 and history.read().count() == 83
+
+
+def test_pairs_follow_replaced_rides(spark):
+    store = TableStore(spark, new_path(spark, "pairs"))
+    schema = (
+        "ride_id string, start_month int, start_station_name string, start_station_id string, "
+        "end_station_name string, end_station_id string"
+    )
+
+    def merge(*rides):
+        store.merge("t", spark.createDataFrame(rides, schema), ["ride_id"], partition_by="start_month")
+
+    def counts():
+        view = store.partition_view("t", "pairs", "start_month", silver.pair_counts)
+        return {(r[0], r[1]): r[2] for r in view.groupBy("station_name", "station_id").agg(F.sum("rides")).collect()}
+
+    merge(("a", 1, "Oak", "S1", "Elm", "S2"), ("b", 1, "Oak", "S1", None, None), ("c", 2, "Oak", "S1", "Oak", "S1"))
+    assert counts() == {("Oak", "S1"): 4, ("Elm", "S2"): 1, (None, None): 1}
+    root = f"{store._views_root('t')}/pairs"
+    old = {p: files_under(spark, f"{root}/{p}") for p in _children(spark, root) if "=" in p}
+    # a is renamed, b moves to a new month without names, NULL included; month 2 is left alone.
+    merge(("a", 1, "Oak", "S9", None, None), ("b", None, None, None, None, None))
+    assert set(_children(spark, root)) & set(old) == {"_part=2"}
+    assert counts() == {("Oak", "S9"): 1, ("Oak", "S1"): 2, (None, None): 3}
+    new = {p: files_under(spark, f"{root}/{p}") for p in _children(spark, root) if "=" in p}
+    assert set(new) == {"_part=1", "_part=2", "_part=__HIVE_DEFAULT_PARTITION__"} and new["_part=2"] == old["_part=2"]
+    # Ambiguous names are known without a look at the rides.
+    batch = spark.createDataFrame([("d", 3, "Oak", None, "Ash", "S3")], schema)
+    view = store.partition_view("t", "pairs", "start_month", silver.pair_counts)
+    lookup = silver.station_lookup(batch, known=view)
+    assert [tuple(r) for r in lookup.collect()] == [("Ash", "S3")]
+    assert all(f"{store.root}/_views" in f for f in lookup.inputFiles())

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow.operators import quality as q
+from strataflow.operators.windows import trailing
 from strataflow.plans import checks
 
 
@@ -88,3 +89,19 @@ def test_every_declared_check_is_there():
     assert (kinds.count("not_null"), kinds.count("unique")) == (28, 8)
     assert (kinds.count("accepted_values"), kinds.count("relationships")) == (5, 5)
     assert len(checks.LANDED_CHECKS) == 7
+
+
+def test_trailing_windows_over_blocks(spark):
+    values = [(i * 7919 % 1000, float(i % 13)) for i in range(1000)]
+    series = spark.createDataFrame(values, "t int, v double").repartition(7)
+    sums = {"n": lambda past: F.count("v").over(past), "s": lambda past: F.sum("v").over(past)}
+    ordered = sorted(values)
+    for rows, block in ((14, 50), (60, 10), (5, 100_000)):
+        got = trailing(series, ["t"], rows, sums, block).orderBy("t").collect()
+        assert [(r.t, r.v) for r in got] == ordered
+        for k, r in enumerate(got):
+            past = [v for _, v in ordered[max(0, k - rows) : k]]
+            assert (r.n, r.s or 0.0) == (len(past), sum(past))
+    assert trailing(series.limit(0), ["t"], 5, sums).count() == 0
+    text = trailing(series, ["t"], 14, sums)._jdf.queryExecution().toString()
+    assert "windowspecdefinition(_block#" in text
