@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import html
+import random
+import time
 
 import pytest
 
@@ -104,3 +106,83 @@ def test_odd_pages(spark):
         (4, "all of it", 9), (5, "<<<>>", 5),
     ]
     assert host_paths.extract(df.limit(0)).count() == 0
+
+
+def test_broken_markup_takes_time_by_its_length():
+    for unit, end in (
+        ("<a ", ""), ("a <b c ", ""), ('<a "', ""), ("<a<a", ""), ('<a "\' ', ">"), ("<a '>\"", "'"), ("<a \"x'>", ""),
+        ('<p><a b="', ""), ("</a ", "<!--"), ("<", ">"),
+    ):
+        size = 1_000_000 // len(unit)
+        begun = time.monotonic()
+        host_paths.main_text("<body>" + unit * size + end, [])
+        assert time.monotonic() - begun < 5
+
+
+def test_tags_end_outside_quotes():
+    def plain_end(text, at):
+        quote = ""
+        for k in range(at, len(text)):
+            c = text[k]
+            if quote:
+                quote = "" if c == quote else quote
+            elif c in "\"'":
+                quote = c
+            elif c == ">":
+                return k
+        return text.find(">", at)
+
+    def plain(text):
+        out, at = [], 0
+        while 0 <= (start := text.find("<", at)) < len(text) - 1:
+            at = start + 1
+            if text[at] not in "abx":
+                continue
+            name = at
+            while name < len(text) and text[name] not in " />":
+                name += 1
+            end = plain_end(text, name)
+            if end >= 0:
+                out.append((start, end + 1))
+                at = end + 1
+        return out
+
+    draw = random.Random(5)
+    for _ in range(3000):
+        text = "".join(draw.choice("<ab\"'> x") for _ in range(draw.randint(1, 40)))
+        tags, at, got = host_paths.Tags(text), 0, []
+        while found := tags.next(at):
+            got.append(found[:2])
+            at = found[1]
+        assert got == plain(text), text
+
+
+@pytest.mark.parametrize(
+    "names", ["class='story-text social-issues'", "id='related-work'", "class='tags-and-search'", "class='content share'"]
+)
+def test_names_an_article_may_have(names):
+    for tag in ("div", "section"):
+        got = host_paths.main_text(page(BLOCKS, ("<article>", f"<{tag} {names}><p>Kept.</p></{tag}></article>")), [])
+        assert got == TEXT + "\nKept."
+
+
+@pytest.mark.parametrize("names", ["class='related-posts'", "class='social-share'", "id=search", "class='post_comment-body'"])
+def test_names_that_stand_around(names):
+    assert host_paths.main_text(page(BLOCKS, ("<article>", f"<div {names}><p>Off.</p></div></article>")), []) == TEXT
+
+
+def test_pages_vote_on_doubts(spark):
+    same = "<div class='related-reading-tips'><p>Ever the same advice.</p></div>"
+    rows, want = [], {}
+    for k in range(8):
+        own = f"<section class='related-work'><p>Work {k} that came before.</p></section>"
+        links = "<div class='social-media-channels'><a href='/x'>Follow us over there</a></div>"
+        blocks = [f"Page {k} block {n}, with words in it." for n in range(4)]
+        rows.append((k, "http://h.example/p", page(blocks, ("<article>", own + same + links + "</article>")), "", "", 0))
+        want[k] = "\n".join([*blocks, f"Work {k} that came before."])
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert host_paths.host_paths(df).first().around == ["div.related-reading-tips", "div.social-media-channels"]
+    assert {r.page_id: r.text for r in host_paths.extract(df).collect()} == want
+    # Two pages are too few to vote anything out.
+    few = {r.page_id: r.text for r in host_paths.extract(df.where("page_id < 2")).collect()}
+    assert few == {k: f"{want[k]}\nEver the same advice." for k in range(2)}
