@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import WORD, numbered, one_each, row_key, spare_name
+from strataflow.llm.common import WORD, numbered, ranked_within, row_key, spare_name
 from strataflow.session import stage
 
 Knots = Sequence[tuple[float, float]]
@@ -93,6 +93,7 @@ def plan(
     schedules: Sequence[Knots] = (FADE, LEVEL, RISE),
     share: float = 1.5,
     most: float = 2.0,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document: its key, size, source's size and target, copies and their positions.
 
@@ -106,7 +107,8 @@ def plan(
 
     NULL and empty texts have size 0; they are taken once, at the place they
     stand in.  Rows that repeat an id or a whole row are separate documents.
-    Extra columns are ignored.  An empty table gives no rows.  A hot source is
+    Extra columns are ignored, but for those of ``keep``, which are carried along
+    and settle ties.  An empty table gives no rows.  A hot source is
     spread over all ranges of the sort.
     """
     spark = docs.sparkSession
@@ -116,12 +118,13 @@ def plan(
             "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             row_key(F.col("doc_id"), F.col("text")).alias("key"),
+            *keep,
         ),
         "sizes",
     )
     targets = stage(source_targets(sized, weights, share, most), "targets")
     ordered = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    rows, _ = numbered(ordered, ["rank", "key", "doc_id", "size"], "mixing_order")
+    rows, _ = numbered(ordered, ["rank", "key", "doc_id", "size", *keep], "mixing_order")
     # Words before each (range, source): a range and a source can meet once per boundary.
     runs = rows.groupBy("_part", "rank").agg(F.sum("size").alias("_words"))
     earlier = Window.partitionBy("rank").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -150,6 +153,7 @@ def plan(
         F.size("positions").alias("copies"),
         (F.col("size") * F.size("positions")).cast("long").alias("taken"),
         "positions",
+        *keep,
     )
 
 
@@ -157,17 +161,28 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` as the curriculum plays them: copies in the order of their positions.
 
     Same columns, one row per copy, range-sorted by position, then by key.
-    ``settings`` are those of :func:`plan`.  Identical rows share their copies.
+    ``settings`` are those of :func:`plan`.  A row is known by all its columns;
+    rows that repeat a whole row are numbered and take one row of the plan each,
+    so none is lost, however many they are, and no task gathers them.
     """
-    planned = stage(plan(docs, **settings).select("key", "positions"), "mixing_plan")
-    pooled = planned.groupBy("key").agg(
-        F.count(F.lit(1)).alias("_n"), F.flatten(F.collect_list("positions")).alias("_positions")
-    )
-    pooled = stage(pooled, "mixing_pool")
     key, position = spare_name(docs, "_key"), spare_name(docs, "_position")
-    keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
-    repeated = pooled.where("_n > 1").select(F.col("key").alias(key))
-    asked = pooled.where(F.size("_positions") > 0).select(F.col("key").alias(key), F.col("_positions").alias(position))
-    copies = one_each(keyed, [key], repeated).join(asked, key).withColumn(position, F.explode(position))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.withColumn(key, row_key(*columns))
+    planned = plan(keyed, keep=[key], **settings).select(F.col(key).alias("whole"), "positions")
+    planned = stage(planned, "mixing_plan")
+    repeated = stage(planned.groupBy("whole").count().where("count > 1").select("whole"), "mixing_repeated")
+    asked = planned.where(F.size("positions") > 0)
+    some = not repeated.isEmpty()
+    if some:
+        asked = asked.join(repeated, "whole", "left_anti")
+    copies = keyed.join(asked.select(F.col("whole").alias(key), F.col("positions").alias(position)), key)
+    if some:
+        packed = keyed.select(F.col(key).alias("whole"), F.struct(*columns).alias("row")).join(repeated, "whole")
+        rows = ranked_within(packed, ["whole"], [], "mixing_copies")
+        turns = ranked_within(planned.join(repeated, "whole"), ["whole"], ["positions"], "mixing_turns")
+        dealt = rows.join(turns, ["whole", "_nth"]).where(F.size("positions") > 0)
+        dealt = dealt.select("row.*", F.col("whole").alias(key), F.col("positions").alias(position))
+        copies = copies.unionByName(dealt)
+    copies = copies.withColumn(position, F.explode(position))
     order = [position, key]
-    return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)
+    return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(columns)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataflow.llm import mixing
 
@@ -69,6 +70,28 @@ def test_odd_rows(spark):
     assert mixing.plan(docs(spark, [])).count() == 0 and mixing.mix(docs(spark, [])).count() == 0
 
 
+def test_rows_that_differ_in_one_column_stay_apart(spark):
+    rows = [(7, "a b c", s, lang) for s, lang in (("x", "en"), ("x", "de"), ("y", "en"), (None, None))] * 5
+    rows += [(i, f"w {i}", "x", "en") for i in range(40)] + [(None, None, None, None)] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    want: dict = {}
+    for r in mixing.plan(df.withColumn("row", F.to_json(F.struct("*"))), keep=["row"]).collect():
+        want[r.row] = want.get(r.row, 0) + r.copies
+    for parts in (3, 11):
+        got: dict = {}
+        for r in mixing.mix(df.repartition(parts)).withColumn("row", F.to_json(F.struct("*"))).collect():
+            got[r.row] = got.get(r.row, 0) + 1
+        assert got == {k: n for k, n in want.items() if n}
+    assert got["{}"] == 300
+
+
+def test_columns_with_odd_and_clashing_names(spark):
+    df = docs(spark, [(1, "a b", "s"), (1, "a b", "s"), (2, "c", "s")])
+    odd = df.select("*", *[F.lit(1).alias(c) for c in ("_position", "_nth", "_part", "row", "whole", "a.b")])
+    out = mixing.mix(odd)
+    assert out.columns == odd.columns and out.count() == mixing.mix(df).count()
+
+
 def test_time_of_inverts_the_integral(spark):
     from pyspark.sql import functions as F
 
