@@ -134,10 +134,11 @@ def encode_texts(texts: list[str | None], path: str, width: int, end_id: int, ma
             else:
                 split.append(folded.split())
         wordy = [ws for ws in split if isinstance(ws, list)]
-        missing = {w for ws in wordy for w in ws if w not in _WORDS}
+        distinct = set().union(*wordy)
+        missing = distinct.difference(_WORDS)
         if len(_WORDS) + len(missing) > max_words:
             _WORDS.clear()
-            missing = {w for ws in wordy for w in ws}
+            missing = distinct
         # A full stop or comma after a letter is a token of its own: the word before it is shared.
         ended = [w for w in missing if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalpha()]
         missing.difference_update(ended)
