@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from strataflow.functions.time import TIMESTAMP_LAYOUTS, parse_mixed_ts
 from strataflow.operators.filters import both_present
 from strataflow.session import stage
+from strataflow.sources.csv_records import MAX_RECORD, records
 
 ARCHIVE = "_archive"
 ERROR = "_error"
@@ -26,6 +27,10 @@ def _text_schema(schema: T.StructType, *extra: str) -> T.StructType:
     )
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def unpack_archives(
     archives: DataFrame, schema: T.StructType, chunk_rows: int = 50_000
 ) -> DataFrame:
@@ -102,41 +107,52 @@ def read_archives(
 
 
 def read_csv_raw(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multi_line: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    multi_line: bool = True,
+    max_record: int = MAX_RECORD,
 ) -> DataFrame:
     """Rows of CSV files that share a header, as text columns matched by name.
 
     Only an empty field is NULL; look-alikes such as NA or NULL stay text and
     nothing is trimmed.  Columns the files lack are NULL.  A quoted field may
-    hold line feeds; a row with more or fewer fields than the header has
-    ``_error`` set.  Without ``multi_line`` large files are split among tasks,
-    and must have no line feeds in fields.
+    hold line feeds, and large files are split among tasks all the same; see
+    ``csv_records``.  ``multi_line=False`` saves the shuffle that this takes
+    where no field holds one.  ``_error`` is set for a row with more or fewer
+    fields than the header, for a file with another header than the first one,
+    a quoted field never closed, and a record above ``max_record`` bytes.
     """
-
-    def reader():
-        return (
-            spark.read.option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            # All fields are parsed, or a wrong number of them would go unseen.
-            .option("columnPruning", False)
-        )
-
-    header = reader().csv(path).schema
     broken = "_broken_line"
-    whole = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields])
-    raw = reader().option("columnNameOfCorruptRecord", broken).schema(whole.add(broken, "string")).csv(path)
-    present = set(header.fieldNames())
+    options = {"escape": '"', "columnPruning": False, "columnNameOfCorruptRecord": broken}
+    header = spark.read.options(**options, header=True, multiLine=multi_line).csv(path).schema
+    names = header.fieldNames()
+    whole = T.StructType([T.StructField(n, T.StringType()) for n in names]).add(broken, "string")
+    if multi_line:
+        fields = F.from_csv("record", _ddl(whole), {k: str(v).lower() for k, v in options.items()})
+        found = records(spark, path, max_record).withColumn("fields", fields)
+        same = F.lit(True)
+        for n, name in enumerate(names):
+            own = F.col("fields")[name]
+            same &= F.coalesce(own == name, F.lit(name == f"_c{n}")) | F.coalesce(F.concat(own, F.lit(str(n))) == name, F.lit(False))
+        other = F.when(F.col("first") & F.col("record").isNotNull() & ~same, F.lit("another header than the first file"))
+        raw = (
+            found.withColumn("error", F.coalesce("error", other))
+            .where(~F.col("first") | F.col("error").isNotNull())
+            .select("fields.*", F.col("name").alias("_file"), "error")
+        )
+    else:
+        reader = spark.read.options(**options, header=True, enforceSchema=False)
+        raw = reader.schema(whole).csv(path).withColumn("_file", F.col("_metadata.file_name")).withColumn("error", F.lit(None).cast("string"))
     wrong = F.when(F.col(broken).isNotNull(), F.concat(F.lit("wrong number of fields: "), F.substring(broken, 1, 100)))
     return raw.select(
         *[
-            (F.col(f"`{n}`") if n in present else F.lit(None)).cast("string").alias(n)
+            (F.col(f"`{n}`") if n in names else F.lit(None)).cast("string").alias(n)
             for n in schema.fieldNames()
         ],
-        F.col("_metadata.file_name").alias("_source_file"),
-        F.col("_metadata.file_name").alias(ARCHIVE),
-        wrong.alias(ERROR),
+        F.col("_file").alias("_source_file"),
+        F.col("_file").alias(ARCHIVE),
+        F.coalesce("error", wrong).alias(ERROR),
     )
 
 
