@@ -26,6 +26,7 @@ from strataflow.operators.incremental import incremental_scan, merge_upsert
 from strataflow.operators.joins import asof_left, cross_scalar, lookup_on, missing_in, star
 from strataflow.operators.scd2 import scd2_apply
 from strataflow.operators.sets import distinct_values, measure_by, null_profile
+from strataflow.operators.vector_index import VectorMemory
 from strataflow.operators.vectors import nearest, nearest_batch, remember
 from strataflow.operators.windows import first_per_key, keep_latest
 from strataflow.plans import checks, gold, pipeline, silver
@@ -986,12 +987,12 @@ def memory_recall(spark, sf_dir):
         F.concat(F.lit("label "), F.col("label")).alias("query"),
         "embedding",
     )
-    store = TableStore(spark, new_path(spark, "recall"))
+    memory = VectorMemory(TableStore(spark, new_path(spark, "recall")), "memory", lists=16)
     for half in (0, 1):
-        store.append("memory", remember(pairs.where(F.col("vec_id") % 2 == half), BASE_STAMP))
+        memory.append(remember(pairs.where(F.col("vec_id") % 2 == half), BASE_STAMP))
     starts = first_per_key(pairs, ["label"], [F.col("vec_id")])
-    memory = schemas.read_contract(store.read("memory"), schemas.MEMORY)
-    return nearest_batch(starts, memory, 3, query_id="question", vector_id="id")
+    schemas.read_contract(memory.read(), schemas.MEMORY)
+    return memory.nearest(starts, 3, query_id="question")
 
 
 # --- small operators ---------------------------------------------------------

@@ -161,13 +161,13 @@ class TableStore:
         finally:
             stream.close()
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
+    def append(self, name: str, df: DataFrame, *, partition_by: Sequence[str] = ()) -> DataFrame:
         """Add rows to the current version; the first rows make the table."""
         if not self.exists(name):
-            return self.write(name, df)
+            return self.write(name, df, partition_by=partition_by)
         self._delete(self._summary_root(name))
         self._delete(self._views_root(name))
-        df.write.mode("append").parquet(self.path(name))
+        _dealt(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
         return self.read(name)
 
     def drop_old(self, name: str, keep: int = 2) -> None:
