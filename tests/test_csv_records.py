@@ -48,6 +48,10 @@ def test_fields_with_line_feeds_in_any_split(spark, tmp_path):
             df = files.read_csv_raw(spark, str(tmp_path), SCHEMA)
             assert {r._error for r in df.collect()} == {None}
             assert got(df) == want
+    with small_splits(spark, 300):
+        by_sort = records(spark, str(tmp_path), max_broadcast=0).where("not first")
+        assert by_sort.count() == len(rows) and by_sort.where("error is not null").count() == 0
+        assert sorted(by_sort.collect()) == sorted(records(spark, str(tmp_path)).where("not first").collect())
     with small_splits(spark, 64):
         text = spark.read.text(str(tmp_path))
         assert text.rdd.getNumPartitions() > 20
@@ -119,3 +123,11 @@ def test_files_without_rows(spark, tmp_path):
     (tmp_path / "y.csv").write_text("a,b,c")
     (tmp_path / "z.csv").write_text("")
     assert files.read_csv_raw(spark, [str(tmp_path / n) for n in ("x.csv", "y.csv", "z.csv")], SCHEMA).count() == 0
+
+
+def test_file_names_as_they_are(spark, tmp_path):
+    for name in ("a b+c.csv", "d%20é.csv"):
+        (tmp_path / name).write_text('a,b,c\nk1,"x\ny",z\n')
+    df = files.read_csv_raw(spark, str(tmp_path), SCHEMA)
+    whole = files.read_csv_raw(spark, str(tmp_path), SCHEMA, multi_line=False)
+    assert {r._archive for r in df.collect()} == {r._archive for r in whole.collect()}
