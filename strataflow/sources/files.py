@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
 import pandas as pd
@@ -47,63 +47,87 @@ def unpack_archives(
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
-        import posixpath
-        import zipfile
-
-        columns = [*names, "_source_file", "_archive", "_error"]
-
-        def failure(archive: str, message: str) -> pd.DataFrame:
-            row = dict.fromkeys(columns) | {"_archive": archive, "_error": message}
-            return pd.DataFrame([row], columns=columns, dtype="object")
 
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                archive = posixpath.basename(path)
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        members = [
-                            m
-                            for m in z.namelist()
-                            if m.endswith(".csv") and not m.startswith("__MACOSX")
-                        ]
-                        if not members:
-                            yield failure(archive, "no CSV in archive")
-                            continue
-                        with z.open(members[0]) as member:
-                            for chunk in pd.read_csv(
-                                member,
-                                dtype="object",
-                                keep_default_na=False,
-                                na_values=[""],
-                                chunksize=chunk_rows,
-                            ):
-                                out = chunk.reindex(columns=names)
-                                out["_source_file"] = posixpath.basename(members[0])
-                                out["_archive"] = archive
-                                out["_error"] = None
-                                yield out[columns].astype("object")
-                except Exception as problem:  # one bad archive must not stop the others
-                    yield failure(archive, f"{type(problem).__name__}: {problem}")
+                yield from _member_rows(path, lambda: io.BytesIO(content), names, chunk_rows)
 
     out = _text_schema(schema, "_source_file", ARCHIVE, ERROR)
     return archives.select("path", "content").mapInPandas(unpack, out)
 
 
+def _member_rows(path: str, opened: Callable, names: Sequence[str], chunk_rows: int) -> Iterator[pd.DataFrame]:
+    """Rows of an archive's first CSV member by chunks, or one row that says why there are none."""
+    import posixpath
+    import zipfile
+
+    archive = posixpath.basename(path)
+    columns = [*names, "_source_file", ARCHIVE, ERROR]
+
+    def failure(message: str) -> pd.DataFrame:
+        row = dict.fromkeys(columns) | {ARCHIVE: archive, ERROR: message}
+        return pd.DataFrame([row], columns=columns, dtype="object")
+
+    try:
+        with opened() as handle, zipfile.ZipFile(handle) as z:
+            members = [m for m in z.namelist() if m.endswith(".csv") and not m.startswith("__MACOSX")]
+            if not members:
+                yield failure("no CSV in archive")
+                return
+            with z.open(members[0]) as member:
+                for chunk in pd.read_csv(member, dtype="object", keep_default_na=False, na_values=[""], chunksize=chunk_rows):
+                    out = chunk.reindex(columns=names)
+                    out["_source_file"] = posixpath.basename(members[0])
+                    out[ARCHIVE] = archive
+                    out[ERROR] = None
+                    yield out[columns].astype("object")
+    except Exception as problem:  # one bad archive must not stop the others
+        yield failure(f"{type(problem).__name__}: {problem}")
+
+
+def _open_by_path(path: str):
+    """A file that can be read from any place on, by its path in a store that executors reach."""
+    from urllib.parse import quote, urlsplit
+
+    scheme, _, rest = path.partition(":")
+    if path.startswith("/") or scheme == "file":
+        return open("/" + (path if path.startswith("/") else rest).lstrip("/"), "rb")
+    from pyarrow import fs
+
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    place = urlsplit(f"{scheme}:{quote(rest)}")
+    store, inner = fs.FileSystem.from_uri(place.geturl())
+    return store.open_input_file(inner)
+
+
+def stream_archives(archives: DataFrame, schema: T.StructType, chunk_rows: int = 50_000) -> DataFrame:
+    """``unpack_archives`` for archives of any size, of which only ``path`` is given.
+
+    A task reads the list of members at the archive's end and then the one member it wants,
+    piece by piece, so it holds one chunk of rows and no more.  The store is reached
+    by the executors' own client for its scheme, not by Spark's.
+    """
+    names = schema.fieldNames()
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                yield from _member_rows(path, lambda: _open_by_path(path), names, chunk_rows)
+
+    return archives.select("path").mapInPandas(unpack, _text_schema(schema, "_source_file", ARCHIVE, ERROR))
+
+
 def read_archives(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType, max_bytes: int = MAX_ARCHIVE
 ) -> DataFrame:
     """Rows of the zip archives at a path; see ``unpack_archives``.
 
-    An archive above ``max_bytes``, what one value can hold, is refused by its
-    length without being read; the others go on.
+    An archive above ``max_bytes``, what one value can hold, is streamed by its path
+    instead; see ``stream_archives``.  One that cannot be read is refused alone.
     """
     found = spark.read.format("binaryFile").load(path)
     rows = unpack_archives(found.where(F.col("length") <= max_bytes), schema)
-    large = found.where(F.col("length") > max_bytes).select(
-        F.element_at(F.split("path", "/"), -1).alias(ARCHIVE),
-        F.format_string("archive of %d bytes, above %d", "length", F.lit(max_bytes)).alias(ERROR),
-    )
-    return rows.unionByName(large, allowMissingColumns=True)
+    return rows.unionByName(stream_archives(found.where(F.col("length") > max_bytes), schema))
 
 
 def read_csv_raw(

@@ -72,15 +72,27 @@ def test_archives_one_bad_file_does_not_stop_the_others(spark, archives):
     assert set(messages) == {"none.zip", "badtime.csv.zip", "broken.zip"}
 
 
-def test_archive_above_the_limit_is_refused_alone(spark, tmp_path):
+def test_archive_above_the_limit_is_streamed_by_its_path(spark, tmp_path):
     lines = "".join(f"r{i},b{i * 7919},2021-02-01,2021-02-02,S,E,member\n" for i in range(400))
-    make_zip(tmp_path, "big.zip", **{"big.csv": HEADER + lines})
+    make_zip(tmp_path, "big one%20.zip", **{"big.csv": HEADER + lines})
     make_zip(tmp_path, "fine.zip", **{"fine.csv": HEADER + "r1,b,2021-02-01,2021-02-02,S,E,member\n"})
+    make_zip(tmp_path, "big empty.zip", **{"notes.txt": "".join(chr(32 + i * 7919 % 90) for i in range(9000))})
+    whole = (tmp_path / "big one%20.zip").read_bytes()
+    (tmp_path / "bad_tail.zip").write_bytes(whole[:-30])
+    (tmp_path / "bad_data.zip").write_bytes(whole[:200] + bytes(300) + whole[500:])
     limit = (tmp_path / "fine.zip").stat().st_size
     rows = files.typed(files.read_archives(spark, str(tmp_path), schemas.TRIP_FILE, limit), schemas.TRIP_FILE)
     good, refused = files.split_refused(rows)
-    assert [r.ride_id for r in good.collect()] == ["r1"]
-    assert [r._archive for r in refused.collect()] == ["big.zip"] and "above" in refused.first().message
+    assert {r.ride_id for r in good.where("_archive = 'fine.zip'").collect()} == {"r1"}
+    assert good.where("_archive like 'big one%'").count() == 400 and good.count() == 401
+    found = {r._archive: r.message for r in refused.collect()}
+    assert found.keys() == {"bad_tail.zip", "bad_data.zip", "big empty.zip"} and "no CSV" in found["big empty.zip"]
+
+
+def test_large_archives_are_not_read_as_one_value(spark, tmp_path):
+    make_zip(tmp_path, "x.zip", **{"x.csv": HEADER + "r1,b,2021-02-01,2021-02-02,S,E,member\n"})
+    text = files.read_archives(spark, str(tmp_path), schemas.TRIP_FILE)._jdf.queryExecution().executedPlan().toString()
+    assert any("length" in line and "content" not in line for line in text.splitlines() if "FileScan" in line)
 
 
 def test_archive_is_read_in_chunks(spark, tmp_path):
