@@ -120,8 +120,9 @@ def runs(texts: list[bytes], length: int, seed: int) -> dict:
         cut = slice(a, a + 50_000)
         same = h[s1[cut, None] + np.arange(w)] == value[cut, None]
         place[cut] = s1[cut] + same.argmax(axis=1)
-        tied[cut] = (same.sum(axis=1) > 1) | ((h[s0[cut, None] + np.arange(w)] == value[cut, None]).sum(axis=1) > 1)
-    tied |= s1 - s0 >= w
+        # The seed stands once if the first of the first window is the last of the last one.
+        leftmost = s0[cut] + (h[s0[cut, None] + np.arange(w)] == value[cut, None]).argmax(axis=1)
+        tied[cut] = leftmost != s1[cut] + w - 1 - same[:, ::-1].argmax(axis=1)
     own = text[first]
     return {
         "text": own, "pos": s0 - begins[own], "n": s1 - s0 + 1, "lead": leading(data, place),
@@ -256,7 +257,9 @@ def neighbours(rows: dict, before: tuple | None, after: tuple | None, few: int):
     again = np.zeros(n, dtype=bool)
     if n:
         again[1:] = ~whole[1:] & ~repeats[1:]
-    crowded = cut | (kinds > few) | (rows["n"] > 1000)
+    # All open runs of a seed go the same way, or some would never meet.
+    long = np.bincount(group, weights=rows["n"] > 1000)[group] > 0 if n else np.zeros(0, dtype=bool)
+    crowded = cut | (kinds > few) | long
     status = np.where(repeats, 1, np.where(is_open & ~again, np.where(crowded, 3, 2), 0))
     return status.astype(np.int32)
 

@@ -129,3 +129,20 @@ def test_limits_open_at_the_start_of_equal_suffixes():
     cuts = sd.limits(sample, 5)
     assert cuts[0][:3] == (5, 1, 1) and cuts[0][5] == -1
     assert all(c in sample for c in cuts[1:])
+
+
+def test_period_within_a_run(spark):
+    """A string repeats one period on, where no window at either end of its run holds the seed twice."""
+    rng = random.Random(0)
+    docs = []
+    for i in range(400):
+        d = rng.randrange(40, 69)
+        unit = "".join(chr(rng.randrange(33, 126)) for _ in range(d))
+        front, back = ("".join(chr(rng.randrange(33, 126)) for _ in range(60)) for _ in range(2))
+        docs.append((i, front + (unit * 5)[: 100 + d + rng.randrange(4)] + back))
+    assert got(spark, docs) == brute(docs, 100)
+
+
+def test_long_and_short_runs_of_a_seed(spark):
+    docs = [(1, "a" * 2500), (2, "x" + "a" * 300 + "y"), (3, "ab" * 800), (4, "b" + "ab" * 60 + "c"), (5, "ab" * 51)]
+    assert got(spark, docs) == brute(docs, 100)
