@@ -7,8 +7,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from strataflow.llm.common import map_pandas
+from strataflow.llm.common import map_pandas, on_path
 from strataflow.session import stage
 
 #: Bytes that UTF-8 never uses: what stands before a text, and its end.
@@ -148,7 +150,7 @@ class Trie:
         out[left] -= np.log(max(self.unseen, 1))
         return out
 
-    def log10_of(self, texts: list[str | None], last=None, chunk: int = 400_000):
+    def log10_of(self, texts: list[str | None], last=None, chunk: int = 200_000):
         """log10 probability of each whole text, its end included.
 
         With ``last``, 256 booleans, only of the bytes that follow one of those.
@@ -236,9 +238,12 @@ def _merged(parts: list) -> tuple:
     import numpy as np
 
     keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
-    out, inverse = np.unique(keys, return_inverse=True)
-    return out, np.bincount(inverse, weights=counts, minlength=len(out)).astype(np.int64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    counts = np.concatenate([c for _, c in parts])[order]
+    del order
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[starts], np.add.reduceat(counts, starts).astype(np.int64) if len(starts) else counts
 
 
 def _bucket(keys):
@@ -250,7 +255,14 @@ def _bucket(keys):
 
 
 def gather(
-    docs: DataFrame, held_out: Column, *, order: int, block_bytes: int = 16 << 20, run_grams: int = 1_000_000
+    docs: DataFrame,
+    held_out: Column,
+    *,
+    order: int,
+    block_bytes: int = 16 << 20,
+    run_grams: int = 1_000_000,
+    learn_chars: int = 500_000,
+    piece_rows: int = 20_000,
 ) -> DataFrame:
     """One pass over all texts: what both models learn, and what the base has to look up.
 
@@ -265,12 +277,13 @@ def gather(
         f"kind string, block long, doc_id {id_type}, text_hash long, held_out boolean, n_tokens long, "
         "number int, token binary, n long, first binary, second binary"
     )
-    names = [c.split()[0] for c in schema.split(", ")]
+    fields = to_arrow_schema(StructType.fromDDL(schema))
 
-    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def step(batches: Iterator) -> Iterator:
         from collections import Counter
 
         import numpy as np
+        import pyarrow as pa
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
@@ -282,9 +295,11 @@ def gather(
         waiting: list[str] = []
         n_waiting = 0
 
-        def frame(kind: str, block, **values) -> pd.DataFrame:
-            out = pd.DataFrame({"kind": kind, "block": block, **values})
-            return out.reindex(columns=names)
+        def frame(kind: str, block, **values):
+            n = len(next(iter(values.values())))
+            values |= {"kind": [kind] * n, "block": np.broadcast_to(block, n)}
+            own = [pa.array(values[f.name], f.type) if f.name in values else pa.nulls(n, f.type) for f in fields]
+            return pa.RecordBatch.from_arrays(own, schema=fields)
 
         def learn() -> None:
             codes, starts, lengths = padded(waiting, order)
@@ -292,10 +307,10 @@ def gather(
             keys, times = np.unique(found, return_counts=True)
             learnt.append((keys, times))
             waiting.clear()
-            if len(learnt) >= 3:
+            if sum(len(k) for k, _ in learnt[1:]) >= run_grams // 2:
                 learnt[:] = [_merged(learnt)]
 
-        def run() -> pd.DataFrame:
+        def run():
             keys, times = _merged(learnt)
             learnt.clear()
             bucket = _bucket(keys)
@@ -310,42 +325,48 @@ def gather(
                 second=[_packed(times[a:z].astype("<i8")) for a, z in zip(begins, ends)],
             )
 
-        def close() -> Iterator[pd.DataFrame]:
+        def close() -> Iterator:
             block = (part << 24) + n_block
-            own = pd.DataFrame(rows, columns=["doc_id", "text_hash", "held_out", "n_tokens", "first", "second"])
-            yield frame("d", block, **{c: own[c] for c in own})
-            yield frame(
-                "t", block, number=np.arange(len(vocabulary), dtype=np.int32),
-                token=list(vocabulary), n=counts[: len(vocabulary)],
-            )
+            columns = ["doc_id", "text_hash", "held_out", "n_tokens", "first", "second"]
+            for k in range(0, len(rows), piece_rows):
+                yield frame("d", block, **dict(zip(columns, zip(*rows[k : k + piece_rows]))))
+            listed = list(vocabulary)
+            for k in range(0, len(listed), piece_rows):
+                some = listed[k : k + piece_rows]
+                yield frame(
+                    "t", block, number=np.arange(k, k + len(some), dtype=np.int32), token=some, n=counts[k : k + len(some)]
+                )
 
+        # Arrow batches, so that the texts of one are not all strings at once.
         for b in batches:
-            for doc_id, text_hash, out, text in zip(b["doc_id"], b["text_hash"], b["held_out"], b["text"]):
-                text = text or ""
-                times = Counter(text.encode("utf-8", "replace").lower().split())
-                for w in times:
-                    if w not in vocabulary:
-                        vocabulary[w] = len(vocabulary)
-                ids = np.fromiter(map(vocabulary.__getitem__, times), dtype=np.int32, count=len(times))
-                n = np.fromiter(times.values(), dtype=np.int32, count=len(times))
-                ids, n = np.append(ids, np.int32(0)), np.append(n, np.int32(1))
-                if len(vocabulary) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(vocabulary), dtype=np.int64)])
-                if out is False or out is np.False_ or out == False:  # noqa: E712
-                    counts[ids] += n
-                    waiting.append(text)
-                    n_waiting += len(text)
-                    if n_waiting > 2_000_000:
-                        learn()
-                        n_waiting = 0
-                        if sum(len(k) for k, _ in learnt) >= run_grams:
-                            yield run()
-                rows.append((doc_id, text_hash, out, int(n.sum()), ids.tobytes(), n.tobytes()))
-                held += len(text)
-                if held >= block_bytes:
-                    yield from close()
-                    n_block, held, rows = n_block + 1, 0, []
-                    vocabulary, counts = {b"": 0}, np.zeros(1 << 16, dtype=np.int64)
+            for at in range(0, b.num_rows, 256):
+                some = [c.to_pylist() for c in b.slice(at, 256).columns]
+                for doc_id, text_hash, out, text in zip(*some):
+                    text = text or ""
+                    times = Counter(text.encode("utf-8", "replace").lower().split())
+                    for w in times:
+                        if w not in vocabulary:
+                            vocabulary[w] = len(vocabulary)
+                    ids = np.fromiter(map(vocabulary.__getitem__, times), dtype=np.int32, count=len(times))
+                    n = np.fromiter(times.values(), dtype=np.int32, count=len(times))
+                    ids, n = np.append(ids, np.int32(0)), np.append(n, np.int32(1))
+                    if len(vocabulary) > len(counts):
+                        counts = np.concatenate([counts, np.zeros(len(vocabulary), dtype=np.int64)])
+                    if out is False:
+                        counts[ids] += n
+                        waiting.append(text)
+                        n_waiting += len(text)
+                        if n_waiting > learn_chars:
+                            learn()
+                            n_waiting = 0
+                            if sum(len(k) for k, _ in learnt) >= run_grams:
+                                yield run()
+                    rows.append((doc_id, text_hash, out, int(n.sum()), ids.tobytes(), n.tobytes()))
+                    held += len(text)
+                    if held >= block_bytes:
+                        yield from close()
+                        n_block, held, rows = n_block + 1, 0, []
+                        vocabulary, counts = {b"": 0}, np.zeros(1 << 16, dtype=np.int64)
         if rows:
             yield from close()
         if waiting:
@@ -354,7 +375,8 @@ def gather(
             yield run()
 
     columns = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), held_out.alias("held_out"), "text")
-    return stage(map_pandas(columns, step, schema), "language_model_counts")
+    on_path(docs.sparkSession)
+    return stage(columns.mapInArrow(step, schema), "language_model_counts")
 
 
 def gram_buckets(gathered: DataFrame) -> DataFrame:
@@ -407,25 +429,29 @@ def base_scores(gathered: DataFrame) -> DataFrame:
     distinct = counted.agg(F.count_if(F.col("once") & (F.col("c") > 0))).first()[0] or 0
     id_type = gathered.schema["doc_id"].dataType.simpleString()
 
-    def score(docs: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+    def score(docs, counts):
         import numpy as np
+        import pyarrow as pa
 
-        c = np.zeros(int(counts["number"].max()) + 1 if len(counts) else 1, dtype=np.float64)
-        c[counts["number"].to_numpy()] = counts["c"].to_numpy()
+        number = counts.column("number").to_numpy()
+        c = np.zeros(int(number.max()) + 1 if len(number) else 1, dtype=np.float64)
+        c[number] = counts.column("c").to_numpy()
         logs = np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
         known, base = [], []
-        for ids, n in zip(docs["first"], docs["second"]):
-            ids, n = np.frombuffer(ids, dtype=np.int32), np.frombuffer(n, dtype=np.int32)
+        for ids, n in zip(docs.column("first"), docs.column("second")):
+            ids, n = (np.frombuffer(x.as_buffer(), dtype=np.int32) for x in (ids, n))
             known.append(int(n[c[ids] > 0].sum()))
             base.append(float((logs[ids] * n).sum()))
-        out = docs[["doc_id", "text_hash", "held_out", "n_tokens"]].copy()
-        return out.assign(n_known=known, train_tokens=total, base_score=base)
+        out = docs.select(["doc_id", "text_hash", "held_out", "n_tokens"])
+        out = out.append_column("n_known", pa.array(known, pa.int64()))
+        out = out.append_column("train_tokens", pa.array([total] * len(known), pa.int64()))
+        return out.append_column("base_score", pa.array(base, pa.float64()))
 
     docs = gathered.where("kind = 'd'").select("block", "doc_id", "text_hash", "held_out", "n_tokens", "first", "second")
     return (
         docs.groupBy("block")
         .cogroup(counted.select("block", "number", "c").groupBy("block"))
-        .applyInPandas(
+        .applyInArrow(
             score,
             f"doc_id {id_type}, text_hash long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double",
         )
@@ -481,8 +507,9 @@ def _add_scores(columns: DataFrame, sent, order: int, zero, last, keep_text: boo
     kept = [c for c in columns.columns if keep_text or c != "text"]
     schema = ", ".join(f"{c} {columns.schema[c].dataType.simpleString()}" for c in kept)
 
-    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def step(batches: Iterator) -> Iterator:
         import numpy as np
+        import pyarrow as pa
 
         from strataflow.llm import ppm
 
@@ -491,14 +518,18 @@ def _add_scores(columns: DataFrame, sent, order: int, zero, last, keep_text: boo
             own = [(np.cumsum(ppm._unpacked(f, "<u8"), dtype=np.uint64), ppm._unpacked(s, "<i8")) for f, s in sent.value]
             keys = np.concatenate([k for k, _ in own]) if own else np.empty(0, dtype=np.uint64)
             counts = np.concatenate([c for _, c in own]) if own else np.empty(0, dtype=np.int64)
+            del own
             ppm._TRIES[name] = ppm.Trie(keys, counts, order, zero)
-            del own, keys, counts
+            del keys, counts
         trie = ppm._TRIES[name]
         for b in batches:
-            if len(b):
-                yield b.assign(score=b["score"] + trie.log10_of(b["text"].tolist(), last))[kept]
+            for at in range(0, b.num_rows, 2000):
+                own = dict(zip(b.schema.names, b.slice(at, 2000).columns))
+                score = own["score"].to_numpy() + trie.log10_of(own["text"].to_pylist(), last)
+                yield pa.RecordBatch.from_arrays([pa.array(score) if c == "score" else own[c] for c in kept], names=kept)
 
-    return map_pandas(columns, step, schema)
+    on_path(spark)
+    return columns.mapInArrow(step, schema)
 
 
 def score(docs: DataFrame, held_out: Column, *, order: int = 5) -> DataFrame:

@@ -111,3 +111,27 @@ def test_nothing_learnt_and_empty(spark):
     row = ppm.score(df, F.lit(True)).first()
     assert row.score == pytest.approx(-3 * math.log10(256)) and row.train_tokens == 0 and row.base_score == pytest.approx(0)
     assert ppm.score(df.limit(0), F.lit(False)).count() == 0
+
+
+def test_counts_go_out_in_pieces(spark):
+    """Runs, blocks and their rows in several pieces give the same scores, and no piece is larger than asked."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 400, 60)), 0.0, 1, "x") for i in range(300)] + [(None, None, 0.0, 1, "x")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    held = F.col("doc_id") % 7 == 0
+
+    def scores(gathered):
+        base = {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 8)) for r in ppm.base_scores(gathered).collect()}
+        grams = ppm.gram_buckets(gathered)
+        return base, sorted((r.doc_id or -1, round(r.score, 8)) for r in ppm.trie_scores(df, grams, order=4).collect())
+
+    small = ppm.gather(df, held, order=4, block_bytes=9000, run_grams=4000, learn_chars=1000, piece_rows=50)
+    numbers = small.where("kind = 't'").groupBy("block").agg(F.max("number").alias("last"), F.count("*").alias("n")).collect()
+    assert len(numbers) > 4 and all(r.n == r["last"] + 1 > 50 for r in numbers)
+    assert scores(small) == scores(ppm.gather(df, held, order=4))
+
+
+def test_large_ids_stay_exact_beside_null(spark):
+    ids = [2**53 + 1, 2**53 + 2, None]
+    df = spark.createDataFrame([(i, "same text", 0.0, 1, "x") for i in ids], SCHEMA).coalesce(1)
+    assert {r.doc_id for r in ppm.score(df, F.lit(False), order=2).collect()} == set(ids)
