@@ -215,10 +215,11 @@ class Side:
         import numpy as np
 
         n = len(sequence)
+        width = max(n, int(sequence.max())) + 1  # not every number needs to occur
         ranks = {1: sequence.astype(np.int64)}
 
         def joined(a: int, b: int):
-            key = ranks[a] * (n + 1)
+            key = ranks[a] * width
             key[: n - a] += ranks[b][a:]
             at = np.argsort(key)
             new = np.append(True, np.diff(key[at]) != 0)[:n]
@@ -231,12 +232,6 @@ class Side:
         del ranks
         self.open(sequence[order - 1])  # before the first word stands the last, which ends a piece
 
-    @classmethod
-    def of(cls, bwt) -> Side:
-        out = cls.__new__(cls)
-        out.open(bwt)
-        return out
-
     def open(self, bwt) -> None:
         import numpy as np
 
@@ -312,6 +307,16 @@ class Index:
         return first[kept], second[kept], n[kept]
 
 
+def along(sequence, joined, shortest: int):
+    """What is left of a sequence if pieces also end between words that are not ``joined`` and shorter ones go."""
+    import numpy as np
+
+    run = np.append(0, np.cumsum(~joined))
+    kept = np.bincount(run)[run] >= shortest
+    sequence, run = sequence[kept], run[kept]
+    return np.insert(sequence, np.flatnonzero(np.append(np.diff(run) != 0, True)[: len(run)]) + 1, 0)
+
+
 def count_phrases(
     docs: DataFrame, *, least: int = 100, shard_words: int = 2_000_000, bucket_rows: int = 1_000_000
 ) -> tuple[DataFrame, DataFrame]:
@@ -320,8 +325,8 @@ def count_phrases(
     The first frame holds lang, id and word of those words; the second lang, ids,
     a, the number of occurrences, and n, that of all words of the language.  A
     phrase cannot be more frequent than the words and word pairs in it, so shards
-    index frequent words only (others part pieces) and look for longer phrases
-    along frequent pairs; every phrase that could be frequent is counted in every
+    index frequent words only (others part pieces), and longer phrases come from
+    an index of what is left if infrequent pairs part pieces too; every phrase that could be frequent is counted in every
     shard.  Counts meet in buckets by hash, packed by shard.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -334,23 +339,19 @@ def count_phrases(
         import numpy as np
 
         if not len(sequences) or not len(numbers):
-            return pd.DataFrame(columns=["shard", "ids", "forward", "reverse"])
+            return pd.DataFrame(columns=["shard", "ids", "sequence"])
         sequence = _unpack(sequences["words"].iloc[0])
         number = np.concatenate([_unpack(raw) for raw in numbers["numbers"]])
         ids = np.concatenate([_unpack(raw, "<i8") for raw in numbers["ids"]])
-        order = np.argsort(ids)
+        order = np.argsort(number)  # as they came, so that common words have low numbers
         own = np.zeros(int(max(sequence.max(), number.max())) + 1, dtype=np.int32)
         own[number[order]] = np.arange(1, len(number) + 1)
         sequence = own[sequence]
         # One mark parts pieces as well as many, and the last one ends the text.
         kept = (sequence > 0) | (np.append(0, sequence[:-1]) > 0)
         sequence = np.append(sequence[kept], np.int32(0))
-        index = Index.build(sequence)
         return pd.DataFrame(
-            {
-                "shard": sequences["shard"].iloc[:1], "ids": [_pack(ids[order], "<i8")],
-                "forward": [_pack(index.forward.bwt)], "reverse": [_pack(index.reverse.bwt)],
-            }
+            {"shard": sequences["shard"].iloc[:1], "ids": [_pack(ids[order], "<i8")], "sequence": [_pack(sequence)]}
         )
 
     sequences = read.where("kind = 's'").select("shard", "words")
@@ -360,21 +361,27 @@ def count_phrases(
     def by_shard(rows: DataFrame):  # as many tasks as shards, whatever the session's setting
         return rows.repartition(n_shards, "shard").groupBy("shard")
 
-    indexes = stage(
-        by_shard(sequences).cogroup(by_shard(numbers)).applyInPandas(
-            build, "shard long, ids binary, forward binary, reverse binary"
-        ),
-        "phrase_indexes",
+    # One sequence is kept and moved, not its two transforms: each step makes those it needs.
+    frequent = stage(
+        by_shard(sequences).cogroup(by_shard(numbers)).applyInPandas(build, "shard long, ids binary, sequence binary"),
+        "frequent_sequences",
     )
 
     def opened(row) -> tuple:
-        return _unpack(row.ids, "<i8"), Index(Side.of(_unpack(row.forward)), Side.of(_unpack(row.reverse)))
+        """The ids in order and the sequence of their places, from 1."""
+        import numpy as np
+
+        ids = _unpack(row.ids, "<i8")
+        order = np.argsort(ids)
+        own = np.zeros(len(ids) + 1, dtype=np.int32)
+        own[order + 1] = np.arange(1, len(ids) + 1)
+        return ids[order], own[_unpack(row.sequence)]
 
     def pairs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for row in b.itertuples():
-                ids, index = opened(row)
-                first, second, n = index.pairs()
+                ids, sequence = opened(row)
+                first, second, n = Index(None, Side(sequence[::-1])).pairs()
                 out = _blocks(row.shard, [ids[first - 1], ids[second - 1]], n, n_buckets)
                 yield pd.DataFrame(out, columns=["bucket", "shard", "words", "n"], dtype=object)
 
@@ -393,7 +400,7 @@ def count_phrases(
         return blocks.repartition(2 * n_buckets, "bucket").groupBy("bucket")
 
     pairs = stage(
-        dealt(map_pandas(indexes, pairs_of, BLOCKS)).applyInPandas(sum_pairs, "shard long, first binary, second binary, a binary"),
+        dealt(map_pandas(frequent, pairs_of, BLOCKS)).applyInPandas(sum_pairs, "shard long, first binary, second binary, a binary"),
         "frequent_pairs",
     )
 
@@ -411,7 +418,7 @@ def count_phrases(
         if not len(own) or not len(pairs):
             return pd.DataFrame(columns=columns)
         row = own.iloc[0]
-        ids, index = opened(row)
+        ids, sequence = opened(row)
         width = len(ids) + 1
         first = np.searchsorted(ids, np.concatenate([_unpack(raw, "<i8") for raw in pairs["first"]])) + 1
         second = np.searchsorted(ids, np.concatenate([_unpack(raw, "<i8") for raw in pairs["second"]])) + 1
@@ -422,6 +429,10 @@ def count_phrases(
             at = np.minimum(np.searchsorted(known, key), len(known) - 1)
             return known[at] == key
 
+        sequence = along(sequence, is_known(sequence[:-1].astype(np.int64), sequence[1:]), 3)
+        if not len(sequence):
+            return pd.DataFrame(columns=columns)
+        index = Index.build(sequence)
         words, low, low_reverse, size = index.single()
         held, found = words[None, :], []
         # A second and third word to the right, a fourth to the left, a fifth to the right.
@@ -441,7 +452,7 @@ def count_phrases(
         return pd.DataFrame({"ids": pd.Series(spelt, dtype=object), "a": a[once]})
 
     own_pairs = pairs.where("shard >= 0").select("shard", "first", "second")
-    blocks = by_shard(indexes).cogroup(by_shard(own_pairs)).applyInPandas(longer, BLOCKS)
+    blocks = by_shard(frequent).cogroup(by_shard(own_pairs)).applyInPandas(longer, BLOCKS)
     phrases = (
         words.select(F.array("id").alias("ids"), "a")
         .unionByName(map_pandas(pairs.where("shard = -1").drop("shard"), rows_of, "ids array<long>, a long"))

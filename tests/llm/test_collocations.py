@@ -101,3 +101,22 @@ def test_extensions_both_ways(seed):
         held = np.vstack([old, word]) if right else np.vstack([word, old])
         got.update({tuple(g): int(n) for g, n in zip(held.T.tolist(), size)})
     assert got == want
+
+
+def test_pieces_end_between_words_that_are_not_joined():
+    sequence = np.array([1, 2, 3, 0, 4, 5, 6, 7, 0, 8, 9, 8, 9, 8, 0], dtype=np.int32)
+    joined = np.array([1, 1, 0, 0, 1, 0, 1, 0, 0, 1, 1, 1, 1, 0], dtype=bool)
+    assert co.along(sequence, joined, 3).tolist() == [1, 2, 3, 0, 8, 9, 8, 9, 8, 0]
+    assert co.along(sequence, joined, 2).tolist() == [1, 2, 3, 0, 4, 5, 0, 6, 7, 0, 8, 9, 8, 9, 8, 0]
+    assert not len(co.along(sequence, np.zeros(14, dtype=bool), 2)) and not len(co.along(sequence[:1], joined[:0], 2))
+
+
+def test_no_transform_is_stored(spark, monkeypatch):
+    """A shard's frequent words are staged once: two transforms took twice the room, and again in a shuffle."""
+    staged, own = {}, co.stage
+    monkeypatch.setattr(co, "stage", lambda df, name: staged.setdefault(name, own(df, name)))
+    docs = [(x, t, 1, 2) for x, t in made(3)]
+    df = spark.createDataFrame(docs, "lang string, text string, n int, ids int").repartition(2)
+    assert sorted(map(tuple, co.mine(df, least=20, shard_words=300).collect())) == brute([d[:2] for d in docs], 20, 2000)
+    held = [f.columns for f in staged.values() if "shard" in f.columns and "ids" in f.columns and "kind" not in f.columns]
+    assert held == [["shard", "ids", "sequence"]]
