@@ -10,19 +10,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from strataflow.llm.common import map_pandas, on_path
+from strataflow.llm.common import map_pandas, on_path, release_memory, releasing
 from strataflow.session import stage
 
 #: Bytes that UTF-8 never uses: what stands before a text, and its end.
 BEFORE, END = 0xFE, 0xFF
 
 
+def _lowered(texts: list[str | None]) -> list[bytes]:
+    return [(t or "").encode("utf-8", "replace").lower() for t in texts]
+
+
 def padded(texts: list[str | None], order: int) -> tuple:
     """The lower-cased texts' bytes in a row, each after ``order`` marks and before its end, and the starts."""
+    return _laid(_lowered(texts), order)
+
+
+def _laid(texts: list[bytes], order: int) -> tuple:
     import numpy as np
 
     lead, end = bytes([BEFORE]) * order, bytes([END])
-    parts = [lead + (t or "").encode("utf-8", "replace").lower() + end for t in texts]
+    parts = [lead + t + end for t in texts]
     lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     return np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths
 
@@ -61,12 +69,13 @@ class Trie:
     seen in.  Contexts that were never seen cost nothing.  Last come the bytes
     never seen at all, equally likely.
 
-    ``zero`` gives the counts of level 0 if ``keys`` holds only part of the
-    contexts: contexts that end in the same byte stay together at all other
-    levels, so such a part scores the bytes that follow its contexts.
+    ``pairs``, 65536 numbers, tells after how many different bytes each pair of
+    bytes was seen, if ``keys`` holds only part of the contexts: it gives levels
+    0 and 1, and contexts that end in the same two bytes stay together at all
+    other levels, so such a part scores the bytes that follow its contexts.
     """
 
-    def __init__(self, keys, counts, order: int, zero=None):
+    def __init__(self, keys, counts, order: int, pairs=None):
         import numpy as np
 
         self.order, self.levels = order, []
@@ -80,9 +89,12 @@ class Trie:
                 mask = np.uint64((1 << (8 * (k + 1))) - 1)
                 keys, counts = np.unique(keys & mask, return_counts=True)
                 counts = counts.astype(np.float64)
-            if k == 0 and zero is not None:
-                keys = np.flatnonzero(zero).astype(np.uint64)
-                counts = np.asarray(zero, dtype=np.float64)[np.flatnonzero(zero)]
+            if k == 1 < order and pairs is not None:
+                keys = np.flatnonzero(pairs).astype(np.uint64)
+                counts = np.asarray(pairs, dtype=np.float64)[np.flatnonzero(pairs)]
+            if k == 0 and pairs is not None:
+                keys, counts = np.unique(np.flatnonzero(pairs).astype(np.uint64) & np.uint64(255), return_counts=True)
+                counts = counts.astype(np.float64)
             chances = 2 * counts - 1
             # Keys are sorted, so those of a context stand together.
             own = keys >> np.uint64(8)
@@ -150,11 +162,8 @@ class Trie:
         out[left] -= np.log(max(self.unseen, 1))
         return out
 
-    def log10_of(self, texts: list[str | None], last=None, chunk: int = 200_000):
-        """log10 probability of each whole text, its end included.
-
-        With ``last``, 256 booleans, only of the bytes that follow one of those.
-        """
+    def log10_of(self, texts: list[str | None], chunk: int = 200_000):
+        """log10 probability of each whole text, its end included."""
         import numpy as np
 
         sums, at = [], 0
@@ -167,12 +176,7 @@ class Trie:
             found, counts = _places(codes, starts, lengths, self.order)
             logs = np.zeros(len(found))
             for k in range(0, len(found), chunk):  # a very long text goes through in pieces
-                some = found[k : k + chunk]
-                if last is None:
-                    logs[k : k + chunk] = self.log_probabilities(some)
-                else:
-                    own = np.flatnonzero(last[((some >> np.uint64(8)) & np.uint64(255)).astype(np.int64)])
-                    logs[k + own] = self.log_probabilities(some[own])
+                logs[k : k + chunk] = self.log_probabilities(found[k : k + chunk])
             sums.append(np.add.reduceat(logs, np.cumsum(counts) - counts) / np.log(10))
             at = upto
         return np.concatenate(sums) if sums else np.empty(0)
@@ -246,12 +250,39 @@ def _merged(parts: list) -> tuple:
     return keys[starts], np.add.reduceat(counts, starts).astype(np.int64) if len(starts) else counts
 
 
+#: Buckets of contexts that end in the same two bytes, or in similar ones.
+BUCKETS = 256 * 32
+
+
 def _bucket(keys):
     """The last byte of the context, and a few bits of the byte before it."""
     import numpy as np
 
-    last, before = (keys >> np.uint64(8)) & np.uint64(255), (keys >> np.uint64(16)) & np.uint64(7)
-    return (last * np.uint64(8) + before).astype(np.int64)
+    last, before = (keys >> np.uint64(8)) & np.uint64(255), (keys >> np.uint64(16)) & np.uint64(31)
+    return (last * np.uint64(32) + before).astype(np.int64)
+
+
+def _cut(of, keys) -> tuple:
+    """Sorted keys in the order of the sorted ``of``, with where each of its values begins and ends."""
+    import numpy as np
+
+    by = np.argsort(of, kind="stable")
+    of = of[by]
+    ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of))
+    begins = np.append(0, ends[:-1])
+    return of[begins], by, keys[by], begins, ends
+
+
+def _packed_keys(keys) -> bytes:
+    import numpy as np
+
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(raw: bytes):
+    import numpy as np
+
+    return np.cumsum(_unpacked(raw, "<u8"), dtype=np.uint64)
 
 
 def gather(
@@ -263,6 +294,7 @@ def gather(
     run_grams: int = 1_000_000,
     learn_chars: int = 500_000,
     piece_rows: int = 20_000,
+    piece_docs: int = 1_000,
 ) -> DataFrame:
     """One pass over all texts: what both models learn, and what the base has to look up.
 
@@ -313,23 +345,20 @@ def gather(
         def run():
             keys, times = _merged(learnt)
             learnt.clear()
-            bucket = _bucket(keys)
-            by = np.argsort(bucket, kind="stable")
-            keys, times, bucket = keys[by], times[by], bucket[by]
-            ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
-            begins = np.append(0, ends[:-1])
+            bucket, by, keys, begins, ends = _cut(_bucket(keys), keys)
+            times = times[by]
             return frame(
-                "g", bucket[begins],
+                "g", bucket,
                 n=ends - begins,
-                first=[_packed(np.diff(keys[a:z], prepend=np.uint64(0))) for a, z in zip(begins, ends)],
+                first=[_packed_keys(keys[a:z]) for a, z in zip(begins, ends)],
                 second=[_packed(times[a:z].astype("<i8")) for a, z in zip(begins, ends)],
             )
 
         def close() -> Iterator:
             block = (part << 24) + n_block
             columns = ["doc_id", "text_hash", "held_out", "n_tokens", "first", "second"]
-            for k in range(0, len(rows), piece_rows):
-                yield frame("d", block, **dict(zip(columns, zip(*rows[k : k + piece_rows]))))
+            for k in range(0, len(rows), piece_docs):
+                yield frame("d", block, **dict(zip(columns, zip(*rows[k : k + piece_docs]))))
             listed = list(vocabulary)
             for k in range(0, len(listed), piece_rows):
                 some = listed[k : k + piece_rows]
@@ -376,21 +405,19 @@ def gather(
 
     columns = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), held_out.alias("held_out"), "text")
     on_path(docs.sparkSession)
-    return stage(columns.mapInArrow(step, schema), "language_model_counts")
+    return stage(columns.mapInArrow(releasing(step), schema), "language_model_counts")
 
 
 def gram_buckets(gathered: DataFrame) -> DataFrame:
     """block (bucket), n, first (keys) and second (counts), one row per bucket, summed over all tasks."""
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
         parts: list = []
         now = None
 
         def close() -> pd.DataFrame:
             keys, counts = _merged(parts)
-            packed = _packed(np.diff(keys, prepend=np.uint64(0))), _packed(counts.astype("<i8"))
+            packed = _packed_keys(keys), _packed(counts.astype("<i8"))
             return pd.DataFrame({"block": [now], "n": [len(keys)], "first": [packed[0]], "second": [packed[1]]})
 
         for b in batches:
@@ -399,7 +426,7 @@ def gram_buckets(gathered: DataFrame) -> DataFrame:
                     yield close()
                     parts = []
                 now = bucket
-                parts.append((np.cumsum(_unpacked(first, "<u8"), dtype=np.uint64), _unpacked(second, "<i8")))
+                parts.append((_unpacked_keys(first), _unpacked(second, "<i8")))
                 if len(parts) >= 64:
                     parts = [_merged(parts)]
         if parts:
@@ -407,7 +434,7 @@ def gram_buckets(gathered: DataFrame) -> DataFrame:
 
     rows = gathered.where("kind = 'g'").select("block", "first", "second")
     dealt = rows.repartition("block").sortWithinPartitions("block")
-    return stage(map_pandas(dealt, step, "block long, n long, first binary, second binary"), "grams")
+    return stage(map_pandas(dealt, releasing(step), "block long, n long, first binary, second binary"), "grams")
 
 
 def base_scores(gathered: DataFrame) -> DataFrame:
@@ -433,6 +460,7 @@ def base_scores(gathered: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        release_memory()  # of the block before
         number = counts.column("number").to_numpy()
         c = np.zeros(int(number.max()) + 1 if len(number) else 1, dtype=np.float64)
         c[number] = counts.column("c").to_numpy()
@@ -458,78 +486,261 @@ def base_scores(gathered: DataFrame) -> DataFrame:
     )
 
 
-_TRIES: dict[str, tuple] = {}
+def _class(counts):
+    """Counts in classes, eight for each doubling."""
+    import numpy as np
+
+    return np.floor(8 * np.log2(counts)).astype(np.int64)
 
 
-def trie_scores(docs: DataFrame, buckets: DataFrame, *, order: int, max_grams: int = 6_000_000) -> DataFrame:
-    """doc_id, text_hash and score of every row: log10 probability of its whole text.
+def _summary(buckets: DataFrame) -> tuple:
+    """After how many different bytes each pair of bytes was seen, and the number of grams of each class of counts."""
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
+        pairs, classes = np.zeros(1 << 16, dtype=np.int64), np.zeros(512, dtype=np.int64)
+        for b in batches:
+            for first, second in zip(b["first"], b["second"]):
+                # All grams with the same last three bytes are in one bucket.
+                three = np.unique(_unpacked_keys(first) & np.uint64(0xFFFFFF))
+                pairs += np.bincount((three & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
+                classes += np.bincount(_class(_unpacked(second, "<i8")), minlength=512)
+        n = np.concatenate([pairs, classes])
+        seen = np.flatnonzero(n)
+        yield pd.DataFrame({"place": seen, "n": n[seen]})
 
-    The trie is broadcast in parts of at most ``max_grams`` grams (or the
-    contexts of one last byte), and a part scores the bytes that follow its
-    contexts; the parts are added up as the rows pass, so a trie of any size is
-    used whole.
-    """
     import numpy as np
 
-    spark = docs.sparkSession
-    sizes = buckets.groupBy(F.shiftright("block", 3).alias("last")).agg(F.sum("n").alias("n")).orderBy("last").collect()
-    parts: list[list[int]] = [[]]
-    held = 0
-    for r in sizes:  # 256 rows at most
-        if parts[-1] and held + r.n > max_grams:
-            parts.append([])
-            held = 0
-        parts[-1].append(r.last)
-        held += r.n
-    zero = np.zeros(256)
-    loaded = []
-    for part in parts:
-        rows = buckets.where(F.shiftright("block", 3).isin(part)).select("first", "second").toArrow() if part else None
-        packed = list(zip(rows["first"].to_pylist(), rows["second"].to_pylist())) if rows is not None else []
-        # Level 0 counts a byte once for each byte it was seen after.
-        pairs = [np.unique(np.cumsum(_unpacked(f, "<u8"), dtype=np.uint64) & np.uint64(0xFFFF)) for f, _ in packed]
-        for last_two in np.unique(np.concatenate(pairs)).tolist() if pairs else ():
-            zero[last_two & 255] += 1
-        loaded.append(spark.sparkContext.broadcast(packed))
-    columns = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", F.lit(0.0).alias("score"))
-    for n, (part, sent) in enumerate(zip(parts, loaded)):
-        # Bytes after contexts that were never seen go with the last part.
-        end = n == len(parts) - 1
-        own = np.isin(np.arange(256), [x for p in parts[:-1] for x in p], invert=True) if end else np.isin(np.arange(256), part)
-        columns = _add_scores(columns, sent, order, zero, None if len(parts) == 1 else own, keep_text=not end)
-    return columns.select("doc_id", "text_hash", "score")
-
-
-def _add_scores(columns: DataFrame, sent, order: int, zero, last, keep_text: bool) -> DataFrame:
-    """``columns`` with the scores of a trie's part added; without the text after the last part."""
-    spark = columns.sparkSession
-    name = f"{spark.sparkContext.applicationId}-{sent._jbroadcast.id()}"
-    kept = [c for c in columns.columns if keep_text or c != "text"]
-    schema = ", ".join(f"{c} {columns.schema[c].dataType.simpleString()}" for c in kept)
+    every = np.zeros((1 << 16) + 512, dtype=np.int64)
+    added = map_pandas(buckets.select("first", "second"), step, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    for r in added.collect():  # at most one row a place
+        every[r.place] = r.n
+    return every[: 1 << 16], every[1 << 16 :]
+
+
+def _answers(rows: DataFrame, order: int, pairs) -> DataFrame:
+    """block, part, first (grams) and second (their log probabilities) for each row of ``rows`` with a block.
+
+    The rows of a part without a block hold the part's grams and counts.
+    """
+    schema = "block long, part int, first binary, second binary"
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
+    def step(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        now, trie, held = None, None, 0
+        learnt: list = []
+        waiting: list = []
+
+        def answer():
+            nonlocal trie
+            if trie is None:
+                keys, counts = zip(*learnt) if learnt else ([np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)])
+                learnt.clear()
+                trie = Trie(np.concatenate(keys), np.concatenate(counts), order, pairs)
+            wanted = [_unpacked_keys(first) for _, first in waiting]
+            logs = trie.log_probabilities(np.concatenate(wanted))
+            ends = np.cumsum([len(w) for w in wanted])
+            own = [[block for block, _ in waiting], [now] * len(waiting), [first for _, first in waiting]]
+            own.append([_packed(logs[z - len(w) : z]) for w, z in zip(wanted, ends)])
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(own, fields)], schema=fields)
+
+        for b in batches:
+            for part, block, first, second in zip(*(c.to_pylist() for c in b.columns)):
+                if part != now:
+                    if waiting:
+                        yield answer()
+                    now, trie, held = part, None, 0
+                    learnt.clear()
+                if block is None:
+                    learnt.append((_unpacked_keys(first), _unpacked(second, "<i8")))
+                    continue
+                waiting.append((block, first))
+                held += len(first)
+                if held >= 500_000:
+                    yield answer()
+                    held = 0
+        if waiting:
+            yield answer()
+
+    on_path(rows.sparkSession)
+    dealt = rows.select("part", "block", "first", "second").repartition("part")
+    return dealt.sortWithinPartitions("part", F.asc_nulls_first("block")).mapInArrow(releasing(step), schema)
+
+
+def _frequent(trie: DataFrame, from_class: int) -> DataFrame:
+    """part, block (-1), first and second (NULL): the trie's grams whose counts are of ``from_class`` or above."""
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for part, first, second in zip(b["part"], b["first"], b["second"]):
+                keys = _unpacked_keys(first)[_class(_unpacked(second, "<i8")) >= from_class]
+                if len(keys):
+                    out.append((part, -1, _packed_keys(keys), None))
+            yield pd.DataFrame(out, columns=["part", "block", "first", "second"])
+
+    return map_pandas(trie.select("part", "first", "second"), step, "part int, block long, first binary, second binary")
+
+
+def _blocks(docs: DataFrame, frequent, part_of: list[int], *, order: int, block_bytes: int, block_rare: int) -> DataFrame:
+    """Blocks of texts: what the frequent grams give each, and the places of the others among the block's.
+
+    A row with doc_id is a piece of a block: ids, hashes and sums (natural logs)
+    of its texts, with the numbers of their other grams and how many each has.
+    The other rows hold the block's different other grams, numbered through its
+    parts of the trie in order.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = (
+        f"block long, part int, doc_id array<{id_type}>, text_hash array<long>, score array<double>, "
+        "first binary, second binary"
+    )
+    fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def step(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        task, parts = TaskContext.get().partitionId(), np.array(part_of)
+        own = frequent.value
+        table = Lookup(np.concatenate([np.empty(0, dtype=np.uint64), *(_unpacked_keys(f) for f, _ in own)]))
+        logs = np.concatenate([*(_unpacked(s, "<f8") for _, s in own), [0.0]])
+        n_block = held = n_rare = 0
+        pieces: list = []
+
+        def frame(**values):
+            n = len(next(iter(values.values())))
+            values["block"] = [(task << 24) + n_block] * n
+            columns = [pa.array(values[f.name], f.type) if f.name in values else pa.nulls(n, f.type) for f in fields]
+            return pa.RecordBatch.from_arrays(columns, schema=fields)
+
+        def close() -> Iterator:
+            keys, numbers = np.unique(np.concatenate([rare for *_, rare, _ in pieces]), return_inverse=True)
+            if len(keys):
+                part = parts[_bucket(keys)]
+                by = np.argsort(part, kind="stable")
+                place = np.empty(len(by), dtype=np.uint32)
+                place[by] = np.arange(len(by), dtype=np.uint32)
+                numbers = place[numbers]
+                part, _, keys, begins, ends = _cut(part, keys)
+                yield frame(part=part, first=[_packed_keys(keys[a:z]) for a, z in zip(begins, ends)])
+            at = 0
+            for ids, hashes, sums, rare, times in pieces:
+                some = numbers[at : at + len(rare)].astype("<u4")
+                at += len(rare)
+                yield frame(
+                    doc_id=[ids], text_hash=[hashes], score=[sums], first=[_packed(some)], second=[_packed(times.astype("<i8"))]
+                )
 
-        from strataflow.llm import ppm
-
-        if name not in ppm._TRIES:
-            ppm._TRIES.clear()  # one part a process at a time
-            own = [(np.cumsum(ppm._unpacked(f, "<u8"), dtype=np.uint64), ppm._unpacked(s, "<i8")) for f, s in sent.value]
-            keys = np.concatenate([k for k, _ in own]) if own else np.empty(0, dtype=np.uint64)
-            counts = np.concatenate([c for _, c in own]) if own else np.empty(0, dtype=np.int64)
-            del own
-            ppm._TRIES[name] = ppm.Trie(keys, counts, order, zero)
-            del keys, counts
-        trie = ppm._TRIES[name]
         for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                own = dict(zip(b.schema.names, b.slice(at, 2000).columns))
-                score = own["score"].to_numpy() + trie.log10_of(own["text"].to_pylist(), last)
-                yield pa.RecordBatch.from_arrays([pa.array(score) if c == "score" else own[c] for c in kept], names=kept)
+            ids, hashes, texts = b.columns
+            sizes, at = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)), 0
+            while at < b.num_rows:
+                before = sizes[at - 1] if at else 0
+                n = max(int(np.searchsorted(sizes, before + 500_000)) - at, 1)
+                sums, rare, times = _frequent_sums(_lowered(texts.slice(at, n).to_pylist()), table, logs, order)
+                pieces.append((ids.slice(at, n).to_pylist(), hashes.slice(at, n).to_pylist(), sums, rare, times))
+                held, n_rare = held + sizes[at + n - 1] - before, n_rare + len(rare)
+                at += n
+                if held >= block_bytes or n_rare >= block_rare:
+                    yield from close()
+                    n_block, held, n_rare, pieces = n_block + 1, 0, 0, []
+        if pieces:
+            yield from close()
+
+    on_path(docs.sparkSession)
+    columns = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return stage(columns.mapInArrow(releasing(step), schema), "language_model_blocks")
+
+
+def _frequent_sums(texts: list[bytes], table: Lookup, logs, order: int, chunk: int = 200_000) -> tuple:
+    """What the table's grams add to each text; the other grams in their order, and how many each text has."""
+    import numpy as np
 
-    on_path(spark)
-    return columns.mapInArrow(step, schema)
+    codes, starts, _ = _laid(texts, order)
+    sums, times, rare = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64), []
+    for k in range(0, len(codes) - order, chunk):  # a very long text goes through in pieces
+        found = grams(codes[k : k + chunk + order], order)
+        seen, at = table.find(found)
+        a, z = np.searchsorted(starts, k, "right") - 1, np.searchsorted(starts, k + len(found))
+        begins = np.maximum(starts[a:z] - k, 0)
+        sums[a:z] += np.add.reduceat(np.where(seen, logs[at], 0.0), begins)
+        # Not the places whose byte is a mark before the next text.
+        left = ~seen & ((found & np.uint64(255)) != BEFORE)
+        times[a:z] += np.add.reduceat(left, begins, dtype=np.int64)
+        rare.append(found[left])
+    return sums, np.concatenate(rare), times
+
+
+def trie_scores(
+    docs: DataFrame,
+    buckets: DataFrame,
+    *,
+    order: int,
+    max_grams: int = 250_000,
+    frequent_grams: int = 1 << 19,
+    block_bytes: int = 16 << 20,
+    block_rare: int = 2_000_000,
+) -> DataFrame:
+    """doc_id, text_hash and score of every row: log10 probability of its whole text.
+
+    At most ``frequent_grams`` grams, the most frequent, are broadcast with their
+    log probabilities, and added up as the texts pass.  For all others a block of
+    texts asks once each: they meet the trie by the end of the context, in parts
+    of at most ``max_grams`` grams of the trie (or one bucket), and the answers
+    go back to the block, so the whole trie is used and no task holds it.
+    """
+    spark = docs.sparkSession
+    sizes = {r.block: r.n for r in buckets.select("block", "n").collect()}  # at most BUCKETS rows
+    part_of, held = [0], sizes.get(0, 0)
+    for bucket in range(1, BUCKETS):
+        held += sizes.get(bucket, 0)
+        over = held > max_grams and bucket in sizes
+        part_of.append(part_of[-1] + over)
+        held = sizes[bucket] if over else held
+    pairs, classes = _summary(buckets)
+    from_class = len(classes)
+    while from_class and classes[from_class - 1 :].sum() <= frequent_grams:
+        from_class -= 1
+
+    part_rows = spark.createDataFrame(list(enumerate(part_of)), "block long, part int")
+    trie = buckets.join(F.broadcast(part_rows), "block").select("part", F.lit(None).cast("long").alias("block"), "first", "second")
+    frequent = _answers(trie.unionByName(_frequent(trie, from_class)), order, pairs).toArrow()
+    sent = spark.sparkContext.broadcast(list(zip(frequent["first"].to_pylist(), frequent["second"].to_pylist())))
+
+    rows = _blocks(docs, sent, part_of, order=order, block_bytes=block_bytes, block_rare=block_rare)
+    asked = rows.where("doc_id IS NULL").select("part", "block", "first", F.lit(None).cast("binary").alias("second"))
+    answers = _answers(trie.unionByName(asked), order, pairs).select("block", "part", "second")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def add_up(own, answers):
+        import numpy as np
+        import pyarrow as pa
+
+        release_memory()  # of the block before
+        by_part = sorted(zip(answers["part"].to_pylist(), answers["second"].to_pylist()))
+        logs = np.concatenate([_unpacked(second, "<f8") for _, second in by_part]) if by_part else np.empty(0)
+        scores = []
+        for sums, first, second in zip(own["score"], own["first"], own["second"]):
+            sums, times = sums.values.to_numpy(), _unpacked(second.as_py(), "<i8")
+            rare = np.bincount(np.repeat(np.arange(len(sums)), times), logs[_unpacked(first.as_py(), "<u4")], len(sums))
+            scores.append((sums + rare) / np.log(10))
+        ids, hashes = (pa.concat_arrays([x.values for x in own[c]]) for c in ("doc_id", "text_hash"))
+        return pa.table({"doc_id": ids, "text_hash": hashes, "score": np.concatenate(scores)})
+
+    texts = rows.where("doc_id IS NOT NULL").select("block", "doc_id", "text_hash", "score", "first", "second")
+    return (
+        texts.groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(add_up, f"doc_id {id_type}, text_hash long, score double")
+    )
 
 
 def score(docs: DataFrame, held_out: Column, *, order: int = 5) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,48 @@ def test_large_ids_stay_exact_beside_null(spark):
     ids = [2**53 + 1, 2**53 + 2, None]
     df = spark.createDataFrame([(i, "same text", 0.0, 1, "x") for i in ids], SCHEMA).coalesce(1)
     assert {r.doc_id for r in ppm.score(df, F.lit(False), order=2).collect()} == set(ids)
+
+
+@pytest.mark.parametrize("frequent", [0, 40, 1 << 19])
+def test_no_process_holds_the_trie(spark, monkeypatch, frequent):
+    """Frequent grams by broadcast, the others by parts: the slow model's scores, and only bounded rows on the driver."""
+    df = spark.createDataFrame([(i, t, 0.0, 1, "x") for i, t in ROWS * 3 + [(7, "unseen ÿ wörds"), (8, "the " * 60_000)]], SCHEMA)
+    learnt = [t or "" for i, t in ROWS * 3 if i is not None and i != 5]
+    buckets = ppm.gram_buckets(ppm.gather(df, (F.col("doc_id") == 5) | F.col("doc_id").isin(7, 8), order=4))
+    grams = buckets.agg(F.sum("n")).first()[0]
+    sent = []
+    plain = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: sent.append(v) or plain(self, v))
+    scored = ppm.trie_scores(df, buckets, order=4, max_grams=30, frequent_grams=frequent, block_bytes=500, block_rare=50)
+    got = sorted((r.doc_id or -1, r.score) for r in scored.collect())
+    held = sum(len(ppm._unpacked_keys(keys)) for rows in sent for keys, _ in rows)
+    assert held <= frequent if frequent < grams else held == grams
+    asked = [*ROWS * 3, (7, "unseen ÿ wörds"), (8, "the " * 60_000)]
+    want = sorted((i or -1, slow_log10(t or "", learnt, 4)) for i, t in asked)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want])
+
+
+def test_idle_workers_give_memory_back(spark):
+    """A worker that has ended a task keeps little of what the task held."""
+    from strataflow.llm.common import on_path, releasing
+
+    def anonymous() -> int:
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) >> 10 for line in f if line.startswith("Anonymous:"))
+
+    def hold(batches):
+        yield from batches
+        # Small blocks, freed but for the last, which keeps the heap from shrinking at its end.
+        held = [np.ones(2000) for _ in range(10_000)]
+        ppm.kept = held[-1]
+
+    def ask(batches):
+        for b in batches:
+            yield pd.DataFrame({"mb": [anonymous()] * len(b)})
+
+    on_path(spark)
+    one = spark.range(1).coalesce(1)
+    before = one.mapInPandas(ask, "mb long").first().mb
+    one.mapInPandas(releasing(hold), "id long").collect()
+    assert one.mapInPandas(ask, "mb long").first().mb < before + 100
