@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
 from collections.abc import Iterator
 
@@ -33,14 +34,13 @@ from strataflow.session import new_path, stage
 MAGIC = b"TOK1"
 HEAD = "<4sB32sI"
 ENTRY = "<QI"
-#: Stands between the words sent to the tokenizer at once; words that hold it go alone.
-MARK = "\x01"
 #: The only split for which texts are known to be rows of words: no part holds white space.
 WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Bytes above which a word is encoded each time it occurs.
+LONG = 256
 
-_WORDS: dict[bytes, bytes] = {}
 _TOKENIZER: dict[str, object] = {}
-_WHOLE: dict[str, list | None] = {}
+_WORDS: dict[tuple[str, int], tuple[Words, list[bytes] | None]] = {}
 
 
 def tokenizer(path: str):
@@ -58,6 +58,11 @@ def tokenizer(path: str):
     return _TOKENIZER[path]
 
 
+def _steps(file: dict, part: str, inner: str) -> list[dict]:
+    found = file.get(part) or {}
+    return found.get(inner, []) if found.get("type") == "Sequence" else [found]
+
+
 def whole_texts_only(own) -> list[bytes] | None:
     """What makes a text go to the tokenizer whole: bytes that its lower-cased form holds.
 
@@ -65,12 +70,7 @@ def whole_texts_only(own) -> list[bytes] | None:
     all white space before anything else: then no text is a row of words.
     """
     file = json.loads(own.to_str())
-
-    def steps(part: str, inner: str) -> list[dict]:
-        found = file.get(part) or {}
-        return found.get(inner, []) if found.get("type") == "Sequence" else [found]
-
-    normal, split = steps("normalizer", "normalizers"), steps("pre_tokenizer", "pretokenizers")
+    normal, split = _steps(file, "normalizer", "normalizers"), _steps(file, "pre_tokenizer", "pretokenizers")
     folds = [n.get("type") for n in normal] == ["NFC", "Replace", "Lowercase"] and normal[1]["pattern"] == {"Regex": r"\s+"}
     parts = split[0].get("type") == "Split" and split[0]["behavior"] == "Removed" and split[0]["invert"]
     if not (folds and parts and split[0]["pattern"] == {"Regex": WORD_PARTS}) or file.get("post_processor") or file.get("truncation"):
@@ -78,75 +78,104 @@ def whole_texts_only(own) -> list[bytes] | None:
     return [t["content"].lower().encode() for t in file["added_tokens"]]
 
 
-def encode_words(own, wanted: list[bytes], kind: str) -> Iterator[tuple[bytes, bytes]]:
-    """Each word with its serialized ids; many words go to the tokenizer as one text."""
-    import numpy as np
+def spellings(own) -> tuple[dict[str, str], dict[str, str]]:
+    """Letters and ASCII symbols with the form in which the tokenizer's model gets each.
+
+    Both are asked of the tokenizer: a letter is what makes one part with the
+    letters around it and is spelled there as alone.  No two characters of these
+    ranges compose.  None at all if texts are no rows of words for the tokenizer,
+    or parts are not simply spelled byte by byte.
+    """
+    if whole_texts_only(own) is None:
+        return {}, {}
+    rest = _steps(json.loads(own.to_str()), "pre_tokenizer", "pretokenizers")[1:]
+    if [(r.get("type"), r.get("add_prefix_space"), r.get("use_regex")) for r in rest] != [("ByteLevel", False, False)]:
+        return {}, {}
+
+    def parts(text: str) -> list[str]:
+        return [p for p, _ in own.pre_tokenizer.pre_tokenize_str(own.normalizer.normalize_str(text))]
+
+    def like(some: Iterator[str], beside: str) -> dict[str, str]:
+        alone = [(c, parts(c)) for c in some]
+        return {c: p[0] for c, p in alone if len(p) == 1 and parts(beside + c + beside) == [beside + p[0] + beside]}
 
-    def ids(text: str):
-        return np.array(own.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=kind)
+    letters = like(map(chr, (*range(0x61, 0x7B), *range(0x80, 0x900), *range(0x1E00, 0x2000))), "a")
+    return letters, like((chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()), "%")
 
-    mark = ids(MARK)
-    plain = [w for w in wanted if b"\x01" not in w] if len(mark) == 1 else []
-    for w in wanted if len(mark) != 1 else (w for w in wanted if b"\x01" in w):
-        yield w, ids(w.decode()).tobytes()
-    for at in range(0, len(plain), 20_000):
-        some = plain[at : at + 20_000]
-        got = ids("".join(f"{w.decode()} {MARK} " for w in some))
-        ends = np.flatnonzero(got == mark[0])
-        raw, size, begin = got.tobytes(), got.itemsize, 0
-        for w, end in zip(some, ends.tolist(), strict=True):
-            yield w, raw[begin * size : end * size]
-            begin = end + 1
+
+class Words(dict):
+    """Words, lower-cased in ASCII, with their serialized ids; each is encoded when first asked for.
+
+    The tokenizer splits a word into the parts of ``WORD_PARTS`` and its model
+    encodes each by itself, so a word of known letters, digits and symbols is
+    split here and only parts not met before go to the model: that spares the
+    tokenizer's normalizer and pattern, which cost far more.  Any other word goes
+    to the tokenizer.  At most ``max_words`` words and parts are remembered, then
+    the memory starts anew; words above ``LONG`` bytes are not remembered.
+    """
+
+    def __init__(self, own, width: int):
+        super().__init__()
+        self.own, self.model, self.width, self.max_words = own, own.model, width, 0
+        letters, symbols = spellings(own)
+        self.spell = {ord(c): s for c, s in (letters | symbols).items()}
+        self.known = self.parts = None
+        if letters and symbols:
+            a, s = ("".join(map(re.escape, x)) for x in (letters, symbols))
+            self.known = re.compile(f"[{a}0-9{s}]+").fullmatch
+            self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{a}]+|[0-9]|[{s}]+").findall
+
+    def keep(self, word: bytes, raw: bytes) -> bytes:
+        if len(self) >= self.max_words:
+            self.clear()
+        self[word] = raw
+        return raw
+
+    def part(self, text: str) -> bytes:
+        word = text.encode()
+        raw = self.get(word)
+        if raw is None:
+            ids = [t.id for t in self.model.tokenize(text.translate(self.spell))]
+            raw = self.keep(word, struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids))
+        return raw
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if len(word) > LONG:
+            return self.whole(text)
+        if self.known is None or not self.known(text):
+            return self.keep(word, self.whole(text))
+        parts = self.parts(text)
+        return self.part(text) if len(parts) == 1 else self.keep(word, b"".join(map(self.part, parts)))
+
+    def whole(self, text: str) -> bytes:
+        import numpy as np
+
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
 
 
 def encode_texts(texts: list[str | None], path: str, width: int, end_id: int, max_words: int) -> list[bytes]:
     """The serialized ids of whole texts, each with the end id.
 
     The tokenizer drops white space and never joins across it, and it folds
-    letter case, so a text's ids are those of its space-separated words in turn,
-    and a word's are those of its letters and of a final full stop or comma.
-    Each distinct word is encoded once; at most ``max_words`` are remembered,
-    then the memory starts anew.  A text that spells an added token goes to the
-    tokenizer whole, as all texts do if the file is of another kind.
+    letter case, so a text's ids are those of its space-separated words in turn.
+    At most ``max_words`` words are remembered.  A text that spells an added
+    token goes to the tokenizer whole, as all texts do if the file is of another
+    kind.
     """
-    own, kind = tokenizer(path), f"<u{width}"
-    end = end_id.to_bytes(width, "little")
-    if path not in _WHOLE:
-        _WHOLE.clear()
-        _WHOLE[path] = whole_texts_only(own)
-    added = _WHOLE[path]
-
-    def plain(text: str) -> bytes:
-        import numpy as np
-
-        return np.array(own.encode(text, add_special_tokens=False).ids, dtype=kind).tobytes() + end
-
-    out, at = [], 0
-    while at < len(texts):  # some megabytes at a time
-        split, n = [], 0
-        while at < len(texts) and n < 4_000_000:
-            text = texts[at] or ""
-            folded = text.encode().lower()
-            n += len(folded)
-            at += 1
-            if added is None or any(a in folded for a in added):
-                split.append(text)
-            else:
-                split.append(folded.split())
-        wordy = [ws for ws in split if isinstance(ws, list)]
-        distinct = set().union(*wordy)
-        missing = distinct.difference(_WORDS)
-        if len(_WORDS) + len(missing) > max_words:
-            _WORDS.clear()
-            missing = distinct
-        # A full stop or comma after a letter is a token of its own: the word before it is shared.
-        ended = [w for w in missing if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalpha()]
-        missing.difference_update(ended)
-        missing.update(x for w in ended for x in (w[:-1], w[-1:]) if x not in _WORDS)
-        _WORDS.update(encode_words(own, list(missing), kind))
-        _WORDS.update([(w, _WORDS[w[:-1]] + _WORDS[w[-1:]]) for w in ended])
-        get = _WORDS.__getitem__
-        out += [b"".join(map(get, ws)) + end if isinstance(ws, list) else plain(ws) for ws in split]
+    own, end = tokenizer(path), end_id.to_bytes(width, "little")
+    if (path, width) not in _WORDS:
+        _WORDS.clear()
+        _WORDS[path, width] = Words(own, width), whole_texts_only(own)
+    words, added = _WORDS[path, width]
+    words.max_words = max_words
+    get, out = words.__getitem__, []
+    for text in texts:
+        folded = (text or "").encode().lower()
+        if added is None or any(a in folded for a in added):
+            out.append(words.whole(text or "") + end)
+        else:
+            out.append(b"".join(map(get, folded.split())) + end)
     return out
 
 

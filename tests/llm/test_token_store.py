@@ -81,3 +81,40 @@ def test_tokenizers_that_do_not_drop_white_space():
         assert [np.frombuffer(r, dtype="<u4").tolist() for r in raw] == want, file.name
     assert seen
     token_store.tokenizer(tokenizer_file())
+
+
+def test_words_of_known_letters_go_to_the_model(monkeypatch):
+    own, called = token_store.tokenizer(tokenizer_file()), []
+
+    class Watched:
+        def __getattr__(self, name):
+            called.extend([name] if name.startswith("encode") else [])
+            return getattr(own, name)
+
+    monkeypatch.setattr(token_store, "tokenizer", lambda path: Watched())
+    monkeypatch.setattr(token_store, "_WORDS", {})
+    texts = ["Éöü Straße, it's we'll 'x'sy %'s 12.5% größer%%%|= ΣΑΣ жЁ", f"one {'a' * 256} Élan."]
+    raw = token_store.encode_texts(texts, tokenizer_file(), 2, 1, 1000)
+    assert [np.frombuffer(r, dtype="<u2").tolist() for r in raw] == [plain(t) for t in texts]
+    assert not called  # neither the normalizer nor the pattern of the tokenizer ran
+
+
+def test_words_of_all_kinds(monkeypatch):
+    import random
+
+    monkeypatch.setattr(token_store, "_WORDS", {})
+    pick = random.Random(6)
+    own = token_store.tokenizer(tokenizer_file())
+    letters, symbols = token_store.spellings(own)
+    assert set("aéßжω") < set(letters) and not set("İ1'̣̈") & set(letters) and len(symbols) == 32
+    kinds = [
+        "abst'lvermd.,%ÉéßS9ſKİ", "aeọ́̈ͅ'z", "각가각'a1", "\x01\x1c\x7f\x85\xa0　'sa٣²Ⅷ",
+        "".join([*letters, *symbols]), [chr(c) for c in range(0x21, 0x3100)],
+    ]
+    texts = [" ".join("".join(pick.choices(kind, k=pick.randint(1, 9))) for _ in range(200)) for kind in kinds for _ in range(20)]
+    texts += ["é" * 128 + " " + "é" * 129 + ". " + "漢" * 500 + " " + "é" * 129 + "."]
+    want = [[*own.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    for width, kind in ((2, "<u2"), (4, "<u4")):
+        raw = token_store.encode_texts(texts, tokenizer_file(), width, 1, 3000)
+        assert [np.frombuffer(r, dtype=kind).tolist() for r in raw] == want
+    assert len(token_store._WORDS) == 1 and all(len(w) <= 3000 for w, _ in token_store._WORDS.values())
