@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import map_pandas
+from strataflow.llm.common import map_pandas, release_memory, releasing
 from strataflow.session import new_path, stage
 
 MAGIC = b"TOK1"
@@ -179,6 +179,12 @@ def encode_texts(texts: list[str | None], path: str, width: int, end_id: int, ma
     return out
 
 
+def forget_words() -> None:
+    """Give back what the words that this Python worker has met take up."""
+    _WORDS.clear()
+    release_memory()
+
+
 def _widths(path: str, end_id: int) -> int:
     return 2 if max(tokenizer(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
@@ -237,7 +243,7 @@ def write_tokens(
 
     columns = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    tokens = stage(map_pandas(columns, encode, f"doc_id {id_type}, _hash long, ids binary"), "token_ids")
+    tokens = stage(map_pandas(columns, releasing(encode), f"doc_id {id_type}, _hash long, ids binary"), "token_ids")
     content, n_samples = _dictionary(tokens, max_samples, sample_bytes, dict_bytes)
     sha = hashlib.sha256(content).digest()
 
@@ -245,6 +251,7 @@ def write_tokens(
         import zstandard
         from pyspark import TaskContext
 
+        forget_words()  # all texts are encoded by now
         shared = zstandard.ZstdCompressionDict(content) if content else None
         press = zstandard.ZstdCompressor(level=level, dict_data=shared)
         part = TaskContext.get().partitionId()
@@ -283,7 +290,7 @@ def write_tokens(
     ordered = tokens.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
     schema = f"part int, block int, ids array<{id_type}>, first long, n_tokens long, payload binary"
     ends = {"first_id": F.array_min("ids"), "last_id": F.array_max("ids")}
-    map_pandas(ordered, pack, schema).withColumns(ends).write.parquet(f"{path}/blocks")
+    map_pandas(ordered, releasing(pack), schema).withColumns(ends).write.parquet(f"{path}/blocks")
     spark.createDataFrame(
         [(sha.hex(), width, n_samples, bytearray(content))], "dict_sha256 string, width int, n_samples int, content binary"
     ).write.parquet(f"{path}/dictionary")

@@ -118,3 +118,11 @@ def test_words_of_all_kinds(monkeypatch):
         raw = token_store.encode_texts(texts, tokenizer_file(), width, 1, 3000)
         assert [np.frombuffer(r, dtype=kind).tolist() for r in raw] == want
     assert len(token_store._WORDS) == 1 and all(len(w) <= 3000 for w, _ in token_store._WORDS.values())
+
+
+def test_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_store, "_WORDS", {})
+    raw = token_store.encode_texts(["some words"], tokenizer_file(), 2, 1, 100)
+    assert token_store._WORDS
+    token_store.forget_words()
+    assert not token_store._WORDS and token_store.encode_texts(["some words"], tokenizer_file(), 2, 1, 100) == raw
