@@ -51,6 +51,16 @@ def _unpack(raw: bytes, kind: str = "<i4"):
     return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """``rows`` for a sort-merge join, whatever their size is taken for.
+
+    The planner knows a staged table by its files, which for alike ids are a
+    small part of its rows, and does not count what an explosion adds: it would
+    broadcast through the driver a table that grows with the texts.
+    """
+    return rows.hint("merge")
+
+
 def read_shards(docs: DataFrame, shard_words: int, n_buckets: int) -> DataFrame:
     """The documents' words as numbers, in shards of about ``shard_words``; staged.
 
@@ -458,7 +468,7 @@ def count_phrases(
         .unionByName(map_pandas(pairs.where("shard = -1").drop("shard"), rows_of, "ids array<long>, a long"))
         .unionByName(dealt(blocks).applyInPandas(sum_longer, "ids array<long>, a long"))
     )
-    with_lang = phrases.join(words.select(F.col("id").alias("_first"), "lang"), F.col("ids")[0] == F.col("_first"))
+    with_lang = phrases.join(_merged(words.select(F.col("id").alias("_first"), "lang")), F.col("ids")[0] == F.col("_first"))
     totals = stage(summed.where("kind = 't'").groupBy("lang").agg(F.sum("a").alias("n")), "words_a_lang")
     return (
         words.select("lang", "id", "word"),
@@ -488,7 +498,7 @@ def mine(docs: DataFrame, *, least: int = 100, percent: int = 100, top: int = 20
         .select(F.explode(F.array(F.slice("ids", 1, length - 1), F.slice("ids", F.lit(2), length - 1))).alias("ids"), "a")
         .groupBy("ids").agg(F.max("a").alias("around"))
     )
-    left = longer.join(around, "ids", "left").where(
+    left = longer.join(_merged(around), "ids", "left").where(
         F.col("around").isNull() | (F.lit(100) * F.col("around") < F.lit(percent) * F.col("a"))
     )
     cuts = left.drop("around").withColumn("k", F.explode(F.sequence(F.lit(1), length - 1)))
@@ -497,7 +507,7 @@ def mine(docs: DataFrame, *, least: int = 100, percent: int = 100, top: int = 20
     exact = "cast(a as decimal(17, 0)) * 1000 * cast(n as decimal(17, 0)) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))"
     scored = (
         cuts.withColumns({"_left": F.slice("ids", F.lit(1), F.col("k")), "_right": F.slice("ids", F.col("k") + 1, length - F.col("k"))})
-        .join(of_left, "_left").join(of_right, "_right")
+        .join(_merged(of_left), "_left").join(_merged(of_right), "_right")
         .withColumn("score", F.expr(exact))
         .groupBy("lang", "ids", "a", "n")
         .agg(F.min(F.struct("score", "k", "l", "r")).alias("c"))
@@ -506,10 +516,10 @@ def mine(docs: DataFrame, *, least: int = 100, percent: int = 100, top: int = 20
     scored = stage(scored, "scored_phrases")
     spelt = (
         scored.select("ids", F.posexplode("ids").alias("at", "id"))
-        .join(words.select("id", "word"), "id")
+        .join(_merged(words.select("id", "word")), "id")
         .groupBy("ids").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("w"))  # 5 words at most
         .select("ids", F.array_join(F.transform("w", lambda x: x["word"]), " ").alias("phrase"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.join(spelt, "ids").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = scored.join(_merged(spelt), "ids").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

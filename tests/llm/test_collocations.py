@@ -120,3 +120,21 @@ def test_no_transform_is_stored(spark, monkeypatch):
     assert sorted(map(tuple, co.mine(df, least=20, shard_words=300).collect())) == brute([d[:2] for d in docs], 20, 2000)
     held = [f.columns for f in staged.values() if "shard" in f.columns and "ids" in f.columns and "kind" not in f.columns]
     assert held == [["shard", "ids", "sequence"]]
+
+
+def test_nothing_that_grows_with_the_texts_is_broadcast(spark, monkeypatch):
+    """The files of the phrases passed for small while their rows, one for each word, did not fit the driver."""
+    plans, own = [], co.stage
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(co, "stage", lambda df, name: own(planned(df), name))
+    docs = made(4)
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(2)
+    found = planned(co.mine(df, least=20, shard_words=300))
+    assert sorted(map(tuple, found.collect())) == brute(docs, 20, 2000)
+    joins = re.findall(r"(\w+Join) \[(\w+?)#", "\n".join(plans))
+    assert {"ids", "_left", "_right", "id"} <= {key for kind, key in joins if kind == "SortMergeJoin"}
+    assert {key for kind, key in joins if kind != "SortMergeJoin"} == {"lang"}  # a row for each language
